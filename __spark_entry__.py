@@ -120,10 +120,9 @@ def table_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def job_summary(spark: SparkSession, d: str) -> DataFrame:
-    items, ratings = _items(spark, d), _ratings(spark, d)
-    rated = stats.item_stats(ratings)
+    items, rated = _items(spark, d), batch.written_stats(_ratings(spark, d))
     scores = batch.recommend(items, rated, batch.JobConfig.top_rated(MIN_RATINGS, TOP_N))
-    summary = stats.job_summary(items, ratings, rated, scores)
+    summary = stats.job_summary(items, rated, scores)
     return summary.withColumn("value_text", X.thousands(F.col("value")))
 
 
@@ -365,8 +364,8 @@ def facet_rows_past_7_days(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _kept_items(spark: SparkSession, d: str) -> DataFrame:
-    deleted = _deleted_items(spark, d).select("movie_id")
-    return _items(spark, d).join(deleted, "movie_id", "left_anti")
+    deleted = F.coalesce(X.contains_ci(F.col("genres"), DELETED_GENRE), F.lit(False))
+    return _items(spark, d).filter(~deleted)
 
 
 def _deleted_items(spark: SparkSession, d: str) -> DataFrame:
@@ -680,9 +679,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT CAST(json_object('success', true, 'data', json_object(
                 'total', (SELECT count(*) FROM genre_recs),
                 'limit', {PAGE.limit}, 'offset', {PAGE.offset},
-                'recommendations', (SELECT json_group_array(json_object(
+                'recommendations', (SELECT coalesce(json_group_array(json_object(
                     'movie__title', title, 'movie__genres', genres, 'movie__year', year,
-                    'recommendation_score', score)) FROM (
+                    'recommendation_score', score)), json('[]')) FROM (
                   SELECT *, round(recommendation_score, 6) AS score FROM genre_recs
                   ORDER BY score DESC, movie_id
                   LIMIT {PAGE.limit} OFFSET {PAGE.offset})))) AS VARCHAR) AS envelope""",
@@ -807,20 +806,20 @@ def oracle_sql() -> dict[str, str]:
             SELECT user_id, movie_id, rating FROM ratings
             WHERE movie_id IN (SELECT movie_id FROM kept_items)""",
         "null_violations": """
-            SELECT 'movies.movie_id' AS rule, CAST(0 AS BIGINT) AS n
-            UNION ALL SELECT 'movies.title', count(*) FROM items WHERE title IS NULL
-            UNION ALL SELECT 'movies.avg_rating', count(*) FROM items
+            SELECT 'movies.movie_id:required' AS rule, CAST(0 AS BIGINT) AS n
+            UNION ALL SELECT 'movies.title:required', count(*) FROM items WHERE title IS NULL
+            UNION ALL SELECT 'movies.avg_rating:required', count(*) FROM items
               WHERE movie_id NOT IN (SELECT movie_id FROM stats)
-            UNION ALL SELECT 'movies.rating_count', count(*) FROM items
+            UNION ALL SELECT 'movies.rating_count:required', count(*) FROM items
               WHERE movie_id NOT IN (SELECT movie_id FROM stats)""",
         "length_violations": """
-            SELECT 'movies.title' AS rule, count(*) FILTER (length(title) > 500) AS n
+            SELECT 'movies.title:max_length' AS rule, count(*) FILTER (length(title) > 500) AS n
             FROM document_items
-            UNION ALL SELECT 'movies.genres', count(*) FILTER (length(genres) > 200)
+            UNION ALL SELECT 'movies.genres:max_length', count(*) FILTER (length(genres) > 200)
             FROM document_items""",
         "length_violation_rows": """
-            SELECT movie_id, concat_ws(',', CASE WHEN length(title) > 500 THEN 'movies.title' END,
-                       CASE WHEN length(genres) > 200 THEN 'movies.genres' END) AS broken_rules
+            SELECT movie_id, concat_ws(',', CASE WHEN length(title) > 500 THEN 'movies.title:max_length' END,
+                       CASE WHEN length(genres) > 200 THEN 'movies.genres:max_length' END) AS broken_rules
             FROM document_items WHERE length(title) > 500 OR length(genres) > 200""",
         "csv_scan_typed": "SELECT user_id, movie_id, rating, timestamp FROM ratings",
         "csv_scan_inferred": "SELECT user_id, movie_id, rating, timestamp FROM ratings",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rankspark.functions import matches_all
 from rankspark.operators.facets import facet_filter, facet_filter_date
-from rankspark.operators.paging import page
+from rankspark.operators.paging import in_rank_order, page
 from rankspark.schemas import Table
 
 _THROUGH_ITEM = "item."
@@ -47,11 +47,12 @@ def browse(
     if query.strip():
         df = search(df, table, query, items)
     order = [*table.order, *((name, False) for name in table.tie_break)]
-    rows = page(df, order, table.page_size if limit is None else limit, offset)
+    size = table.page_size if limit is None else limit
+    rows = page(df, order, size, offset)
     listed = [_plain(name) for name in table.listed]
     if "title" in listed and "title" not in rows.columns:
         rows = with_title(rows, items)
-    return rows.select("rank", *listed).orderBy("rank")
+    return in_rank_order(rows.select("rank", *listed), size)
 
 
 def with_title(df: DataFrame, items: DataFrame | None) -> DataFrame:

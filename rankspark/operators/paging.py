@@ -84,6 +84,12 @@ def global_rank(df: DataFrame, order: Order) -> DataFrame:
     )
 
 
+def in_rank_order(rows: DataFrame, limit: int, bound: int = TOP_K_BOUND) -> DataFrame:
+    """Order a page by rank again after joins; a small one needs no range shuffle."""
+    ordered = rows.orderBy("rank")
+    return ordered.limit(limit) if limit <= bound else ordered
+
+
 def page_info(df: DataFrame, limit: int, offset: int = 0) -> DataFrame:
     """One row: total, page, total_pages, has_prev, has_next."""
     _check("limit", limit)

@@ -44,7 +44,7 @@ def length_violations(df: DataFrame, table: Table) -> DataFrame:
 
 def null_rules(df: DataFrame, table: Table) -> dict[str, Column]:
     return {
-        f"{table.name}.{c.name}": F.col(c.name).isNull()
+        f"{table.name}.{c.name}:required": F.col(c.name).isNull()
         for c in table.columns
         if c.required and c.name in df.columns
     }
@@ -52,7 +52,7 @@ def null_rules(df: DataFrame, table: Table) -> dict[str, Column]:
 
 def length_rules(df: DataFrame, table: Table) -> dict[str, Column]:
     return {
-        f"{table.name}.{c.name}": F.length(c.name) > c.max_length
+        f"{table.name}.{c.name}:max_length": F.length(c.name) > c.max_length
         for c in table.columns
         if c.max_length and c.name in df.columns
     }

@@ -15,7 +15,7 @@ from rankspark.functions import (
     recommendation_label,
     year_label,
 )
-from rankspark.operators.paging import TOP_K_BOUND, page, top_n
+from rankspark.operators.paging import TOP_K_BOUND, in_rank_order, page, top_n
 from rankspark.operators.stats import dashboard_mean
 
 # Default page, order of recommendations, size of the top list,
@@ -78,11 +78,9 @@ def recommendation_page(
     wanted = in_genre(recommendations, items, request.genre)
     scores = wanted.select("movie_id", "recommendation_score")
     rows = page(scores, BY_SCORE, request.limit, request.offset, bound)
-    return (
-        rows.join(items.select("movie_id", "title", "genres", "year"), "movie_id")
-        .select("rank", "title", "genres", "year", "recommendation_score")
-        .orderBy("rank")
-    )
+    described = rows.join(items.select("movie_id", "title", "genres", "year"), "movie_id")
+    listed = described.select("rank", "title", "genres", "year", "recommendation_score")
+    return in_rank_order(listed, request.limit)
 
 
 def page_envelope(

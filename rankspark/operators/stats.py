@@ -83,15 +83,11 @@ def row_counts(frames: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def job_summary(
-    items: DataFrame, ratings: DataFrame, stats: DataFrame, recommendations: DataFrame
-) -> DataFrame:
-    """The four totals that a run reports."""
-    return row_counts(
-        {
-            "total_movies": items,
-            "total_ratings": ratings,
-            "movies_with_stats": stats,
-            "recommendations_generated": recommendations,
-        }
-    )
+def job_summary(items: DataFrame, stats: DataFrame, recommendations: DataFrame) -> DataFrame:
+    """The four totals that a run reports; the ratings were counted with the statistics."""
+    rated = stats.agg(
+        F.coalesce(F.sum("row_count"), F.lit(0)).alias("total_ratings"),
+        F.count(F.lit(1)).alias("movies_with_stats"),
+    ).unpivot([], ["total_ratings", "movies_with_stats"], "metric", "value")
+    counted = row_counts({"total_movies": items, "recommendations_generated": recommendations})
+    return rated.unionByName(counted)

@@ -1,7 +1,9 @@
 """The batch run: read, rate, rank, publish.
 
-    spark-submit --py-files rankspark.zip -m rankspark.plans.batch \
-        --input hdfs:///in --output hdfs:///out --prior items --m 50 --min-ratings 50 --top-n 1000
+    spark-submit --py-files rankspark.zip job.py --input hdfs:///in --output hdfs:///out \
+        --prior items --m 50 --min-ratings 50 --top-n 1000
+
+where ``job.py`` calls ``main()``.
 
 The ratings are read once.  Their per-item statistics are written to a table in
 the shared folder, and the prior, both result tables and the report come from
@@ -11,6 +13,7 @@ that table, which has one row per item.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -108,6 +111,14 @@ def _tables(
     )
 
 
+def written_stats(ratings: DataFrame) -> DataFrame:
+    """The item statistics as a table in the shared folder: later steps read that."""
+    spark = ratings.sparkSession
+    path = new_folder(spark, "item-stats")
+    item_stats(ratings).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 Writer = Callable[[DataFrame, Table], None]
 
 
@@ -123,11 +134,8 @@ def run(
     The row totals of the tables are observed by the writes themselves, in tasks
     whose results count once even if an executor is lost and they run again.
     """
-    spark = items.sparkSession
     items, ratings = restrict(items, ratings, config)
-    path = new_folder(spark, "item-stats")
-    item_stats(ratings).write.parquet(path)
-    stats = spark.read.parquet(path)
+    stats = written_stats(ratings)
     stored_items, stored_scores = _tables(items, stats, config, run_ts)
 
     observed = {}
@@ -211,7 +219,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
             read_ratings(spark, args.input, args.infer),
             config,
             write,
-            F.lit(spark.sql("SELECT current_timestamp()").first()[0]),
+            F.lit(dt.datetime.now(dt.timezone.utc)),
         )
         for name, value in totals.items():
             print(f"{name}: {value:,}")
@@ -225,5 +233,3 @@ def main(arguments: Sequence[str] | None = None) -> None:
         spark.stop()
 
 
-if __name__ == "__main__":
-    main()

@@ -1,0 +1,88 @@
+"""CSV dialect, typed and inferred scans, stored tables."""
+
+import pytest
+
+from rankspark import sinks, sources
+from rankspark.schemas import ITEMS
+from rankspark.sources import read_items, read_ratings
+
+ROWS = '''movieId,title,genres
+1,"American President, The (1995)",Comedy|Drama
+2,"""Great Performances"" Cats (1998)",Musical
+3,"A ""b"", c (2000)",Drama
+x,Bad (2001),Drama
+5,Short
+'''
+
+
+@pytest.fixture
+def folder(tmp_path):
+    (tmp_path / "movies.csv").write_text(ROWS)
+    (tmp_path / "ratings.csv").write_text("userId,movieId,rating,timestamp\n1,2,3.5,99\n1,y,4,1\n")
+    return str(tmp_path)
+
+
+def test_typed_items(spark, folder):
+    rows = [tuple(r) for r in read_items(spark, folder).collect()]
+    assert rows == [
+        (1, "American President, The (1995)", "Comedy|Drama"),
+        (2, '"Great Performances" Cats (1998)', "Musical"),
+        (3, 'A "b", c (2000)', "Drama"),
+        (None, "Bad (2001)", "Drama"),
+        (5, "Short", None),
+    ]
+
+
+def test_inferred_items(spark, folder):
+    df = read_items(spark, folder, infer=True)
+    assert df.columns == ["movie_id", "title", "genres"]
+    assert dict(df.dtypes)["movie_id"] == "string"
+
+
+def test_typed_ratings(spark, folder):
+    df = read_ratings(spark, folder)
+    assert dict(df.dtypes) == {
+        "user_id": "bigint", "movie_id": "bigint", "rating": "double", "timestamp": "bigint",
+    }
+    assert [tuple(r) for r in df.collect()] == [(1, 2, 3.5, 99), (1, None, 4.0, 1)]
+
+
+def test_wrong_header_fails(spark, tmp_path):
+    (tmp_path / "movies.csv").write_text("title,movieId,genres\na,1,g\n")
+    with pytest.raises(Exception, match="header"):
+        read_items(spark, str(tmp_path)).collect()
+
+
+def test_only_needed_columns_are_parsed(spark, folder):
+    df = read_ratings(spark, folder).select("movie_id", "rating")
+    scan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<movieId:bigint,rating:double>" in scan
+
+
+def test_round_trip(spark, micro, tmp_path):
+    tricky = spark.createDataFrame(
+        [(1, 'a, "b" (1999)', "x|y"), (2, "back\\slash", None), (3, '"', "")],
+        "movie_id bigint, title string, genres string",
+    )
+    sinks.write_items_csv(tricky, str(tmp_path))
+    back = {r[0]: tuple(r)[1:] for r in read_items(spark, str(tmp_path)).collect()}
+    assert back == {1: ('a, "b" (1999)', "x|y"), 2: ("back\\slash", None), 3: ('"', None)}
+
+
+def test_subset_is_ordered(spark, micro):
+    items, ratings = micro
+    subset = sources.item_subset(items.repartition(5, "title"), 2)
+    assert sorted(r["movie_id"] for r in subset.collect()) == [1, 2]
+    assert sources.ratings_of(ratings, sources.item_subset(items, 1)).count() == 3
+    with pytest.raises(ValueError):
+        sources.item_subset(items, -1)
+
+
+def test_stored_table(spark, micro, tmp_path):
+    stamped = micro[0].selectExpr("*", "TIMESTAMP'2024-01-30' AS created_at")
+    for _ in range(2):
+        sinks.write_stored(stamped, str(tmp_path), ITEMS)
+    back = sources.read_stored(spark, str(tmp_path), ITEMS)
+    assert back.columns == ITEMS.column_names
+    assert back.count() == 3
+    assert back.filter("rating_count = 0 AND avg_rating = 0").count() == 3

@@ -1,0 +1,56 @@
+"""Every query against its SQL on the same files."""
+
+import math
+
+import duckdb
+import pandas as pd
+import pytest
+
+import __spark_entry__ as entry
+from tests.conftest import TESTDATA
+
+QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+
+
+@pytest.fixture(scope="module", params=["sf0.001", "sf0.01"])
+def data(request):
+    folder = TESTDATA / request.param
+    connection = duckdb.connect()
+    for file in folder.glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    yield str(folder), connection
+    connection.close()
+
+
+def plain(value):
+    if value is None or value is pd.NaT or value is pd.NA:
+        return "NULL"
+    if isinstance(value, bool):
+        return str(value)
+    if isinstance(value, (int, float)):
+        return "NULL" if math.isnan(value) else repr(float(value))
+    return str(value)
+
+
+def canonical(frame):
+    frame = frame[sorted(frame.columns)].astype(object)
+    return sorted(tuple(map(plain, row)) for row in frame.itertuples(index=False))
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_equals_oracle(spark, data, name):
+    folder, connection = data
+    ours = QUERIES[name](spark, folder).toPandas()
+    theirs = connection.execute(ORACLE[name]).fetchdf()
+    assert sorted(ours.columns) == sorted(theirs.columns)
+    assert canonical(ours) == canonical(theirs)
+
+
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
+
+
+def test_entry(spark):
+    rows = entry.entry(spark)
+    assert rows.columns == ["movie_id", "title", "recommendation_score"]
+    assert rows.count() == 10
