@@ -67,7 +67,7 @@ def _plain_times(df: DataFrame) -> DataFrame:
 _published: dict[tuple[str, str], str] = {}
 
 
-def _publish(spark: SparkSession, d: str) -> str:
+def publish(spark: SparkSession, d: str) -> str:
     """Run the batch job into a fresh folder of the shared directory."""
     base = new_folder(spark, "published")
     config = batch.JobConfig.all_items()
@@ -79,7 +79,7 @@ def _stored(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """The published (recommendations, items), built once per application and data set."""
     key = (spark.sparkContext.applicationId, d)
     if key not in _published:
-        _published[key] = _publish(spark, d)
+        _published[key] = publish(spark, d)
     base = _published[key]
     return (
         sources.read_stored(spark, base, schemas.RECOMMENDATIONS),

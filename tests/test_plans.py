@@ -114,7 +114,7 @@ def tiny_skew(conf):
 
 
 def skewed_joins(df):
-    return [t for k, t in plan.nodes(df) if k == "SortMergeJoinExec" and "isSkew=true" in t]
+    return [t for k, t in plan.nodes(df) if k == "SortMergeJoinExec" and "skew=true" in t]
 
 
 def hot(spark, rows, columns):
