@@ -234,6 +234,12 @@ def page_envelope(spark: SparkSession, d: str) -> DataFrame:
     return serving.page_envelope(_rounded(recommendations), items, PAGE)
 
 
+def page_entries(spark: SparkSession, d: str) -> DataFrame:
+    recommendations, items = _stored(spark, d)
+    request = serving.PageRequest(limit=DEEP_LIMIT, offset=DEEP_OFFSET)
+    return serving.page_entries(_rounded(recommendations), items, request)
+
+
 def dashboard_envelope(spark: SparkSession, d: str) -> DataFrame:
     recommendations, items = _stored(spark, d)
     return serving.dashboard_envelope(items, _rounded(recommendations))
@@ -470,6 +476,7 @@ _QUERIES: tuple[Query, ...] = (
     recommendation_page,
     recommendation_deep_page,
     page_info,
+    page_entries,
     page_envelope,
     dashboard_envelope,
     dashboard_top10,
@@ -675,6 +682,13 @@ def oracle_sql() -> dict[str, str]:
                          CAST({PAGE.offset // PAGE.limit + 1} AS BIGINT) AS page,
                          CAST(ceil(count(*) / {PAGE.limit}) AS BIGINT) AS pages
                   FROM genre_recs)""",
+        "page_entries": f"""
+            SELECT rank, CAST(json_object('movie__title', title, 'movie__genres', genres,
+                'movie__year', year, 'recommendation_score', score) AS VARCHAR) AS entry
+            FROM (SELECT row_number() OVER (ORDER BY score DESC, movie_id) AS rank, *
+                  FROM (SELECT movie_id, round(recommendation_score, 6) AS score FROM recs)
+                  JOIN item_rows USING (movie_id))
+            WHERE rank BETWEEN {first} AND {last}""",
         "page_envelope": f"""
             SELECT CAST(json_object('success', true, 'data', json_object(
                 'total', (SELECT count(*) FROM genre_recs),

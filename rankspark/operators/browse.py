@@ -48,8 +48,9 @@ def browse(
         df = search(df, table, query, items)
     order = [*table.order, *((name, False) for name in table.tie_break)]
     size = table.page_size if limit is None else limit
-    rows = page(df, order, size, offset)
     listed = [_plain(name) for name in table.listed]
+    needed = {*listed, *(name for name, _ in order), *table.references}
+    rows = page(df.select(*(c for c in df.columns if c in needed)), order, size, offset)
     if "title" in listed and "title" not in rows.columns:
         rows = with_title(rows, items)
     return in_rank_order(rows.select("rank", *listed), size)

@@ -24,6 +24,7 @@ DEFAULT_LIMIT = 20
 DEFAULT_OFFSET = 0
 TOP_SIZE = 10
 BY_SCORE = (("recommendation_score", True), ("movie_id", False))
+_KEEP_NULLS = {"ignoreNullFields": "false"}
 JSON_TITLE, JSON_GENRES, JSON_YEAR = "movie__title", "movie__genres", "movie__year"
 
 
@@ -83,10 +84,25 @@ def recommendation_page(
     return in_rank_order(listed, request.limit)
 
 
+def page_entries(
+    recommendations: DataFrame, items: DataFrame, request: PageRequest = PageRequest()
+) -> DataFrame:
+    """One page as (rank, entry) with one JSON text per row, for pages of any size."""
+    rows = recommendation_page(recommendations, items, request)
+    entry = F.to_json(_json_entry(with_year=True), _KEEP_NULLS)
+    return rows.select("rank", entry.alias("entry"))
+
+
 def page_envelope(
     recommendations: DataFrame, items: DataFrame, request: PageRequest = PageRequest()
 ) -> DataFrame:
-    """The page as one JSON document, column ``envelope``; holds ``limit`` rows at most."""
+    """The page as one JSON document, column ``envelope``.
+
+    One task builds the document, so a page beyond ``TOP_K_BOUND`` rows is refused;
+    ``page_entries`` writes those, row by row.
+    """
+    if request.limit > TOP_K_BOUND:
+        raise ValueError(f"use page_entries for more than {TOP_K_BOUND} rows")
     wanted = in_genre(recommendations, items, request.genre)
     rows = recommendation_page(recommendations, items, request)
     entry = _json_entry(with_year=True)
@@ -178,4 +194,4 @@ def _in_rank_order(entry: Column) -> Column:
 
 def _envelope(data: Column) -> Column:
     whole = F.struct(F.lit(True).alias("success"), data.alias("data"))
-    return F.to_json(whole, {"ignoreNullFields": "false"})
+    return F.to_json(whole, _KEEP_NULLS)

@@ -28,7 +28,14 @@ from rankspark.runtime import new_folder
 from rankspark.schemas import ITEMS, RECOMMENDATIONS, Table
 from rankspark.sinks.jdbc import clear_tables, write_jdbc
 from rankspark.sinks.stored import write_stored
-from rankspark.sources import JdbcTarget, item_subset, ratings_of, read_items, read_ratings
+from rankspark.sources import (
+    JdbcTarget,
+    item_subset,
+    ratings_of,
+    read_items,
+    read_ratings,
+    read_stored,
+)
 
 # Parameters of the two standard runs.
 ALL_ITEMS_WEIGHT = 10
@@ -113,10 +120,10 @@ def _tables(
 
 def written_stats(ratings: DataFrame) -> DataFrame:
     """The item statistics as a table in the shared folder: later steps read that."""
-    spark = ratings.sparkSession
+    spark, stats = ratings.sparkSession, item_stats(ratings)
     path = new_folder(spark, "item-stats")
-    item_stats(ratings).write.parquet(path)
-    return spark.read.parquet(path)
+    stats.write.parquet(path)
+    return spark.read.schema(stats.schema).parquet(path)
 
 
 Writer = Callable[[DataFrame, Table], None]
@@ -161,13 +168,16 @@ def to_folder(base: str) -> Writer:
 def to_database(
     spark: SparkSession, target: JdbcTarget, append: bool = False, **settings
 ) -> Writer:
-    """Load a database; unless appending, both tables are emptied before the first load."""
+    """Load a database; unless appending, both tables are emptied before the first load.
+
+    ``settings`` are those of ``sinks.jdbc.write_jdbc``.
+    """
     cleared = append
 
     def write(df: DataFrame, table: Table) -> None:
         nonlocal cleared
         if not cleared:
-            clear_tables(spark, target)
+            clear_tables(spark, target, **settings)
             cleared = True
         write_jdbc(df, target, table, "append", **settings)
 
@@ -193,6 +203,9 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
         help="driver option, such as user=...; may be repeated",
     )
     parser.add_argument("--append", action="store_true", help="add to the tables of a database")
+    parser.add_argument("--item-table", default=ITEMS.name, help="its name in the database")
+    parser.add_argument("--score-table", default=RECOMMENDATIONS.name)
+    parser.add_argument("--connections", type=int, help="most parallel database writers")
     parser.add_argument("--prior", choices=sorted(PRIORS), default="ratings")
     parser.add_argument("--m", type=float, default=ALL_ITEMS_WEIGHT)
     parser.add_argument("--min-ratings", type=int)
@@ -213,7 +226,13 @@ def main(arguments: Sequence[str] | None = None) -> None:
             write = to_folder(args.output)
         else:
             options = dict(o.split("=", 1) for o in args.jdbc_option)
-            write = to_database(spark, JdbcTarget(args.jdbc_url, options), args.append)
+            write = to_database(
+                spark,
+                JdbcTarget(args.jdbc_url, options),
+                args.append,
+                names={ITEMS.name: args.item_table, RECOMMENDATIONS.name: args.score_table},
+                connections=args.connections,
+            )
         totals = run(
             read_items(spark, args.input, args.infer),
             read_ratings(spark, args.input, args.infer),
@@ -224,10 +243,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         for name, value in totals.items():
             print(f"{name}: {value:,}")
         if args.output:
-            stored = [
-                spark.read.parquet(f"{args.output.rstrip('/')}/{t.name}")
-                for t in (RECOMMENDATIONS, ITEMS)
-            ]
+            stored = [read_stored(spark, args.output, t) for t in (RECOMMENDATIONS, ITEMS)]
             preview(*stored).show(truncate=False)
     finally:
         spark.stop()

@@ -64,6 +64,10 @@ class Table:
     def column_names(self) -> list[str]:
         return [c.name for c in self.columns]
 
+    @property
+    def ddl(self) -> str:
+        return ", ".join(f"`{c.name}` {c.type}" for c in self.columns)
+
 
 # Stored columns, lengths, defaults, listed and searched columns,
 # orders and page sizes of the five stored tables.
@@ -105,7 +109,7 @@ RATINGS = Table(
     facets=("rating",),
     date_facets=("created_at",),
     order=(("created_at", True),),
-    tie_break=("user_id", "movie_id", "rating"),
+    tie_break=("user_id", "movie_id", "rating", "timestamp"),
     page_size=100,
 )
 

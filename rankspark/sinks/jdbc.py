@@ -2,13 +2,18 @@
 
 The item table is the parent of the recommendation table and there is no
 transaction across both, so parents are written first and children cleared
-first.  Overwriting truncates the table instead of dropping it, which keeps its
-keys and makes a repeated run end in the same state.  An append is not
+first.  Overwriting truncates the tables instead of dropping them, which keeps
+their keys and makes a repeated run end in the same state.  An append is not
 repeatable: a rerun hits the unique item id.
+
+A database that refuses to truncate a table which others refer to must be told
+so in the URL; MySQL takes ``sessionVariables=foreign_key_checks=0``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from rankspark.schemas import ITEMS, RECOMMENDATIONS, Table, conform
@@ -23,7 +28,6 @@ def write_options(
         "dbtable": table_name,
         "batchsize": str(batch_size),
         "truncate": "true",
-        "cascadeTruncate": "false",
     }
     options.update(target.options)
     if connections is not None:
@@ -36,12 +40,16 @@ def write_jdbc(
     target: JdbcTarget,
     table: Table,
     mode: str,
-    name: str | None = None,
+    names: Mapping[str, str] | None = None,
     narrow: bool = True,
     **tuning: int,
 ) -> None:
-    """Write one contract table; ``connections`` bounds the load on the database."""
-    options = write_options(target, name or table.name, **tuning)
+    """Write one contract table.
+
+    ``names`` maps contract names to the names used in the database,
+    ``connections`` bounds the number of parallel writers.
+    """
+    options = write_options(target, (names or {}).get(table.name, table.name), **tuning)
     conform(df, table, narrow).write.format("jdbc").options(**options).mode(mode).save()
 
 
@@ -63,5 +71,5 @@ def overwrite_tables(
 def clear_tables(spark: SparkSession, target: JdbcTarget, **settings) -> None:
     """Empty both tables, children first."""
     for table in (RECOMMENDATIONS, ITEMS):
-        columns = ", ".join(f"`{c.name}` {c.type}" for c in table.columns)
-        write_jdbc(spark.createDataFrame([], columns), target, table, "overwrite", **settings)
+        empty = spark.createDataFrame([], table.ddl)
+        write_jdbc(empty, target, table, "overwrite", **settings)

@@ -9,4 +9,4 @@ from rankspark.schemas import Table
 
 def read_stored(spark: SparkSession, base: str, table: Table) -> DataFrame:
     """A Parquet table written by ``sinks.write_stored``, in contract column order."""
-    return spark.read.parquet(f"{base.rstrip('/')}/{table.name}").select(*table.column_names)
+    return spark.read.schema(table.ddl).parquet(f"{base.rstrip('/')}/{table.name}")

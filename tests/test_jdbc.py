@@ -77,7 +77,7 @@ def test_overwrite_clears_children_first_and_keeps_keys(calls, frames):
 
 
 def test_tuning_and_table_name(calls, frames):
-    write_jdbc(frames[0], TARGET, ITEMS, "append", name="other", connections=4, batch_size=500)
+    write_jdbc(frames[0], TARGET, ITEMS, "append", names={"movies": "other"}, connections=4, batch_size=500)
     options = calls[0][1]
     assert (options["dbtable"], options["numPartitions"], options["batchsize"]) == (
         "other", "4", "500",

@@ -85,3 +85,13 @@ def test_bad_arguments(spark):
     with pytest.raises(ValueError):
         page_offset(0, 20)
     assert page_offset(3, 20) == 40
+
+
+def test_large_json_page_is_refused_not_cut(spark):
+    from rankspark.operators.serving import PageRequest, page_entries, page_envelope
+
+    scores = spark.range(3).selectExpr("id AS movie_id", "1.0D AS recommendation_score")
+    items = spark.range(3).selectExpr("id AS movie_id", "'t' AS title", "'g' AS genres", "1 AS year")
+    with pytest.raises(ValueError, match="page_entries"):
+        page_envelope(scores, items, PageRequest(limit=20_000))
+    assert page_entries(scores, items, PageRequest(limit=20_000)).count() == 3
