@@ -67,10 +67,15 @@ def _plain_times(df: DataFrame) -> DataFrame:
 _published: dict[tuple[str, str], str] = {}
 
 
-def publish(spark: SparkSession, d: str) -> str:
-    """Run the batch job into a fresh folder of the shared directory."""
-    base = new_folder(spark, "published")
-    config = batch.JobConfig.all_items()
+ALL_ITEMS = batch.JobConfig.all_items()
+TOP_RATED = batch.JobConfig.top_rated(MIN_RATINGS, TOP_N)
+
+
+def publish(
+    spark: SparkSession, d: str, config: batch.JobConfig = ALL_ITEMS, base: str | None = None
+) -> str:
+    """Run the batch job, by default into a fresh folder of the shared directory."""
+    base = base or new_folder(spark, "published")
     batch.run(_items(spark, d), _ratings(spark, d), config, batch.to_folder(base), _run_ts())
     return base
 
@@ -121,7 +126,7 @@ def table_counts(spark: SparkSession, d: str) -> DataFrame:
 
 def job_summary(spark: SparkSession, d: str) -> DataFrame:
     items, rated = _items(spark, d), batch.written_stats(_ratings(spark, d))
-    scores = batch.recommend(items, rated, batch.JobConfig.top_rated(MIN_RATINGS, TOP_N))
+    scores = batch.recommend(items, rated, TOP_RATED)
     summary = stats.job_summary(items, rated, scores)
     return summary.withColumn("value_text", X.thousands(F.col("value")))
 
@@ -149,14 +154,13 @@ def existing_item_scores(spark: SparkSession, d: str) -> DataFrame:
 
 def top10_titles(spark: SparkSession, d: str) -> DataFrame:
     items = _items(spark, d)
-    scores = batch.recommend(items, _stats(spark, d), batch.JobConfig.all_items())
+    scores = batch.recommend(items, _stats(spark, d), ALL_ITEMS)
     best = serving.top_titles(scores, items.select("movie_id", "title"))
     return best.select("movie_id", "title", "recommendation_score")
 
 
 def top_n(spark: SparkSession, d: str) -> DataFrame:
-    config = batch.JobConfig.top_rated(MIN_RATINGS, TOP_N)
-    best = batch.recommend(_items(spark, d), _stats(spark, d), config)
+    best = batch.recommend(_items(spark, d), _stats(spark, d), TOP_RATED)
     score = F.round("recommendation_score", 6).alias("weighted_rating")
     return best.select("movie_id", score)
 
@@ -191,6 +195,14 @@ def stored_recommendations(spark: SparkSession, d: str) -> DataFrame:
     return _plain_times(_stored(spark, d)[0])
 
 
+def overwritten_recommendations(spark: SparkSession, d: str) -> DataFrame:
+    """A top-rated run over the folder of an earlier run leaves only its own rows."""
+    base = publish(spark, d, TOP_RATED, publish(spark, d))
+    stored = sources.read_stored(spark, base, schemas.RECOMMENDATIONS)
+    score = F.round("recommendation_score", 6).alias("recommendation_score")
+    return stored.select("movie_id", score, "popularity_score")
+
+
 def item_subset(spark: SparkSession, d: str) -> DataFrame:
     return sources.item_subset(_items(spark, d), SUBSET).select("movie_id", "title")
 
@@ -469,6 +481,7 @@ _QUERIES: tuple[Query, ...] = (
     recommendation_table,
     stored_items,
     stored_recommendations,
+    overwritten_recommendations,
     item_subset,
     ratings_of_subset,
     subset_run,
@@ -652,6 +665,11 @@ def oracle_sql() -> dict[str, str]:
                    CAST(0 AS DOUBLE) AS genre_match_score, CAST(NULL AS BIGINT) AS user_id,
                    {stamp} AS created_at, {stamp} AS updated_at
             FROM recs""",
+        "overwritten_recommendations": f"""
+            SELECT movie_id, round(weighted_rating, 6) AS recommendation_score,
+                   avg_rating AS popularity_score
+            FROM (SELECT * FROM weighted JOIN stats USING (movie_id)
+                  ORDER BY weighted_rating DESC, movie_id LIMIT {TOP_N})""",
         "item_subset": f"""
             SELECT movie_id, title FROM items ORDER BY movie_id LIMIT {SUBSET}""",
         "ratings_of_subset": "SELECT * FROM subset_ratings",

@@ -20,7 +20,7 @@ def search(df: DataFrame, table: Table, query: str, items: DataFrame | None = No
     Tables that are searched by item title come back with the ``title`` joined.
     """
     if any(name.startswith(_THROUGH_ITEM) for name in table.searched):
-        df = with_title(df, items)
+        df = with_title(df, items, "left")
     condition = matches_all([F.col(_plain(name)) for name in table.searched], query)
     return df if condition is None else df.filter(condition)
 
@@ -52,14 +52,15 @@ def browse(
     needed = {*listed, *(name for name, _ in order), *table.references}
     rows = page(df.select(*(c for c in df.columns if c in needed)), order, size, offset)
     if "title" in listed and "title" not in rows.columns:
-        rows = with_title(rows, items)
+        # An inner join can broadcast the page; an outer one would shuffle all items.
+        rows = with_title(rows, items, "inner")
     return in_rank_order(rows.select("rank", *listed), size)
 
 
-def with_title(df: DataFrame, items: DataFrame | None) -> DataFrame:
+def with_title(df: DataFrame, items: DataFrame | None, how: str) -> DataFrame:
     if items is None:
         raise ValueError("this listing needs the item table for its titles")
-    return df.join(items.select("movie_id", "title"), "movie_id", "left")
+    return df.join(items.select("movie_id", "title"), "movie_id", how)
 
 
 def _plain(name: str) -> str:

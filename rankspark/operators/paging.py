@@ -19,8 +19,11 @@ _ROW_BITS = 33
 
 
 def ordering(order: Order) -> list[Column]:
-    """Sort columns from (name, descending) pairs; NULLs sort as the smallest value."""
-    return [F.desc(name) if descending else F.asc(name) for name, descending in order]
+    """Sort columns from (name, descending) pairs; NULLs come last either way."""
+    return [
+        F.desc_nulls_last(name) if descending else F.asc_nulls_last(name)
+        for name, descending in order
+    ]
 
 
 def top_n(df: DataFrame, order: Order, n: int, bound: int = TOP_K_BOUND) -> DataFrame:

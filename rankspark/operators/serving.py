@@ -148,11 +148,14 @@ def dashboard_envelope(
 
 
 def report_top(recommendations: DataFrame, items: DataFrame, n: int = TOP_SIZE) -> DataFrame:
-    """The reporting query as SQL over both tables."""
+    """The reporting query as SQL; only the best n rows meet the item table."""
     return items.sparkSession.sql(
         """
         SELECT i.title, r.recommendation_score, i.avg_rating, i.rating_count
-        FROM {recommendations} r JOIN {items} i ON i.movie_id = r.movie_id
+        FROM (
+          SELECT movie_id, recommendation_score FROM {recommendations}
+          ORDER BY recommendation_score DESC, movie_id LIMIT :n
+        ) r JOIN {items} i ON i.movie_id = r.movie_id
         ORDER BY r.recommendation_score DESC, r.movie_id
         LIMIT :n
         """,

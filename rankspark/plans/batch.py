@@ -161,8 +161,8 @@ def run(
     }
 
 
-def to_folder(base: str) -> Writer:
-    return lambda df, table: write_stored(df, base, table)
+def to_folder(base: str, mode: str = "overwrite") -> Writer:
+    return lambda df, table: write_stored(df, base, table, mode)
 
 
 def to_database(

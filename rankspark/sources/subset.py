@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from rankspark.operators.paging import top_n
+
 
 def item_subset(items: DataFrame, n: int) -> DataFrame:
     """The n items with the smallest ids, so that every run sees the same ones."""
-    if n < 0:
-        raise ValueError("n must not be negative")
-    return items.orderBy("movie_id").limit(n)
+    return top_n(items, [("movie_id", False)], n)
 
 
 def ratings_of(ratings: DataFrame, items: DataFrame) -> DataFrame:

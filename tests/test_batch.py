@@ -1,7 +1,11 @@
 """The batch run end to end, and invariants over generated ratings."""
 
 import datetime as dt
+import os
+import subprocess
+import sys
 from collections import defaultdict
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -46,6 +50,38 @@ def test_csv_to_parquet(spark, micro, tmp_path):
     assert [r["title"] for r in shown] == ["Toy Story (1995)"]
 
 
+def test_append_adds_a_second_copy(spark, micro, tmp_path):
+    for _ in range(2):
+        write = batch.to_folder(str(tmp_path), "append")
+        batch.run(*micro, JobConfig.all_items(), write, F.lit(STAMP))
+    assert read_stored(spark, str(tmp_path), ITEMS).count() == 6
+
+
+def test_command_line(spark, micro, tmp_path):
+    source, target = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    (source / "movies.csv").write_text('movieId,title,genres\n1,"A, B (1999)",x|y\n2,C,\n')
+    (source / "ratings.csv").write_text("userId,movieId,rating,timestamp\n1,1,4.5,7\n2,1,3.5,8\n")
+    root = Path(__file__).resolve().parents[1]
+    settings = (
+        "--master local[2] --conf spark.ui.enabled=false --conf spark.sql.shuffle.partitions=2"
+        f" --conf spark.checkpoint.dir={tmp_path / 'shared'} pyspark-shell"
+    )
+    done = subprocess.run(
+        [sys.executable, "job.py", "--input", str(source), "--output", str(target)],
+        cwd=root,
+        env={**os.environ, "PYSPARK_SUBMIT_ARGS": settings},
+        capture_output=True,
+        text=True,
+        timeout=300,
+    )
+    assert done.returncode == 0, done.stderr
+    assert "total_movies: 2" in done.stdout and "recommendations_generated: 1" in done.stdout
+    assert "A, B (1999)" in done.stdout
+    row = read_stored(spark, str(target), ITEMS).filter("movie_id = 1").first()
+    assert (row["year"], row["avg_rating"], row["rating_count"]) == (1999, 4.0, 2)
+
+
 def test_standard_runs():
     everything = JobConfig.all_items()
     assert (everything.prior, everything.m, everything.min_ratings, everything.top_n) == (

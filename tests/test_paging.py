@@ -95,3 +95,10 @@ def test_large_json_page_is_refused_not_cut(spark):
     with pytest.raises(ValueError, match="page_entries"):
         page_envelope(scores, items, PageRequest(limit=20_000))
     assert page_entries(scores, items, PageRequest(limit=20_000)).count() == 3
+
+
+def test_null_ids_come_last_in_a_subset(spark):
+    from rankspark.sources import item_subset
+
+    items = spark.createDataFrame([(None,), (2,), (1,)], "movie_id bigint")
+    assert [r[0] for r in item_subset(items, 2).collect()] == [1, 2]

@@ -145,3 +145,20 @@ def test_scores_of_a_hot_item(spark, tiny_skew):
     items = spark.range(5, 10).toDF("movie_id")
     scores = existing_only(score_items(stats, stats), items)
     assert sorted(r["movie_id"] for r in scores.collect()) == [5, 7, 8]
+
+
+@pytest.mark.parametrize(
+    "name", ["dashboard_top10", "report_top10_sql", "browse_recommendations", "page_entries"]
+)
+def test_titles_meet_only_the_page(spark, conf, name):
+    """With an item table too large to broadcast, the page is, and nothing is shuffled."""
+    conf(autoBroadcastJoinThreshold="5KB")
+    nodes = plan.nodes(QUERIES[name](spark, SF))
+    assert plan.count(nodes, "BroadcastHashJoin") == 1
+    assert plan.count(nodes, "ShuffleExchangeExec", "hashpartitioning") == 0
+
+
+def test_subset_ids_are_broadcast_to_the_ratings(spark):
+    nodes = plan.nodes(QUERIES["ratings_of_subset"](spark, SF))
+    assert plan.count(nodes, "BroadcastHashJoin") == 1
+    assert plan.count(nodes, "ShuffleExchangeExec") == 0
