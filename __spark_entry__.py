@@ -100,7 +100,7 @@ def item_stats(spark: SparkSession, d: str) -> DataFrame:
 
 
 def prior_ratings(spark: SparkSession, d: str) -> DataFrame:
-    return stats.ratings_prior(_stats(spark, d))
+    return stats.ratings_mean(_ratings(spark, d))
 
 
 def prior_items(spark: SparkSession, d: str) -> DataFrame:
@@ -108,7 +108,7 @@ def prior_items(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dashboard_mean(spark: SparkSession, d: str) -> DataFrame:
-    return stats.dashboard_mean(_item_table(spark, d))
+    return stats.dashboard_mean(_stored(spark, d)[1])
 
 
 def table_counts(spark: SparkSession, d: str) -> DataFrame:

@@ -57,6 +57,18 @@ def test_append_adds_a_second_copy(spark, micro, tmp_path):
     assert read_stored(spark, str(tmp_path), ITEMS).count() == 6
 
 
+@pytest.mark.parametrize("config", [JobConfig.all_items(), JobConfig.top_rated(1, 5)])
+def test_run_without_ratings(spark, micro, tmp_path, config):
+    items, ratings = micro
+    totals = batch.run(items, ratings.limit(0), config, batch.to_folder(str(tmp_path)))
+    assert totals == {
+        "total_movies": 3,
+        "total_ratings": 0,
+        "movies_with_stats": 0,
+        "recommendations_generated": 0,
+    }
+
+
 def test_command_line(spark, micro, tmp_path):
     source, target = tmp_path / "in", tmp_path / "out"
     source.mkdir()

@@ -43,6 +43,7 @@ def test_null_ratings_and_null_items(spark):
 
 def test_priors_differ(micro, stats):
     assert S.ratings_prior(stats).first()["prior"] == 4.25
+    assert S.ratings_mean(micro[1]).first()["prior"] == 4.25
     assert round(S.items_prior(stats).first()["prior"], 6) == 3.833333
     assert S.dashboard_mean(item_table(micro[0], stats)).first()["average_rating"] == 2.56
 
@@ -51,6 +52,7 @@ def test_priors_differ(micro, stats):
 def test_ratings_prior_falls_back(spark, values):
     ratings = spark.createDataFrame(values, "movie_id bigint, rating double")
     assert S.ratings_prior(S.item_stats(ratings)).first()["prior"] == 3.0
+    assert S.ratings_mean(ratings).first()["prior"] == 3.0
 
 
 def test_no_ratings(spark, micro):

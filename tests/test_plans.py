@@ -19,7 +19,6 @@ ONE_RATINGS_SCAN = [
     "item_stats",
     "prior_ratings",
     "prior_items",
-    "dashboard_mean",
     "bayes_ratings_prior",
     "bayes_items_prior",
     "existing_item_scores",
@@ -38,7 +37,7 @@ ONE_RATINGS_SCAN = [
 
 
 def ratings_scans(nodes):
-    return sum(k == "FileSourceScanExec" and "l_partkey" in t for k, t in nodes)
+    return sum(k == "FileSourceScanExec" and "lineitem.parquet" in t for k, t in nodes)
 
 
 @pytest.mark.parametrize("threshold", ["10MB", "-1"])
@@ -73,6 +72,12 @@ def test_only_two_rating_columns_are_read(spark, name):
     assert "ReadSchema: struct<l_partkey:bigint,l_quantity:double>" in scan
 
 
+def test_plain_mean_needs_one_column_and_no_key_shuffle(spark):
+    nodes = plan.nodes(QUERIES["prior_ratings"](spark, SF))
+    assert plan.count(nodes, "FileSourceScanExec", "ReadSchema: struct<l_quantity:double>") == 1
+    assert plan.count(nodes, "ShuffleExchangeExec", "hashpartitioning") == 0
+
+
 def test_statistics_combine_before_the_shuffle(spark):
     nodes = plan.nodes(QUERIES["item_stats"](spark, SF))
     assert plan.count(nodes, "HashAggregate", "partial_sum") == 1
