@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 ITEMS_CSV = T.StructType(
     [
@@ -179,12 +179,21 @@ def conform(df: DataFrame, table: Table, narrow: bool = False) -> DataFrame:
     present = set(df.columns)
     out = []
     for c in table.columns:
-        kind = (narrow and c.narrow) or c.type
         if c.name not in present:
             value = F.lit(c.default)
         elif c.default is not None and c.required:
             value = F.coalesce(F.col(c.name), F.lit(c.default))
         else:
             value = F.col(c.name)
-        out.append(value.cast(kind).alias(c.name))
+        value = value.cast(c.type)
+        if narrow and c.narrow:
+            value = _narrowed(value, c)
+        out.append(value.alias(c.name))
     return df.select(*out)
+
+
+def _narrowed(value: Column, c: Col) -> Column:
+    """Checked cast; unlike a plain one it also fails where ANSI mode is off."""
+    small = value.try_cast(c.narrow)
+    failure = F.raise_error(F.concat(F.lit(f"{c.name} does not fit {c.narrow}: "), value))
+    return F.when(value.isNotNull() & small.isNull(), failure.cast(c.narrow)).otherwise(small)

@@ -150,7 +150,7 @@ def test_result_tables(spark, micro):
         recommendation_table(scores, stamp, "median")
 
 
-def test_conform_fills_defaults_and_narrows(spark):
+def test_conform_fills_defaults_and_narrows(spark, conf):
     df = spark.createDataFrame([(1, "t", None)], "movie_id bigint, title string, avg_rating double")
     stored = conform(df, ITEMS, narrow=True)
     assert dict(stored.dtypes)["movie_id"] == "int"
@@ -159,8 +159,10 @@ def test_conform_fills_defaults_and_narrows(spark):
     assert (row["avg_rating"], row["rating_count"], row["genres"]) == (0.0, 0, None)
     wide = spark.createDataFrame([(2**31, "t")], "movie_id bigint, title string")
     assert conform(wide, ITEMS).first()["movie_id"] == 2**31
-    with pytest.raises(Exception, match="CAST_OVERFLOW"):
-        conform(wide, ITEMS, narrow=True).collect()
+    for ansi in ("true", "false"):
+        conf(ansi__enabled=ansi)
+        with pytest.raises(Exception, match="movie_id does not fit int"):
+            conform(wide, ITEMS, narrow=True).collect()
 
 
 def test_cascade_delete_keeps_null_keys(spark):
