@@ -410,12 +410,26 @@ def cascade_delete(spark: SparkSession, d: str) -> DataFrame:
     return left.select("user_id", "movie_id", "rating")
 
 
+def orphan_recommendations(spark: SparkSession, d: str) -> DataFrame:
+    return quality.orphans(_stored(spark, d)[0], _kept_items(spark, d))
+
+
+def cascade_delete_recommendations(spark: SparkSession, d: str) -> DataFrame:
+    recommendations, items = _stored(spark, d)
+    left = tables.cascade_delete(recommendations, serving.genre_filter(items, DELETED_GENRE))
+    return left.select("movie_id", "recommendation_score")
+
+
 def null_violations(spark: SparkSession, d: str) -> DataFrame:
     """The item table before its NULLs are filled."""
     unfilled = _items(spark, d).join(_stats(spark, d), "movie_id", "left")
     return quality.null_violations(unfilled, schemas.ITEMS)
 
 
+def null_violations_ratings(spark: SparkSession, d: str) -> DataFrame:
+    return quality.null_violations(_ratings(spark, d), schemas.RATINGS)
+
+
 def _document_items(spark: SparkSession, d: str) -> DataFrame:
     return adapters.load(spark, d, "documents").select(
         F.col("doc_id").alias("movie_id"),
@@ -425,8 +439,11 @@ def _document_items(spark: SparkSession, d: str) -> DataFrame:
 
 
 def length_violations(spark: SparkSession, d: str) -> DataFrame:
-    """Document texts held against the title limit."""
-    return quality.length_violations(_document_items(spark, d), schemas.ITEMS)
+    """Document texts held against the title limit, and the other limited columns."""
+    titles = quality.length_violations(_document_items(spark, d), schemas.ITEMS)
+    files = quality.length_violations(adapters.datasets(spark, d), schemas.DATASETS)
+    tastes = quality.length_violations(adapters.preferences(spark, d), schemas.PREFERENCES)
+    return titles.unionByName(files).unionByName(tastes)
 
 
 def length_violation_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -517,8 +534,11 @@ _QUERIES: tuple[Query, ...] = (
     dup_items,
     dup_ratings,
     orphan_ratings,
+    orphan_recommendations,
     cascade_delete,
+    cascade_delete_recommendations,
     null_violations,
+    null_violations_ratings,
     length_violations,
     length_violation_rows,
     csv_scan_typed,
@@ -838,6 +858,23 @@ def oracle_sql() -> dict[str, str]:
         "cascade_delete": """
             SELECT user_id, movie_id, rating FROM ratings
             WHERE movie_id IN (SELECT movie_id FROM kept_items)""",
+        "orphan_recommendations": """
+            SELECT movie_id, count(*) AS n FROM recs
+            WHERE movie_id NOT IN (SELECT movie_id FROM kept_items) GROUP BY movie_id""",
+        "cascade_delete_recommendations": """
+            SELECT movie_id, recommendation_score FROM recs
+            WHERE movie_id IN (SELECT movie_id FROM kept_items)""",
+        "null_violations_ratings": """
+            SELECT 'ratings.user_id:required' AS rule,
+                   count(*) FILTER (user_id IS NULL) AS n FROM ratings
+            UNION ALL SELECT 'ratings.movie_id:required',
+                   count(*) FILTER (movie_id IS NULL) FROM ratings
+            UNION ALL SELECT 'ratings.rating:required',
+                   count(*) FILTER (rating IS NULL) FROM ratings
+            UNION ALL SELECT 'ratings.timestamp:required',
+                   count(*) FILTER (timestamp IS NULL) FROM ratings
+            UNION ALL SELECT 'ratings.created_at:required',
+                   count(*) FILTER (created_at IS NULL) FROM ratings""",
         "null_violations": """
             SELECT 'movies.movie_id:required' AS rule, CAST(0 AS BIGINT) AS n
             UNION ALL SELECT 'movies.title:required', count(*) FROM items WHERE title IS NULL
@@ -849,7 +886,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT 'movies.title:max_length' AS rule, count(*) FILTER (length(title) > 500) AS n
             FROM document_items
             UNION ALL SELECT 'movies.genres:max_length', count(*) FILTER (length(genres) > 200)
-            FROM document_items""",
+            FROM document_items
+            UNION ALL SELECT 'raw_dataset.data_file:max_length',
+                             count(*) FILTER (length(data_file) > 255) FROM datasets
+            UNION ALL SELECT 'user_preference.favorite_categories:max_length',
+                             count(*) FILTER (length(favorite_categories) > 500)
+            FROM preferences""",
         "length_violation_rows": """
             SELECT movie_id, concat_ws(',', CASE WHEN length(title) > 500 THEN 'movies.title:max_length' END,
                        CASE WHEN length(genres) > 200 THEN 'movies.genres:max_length' END) AS broken_rules

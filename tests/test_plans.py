@@ -167,3 +167,11 @@ def test_subset_ids_are_broadcast_to_the_ratings(spark):
     nodes = plan.nodes(QUERIES["ratings_of_subset"](spark, SF))
     assert plan.count(nodes, "BroadcastHashJoin") == 1
     assert plan.count(nodes, "ShuffleExchangeExec") == 0
+
+
+@pytest.mark.parametrize("name", ["bayes_items_prior", "top10_titles", "subset_run"])
+def test_ratings_are_read_once_without_adaptive_execution(spark, conf, name):
+    conf(adaptive__enabled="false", autoBroadcastJoinThreshold="-1")
+    nodes = plan.nodes(QUERIES[name](spark, SF))
+    assert ratings_scans(nodes) == 1
+    assert plan.count(nodes, "ReusedExchange") >= 1
