@@ -139,18 +139,22 @@ def run(
     """Publish both tables with ``write``, items first; returns the run's totals.
 
     The row totals of the tables are observed by the writes themselves, in tasks
-    whose results count once even if an executor is lost and they run again.
+    whose results count once even if an executor is lost and they run again.  Rows
+    without an item id, such as malformed CSV lines, are counted on the way.
     """
     items, ratings = restrict(items, ratings, config)
     stats = written_stats(ratings)
     stored_items, stored_scores = _tables(items, stats, config, run_ts)
 
-    observed = {}
+    observed, no_id = {}, F.col("movie_id").isNull()
     for frame, table in ((stored_items, ITEMS), (stored_scores, RECOMMENDATIONS)):
         observed[table] = Observation(table.name)
-        write(frame.observe(observed[table], F.count(F.lit(1)).alias("rows")), table)
+        rows = F.count(F.lit(1)).alias("rows")
+        without_id = F.count_if(no_id).alias("without_id")
+        write(frame.observe(observed[table], rows, without_id), table)
     totals = stats.agg(
         F.coalesce(F.sum("row_count"), F.lit(0)).alias("ratings"),
+        F.coalesce(F.sum(F.when(no_id, F.col("row_count"))), F.lit(0)).alias("without_id"),
         F.count(F.lit(1)).alias("items"),
     ).first()
     return {
@@ -158,6 +162,8 @@ def run(
         "total_ratings": totals["ratings"],
         "movies_with_stats": totals["items"],
         "recommendations_generated": observed[RECOMMENDATIONS].get["rows"],
+        "movies_without_id": observed[ITEMS].get["without_id"],
+        "ratings_without_id": totals["without_id"],
     }
 
 

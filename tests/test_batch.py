@@ -39,6 +39,8 @@ def test_csv_to_parquet(spark, micro, tmp_path):
             "total_ratings": 4,
             "movies_with_stats": 2,
             "recommendations_generated": 1,
+            "movies_without_id": 0,
+            "ratings_without_id": 0,
         }
     stored = read_stored(spark, target, ITEMS)
     assert {r["movie_id"]: r["year"] for r in stored.collect()} == {1: 1995, 2: None, 3: None}
@@ -66,9 +68,28 @@ def test_run_without_ratings(spark, micro, tmp_path, config):
         "total_ratings": 0,
         "movies_with_stats": 0,
         "recommendations_generated": 0,
+        "movies_without_id": 0,
+        "ratings_without_id": 0,
     }
 
 
+def test_malformed_lines_are_counted(spark, tmp_path):
+    (tmp_path / "movies.csv").write_text("movieId,title,genres\n1,A,x\nbad,B,y\n")
+    (tmp_path / "ratings.csv").write_text(
+        "userId,movieId,rating,timestamp\n1,1,4,0\n1,?,2,0\n2,?,x,0\n"
+    )
+    totals = batch.run(
+        read_items(spark, str(tmp_path)),
+        read_ratings(spark, str(tmp_path)),
+        JobConfig.all_items(),
+        batch.to_folder(str(tmp_path / "out")),
+    )
+    assert (totals["movies_without_id"], totals["ratings_without_id"]) == (1, 2)
+    assert (totals["total_movies"], totals["total_ratings"]) == (2, 3)
+    score = read_stored(spark, str(tmp_path / "out"), RECOMMENDATIONS).first()
+    assert score["recommendation_score"] == pytest.approx((4 + 10 * 3) / 11)
+
+
 def test_command_line(spark, micro, tmp_path):
     source, target = tmp_path / "in", tmp_path / "out"
     source.mkdir()
