@@ -307,6 +307,7 @@ def item_search(spark: SparkSession, d: str) -> DataFrame:
 def recommendation_search(spark: SparkSession, d: str) -> DataFrame:
     recommendations, items = _stored(spark, d)
     found = browse.search(recommendations, schemas.RECOMMENDATIONS, TITLE_SEARCH, items)
+    found = browse.with_title(found, items)
     return found.select("movie_id", "title", "recommendation_score")
 
 

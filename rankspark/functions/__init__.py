@@ -13,10 +13,11 @@ from rankspark.functions.labels import (
     year_label,
 )
 from rankspark.functions.scoring import falsy_default, smoothed_score, title_year
-from rankspark.functions.text import contains_ci, matches_all, search_terms
+from rankspark.functions.text import contains_any, contains_ci, search_terms
 
 __all__ = [
     "DATE_BUCKETS",
+    "contains_any",
     "contains_ci",
     "dataset_label",
     "date_bucket",
@@ -25,7 +26,6 @@ __all__ = [
     "fixed",
     "genres_label",
     "item_label",
-    "matches_all",
     "preference_label",
     "rating_label",
     "recommendation_label",

@@ -28,11 +28,7 @@ def search_terms(query: str) -> list[str]:
     return terms
 
 
-def matches_all(columns: Iterable[Column], query: str) -> Column | None:
-    """Every term must occur in at least one column; None when there is no term."""
-    columns = list(columns)
-    tests = [
-        reduce(lambda a, b: a | b, (F.coalesce(contains_ci(c, t), F.lit(False)) for c in columns))
-        for t in search_terms(query)
-    ]
-    return reduce(lambda a, b: a & b, tests) if tests else None
+def contains_any(columns: Iterable[Column], term: str) -> Column:
+    """The term occurs in at least one column; never NULL."""
+    tests = (F.coalesce(contains_ci(c, term), F.lit(False)) for c in columns)
+    return reduce(lambda a, b: a | b, tests)

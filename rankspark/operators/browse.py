@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, functions as F
 
-from rankspark.functions import matches_all
+from rankspark.functions import contains_any, search_terms
 from rankspark.operators.facets import facet_filter, facet_filter_date
 from rankspark.operators.paging import in_rank_order, page
 from rankspark.schemas import Table
@@ -17,12 +19,26 @@ _THROUGH_ITEM = "item."
 def search(df: DataFrame, table: Table, query: str, items: DataFrame | None = None) -> DataFrame:
     """Rows in which every search term occurs in one of the searched columns.
 
-    Tables that are searched by item title come back with the ``title`` joined.
+    Titles are tested once per item, not once per row that refers to it, and only
+    items with a hit take part in the join.
     """
-    if any(name.startswith(_THROUGH_ITEM) for name in table.searched):
-        df = with_title(df, items, "left")
-    condition = matches_all([F.col(_plain(name)) for name in table.searched], query)
-    return df if condition is None else df.filter(condition)
+    terms = search_terms(query)
+    if not terms:
+        return df
+    own = [F.col(name) for name in table.searched if name == _plain(name)]
+    reached = [F.col(_plain(name)) for name in table.searched if name != _plain(name)]
+    tests = [contains_any(own, t) for t in terms] if own else [F.lit(False) for _ in terms]
+    found = df
+    if reached:
+        hits = {f"_hit_{i}": contains_any(reached, t) for i, t in enumerate(terms)}
+        matching = (
+            _required(items)
+            .select("movie_id", *(test.alias(name) for name, test in hits.items()))
+            .filter(reduce(or_, map(F.col, hits)))
+        )
+        found = df.join(matching, "movie_id", "left")
+        tests = [t | F.coalesce(F.col(name), F.lit(False)) for t, name in zip(tests, hits)]
+    return found.filter(reduce(and_, tests)).select(*df.columns)
 
 
 def browse(
@@ -37,30 +53,32 @@ def browse(
 ) -> DataFrame:
     """One page of a table in its default order: ``rank`` and the listed columns.
 
-    Facets filter first and reach the scan.  Titles are joined to the finished
-    page, unless the search needs them earlier.
+    Facets filter first and reach the scan.  Titles are joined to the finished page.
     """
     for column, value in (facets or {}).items():
         df = facet_filter(df, _known(column, table.facets), value)
     for column, (bucket, as_of) in (dates or {}).items():
         df = facet_filter_date(df, _known(column, table.date_facets), bucket, as_of)
-    if query.strip():
-        df = search(df, table, query, items)
+    df = search(df, table, query, items)
     order = [*table.order, *((name, False) for name in table.tie_break)]
     size = table.page_size if limit is None else limit
     listed = [_plain(name) for name in table.listed]
     needed = {*listed, *(name for name, _ in order), *table.references}
     rows = page(df.select(*(c for c in df.columns if c in needed)), order, size, offset)
     if "title" in listed and "title" not in rows.columns:
-        # An inner join can broadcast the page; an outer one would shuffle all items.
-        rows = with_title(rows, items, "inner")
+        rows = with_title(rows, items)
     return in_rank_order(rows.select("rank", *listed), size)
 
 
-def with_title(df: DataFrame, items: DataFrame | None, how: str) -> DataFrame:
+def with_title(rows: DataFrame, items: DataFrame | None) -> DataFrame:
+    """Add the item title; an inner join can broadcast a page where an outer one cannot."""
+    return rows.join(_required(items).select("movie_id", "title"), "movie_id")
+
+
+def _required(items: DataFrame | None) -> DataFrame:
     if items is None:
         raise ValueError("this listing needs the item table for its titles")
-    return df.join(items.select("movie_id", "title"), "movie_id", how)
+    return items
 
 
 def _plain(name: str) -> str:

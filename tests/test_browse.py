@@ -92,3 +92,12 @@ def test_datasets_newest_first(spark):
     )
     page = browse(df, DATASETS, facets={"processed": False})
     assert [r["id"] for r in page.collect()] == [5, 1, 3]
+
+
+def test_titles_are_tested_before_the_join(ratings):
+    df, items, _, _ = ratings
+    found = search(df, RATINGS, "red 12", items)
+    assert found.columns == df.columns
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    join = text.index("Join LeftOuter")
+    assert "lower(title" not in text[:join] and "lower(title" in text[join:]
