@@ -18,6 +18,14 @@ from rankspark.operators.scores import existing_only, score_items
 from rankspark.plans import adapters, batch
 from rankspark.runtime import new_folder
 
+try:  # the training-data operators can be left out as a whole
+    import corpus_pipeline
+    from rankspark.llm import queries as training_data
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "rankspark.llm"):
+        raise
+    corpus_pipeline = training_data = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Parameters shared by the queries and the oracle SQL.
@@ -554,7 +562,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in _QUERIES}
+    own = {q.__name__: q for q in _QUERIES}
+    if training_data is None:
+        return own
+    return own | training_data.QUERIES | {"pipeline": corpus_pipeline.run}
 
 
 # Views that the oracle statements build on.
@@ -901,4 +912,5 @@ def oracle_sql() -> dict[str, str]:
         "csv_scan_inferred": "SELECT user_id, movie_id, rating, timestamp FROM ratings",
         "csv_scan_items": "SELECT movie_id, title, genres FROM items",
     }
-    return {name: _sql(body) for name, body in statements.items()}
+    own = {name: _sql(body) for name, body in statements.items()}
+    return own if training_data is None else own | training_data.ORACLES
