@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rankspark.llm import simhash
+from rankspark.llm import recompression, simhash
 from rankspark.llm.tables import table
 
 
+def op4_recompression(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents", "doc_id", "text")
+    cut = recompression.remove_repeats(docs, joined=True)
+    return cut.select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 def op10_simhash(spark: SparkSession, d: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, d, "documents", "doc_id", "text"))
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
@@ -15,7 +23,29 @@ def op10_simhash(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_recompression": op4_recompression,
     "op10_simhash": op10_simhash,
 }
 
-ORACLES: dict[str, str] = {}
+_PLAIN = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+ORACLES = {
+    "op4_recompression": f"""
+        WITH docs AS (SELECT doc_id, {_PLAIN} AS w FROM documents),
+        words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM docs),
+        windows AS (
+          SELECT doc_id, p, array_to_string(w[p:p + 12], ' ') AS seq
+          FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 12)) AS p FROM docs)),
+        first AS (SELECT seq, min(doc_id) AS least FROM windows GROUP BY seq),
+        gone AS (
+          SELECT DISTINCT doc_id, p + k AS p
+          FROM windows JOIN first USING (seq), range(13) AS r(k) WHERE least < doc_id),
+        kept AS (
+          SELECT doc_id, count(g.p) AS n_removed,
+                 string_agg(word, ' ' ORDER BY p) FILTER (g.p IS NULL) AS text
+          FROM words LEFT JOIN gone g USING (doc_id, p) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+               CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM docs LEFT JOIN kept USING (doc_id)""",
+}
