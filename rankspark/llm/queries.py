@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rankspark.llm import recompression, simhash
+from rankspark.llm import decontamination, recompression, simhash
 from rankspark.llm.tables import table
 
 
@@ -16,6 +16,20 @@ def op4_recompression(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op6_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents", "doc_id", "text")
+    found = decontamination.contamination(docs, table(spark, d, "benchmark", "item_id", "text"))
+    ids = F.array_sort(F.col("items").cast("array<string>"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(ids, ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op10_simhash(spark: SparkSession, d: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, d, "documents", "doc_id", "text"))
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
@@ -24,12 +38,43 @@ def op10_simhash(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "op4_recompression": op4_recompression,
+    "op6_decontamination": op6_decontamination,
     "op10_simhash": op10_simhash,
 }
 
 _PLAIN = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_ALNUM = r"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".format(
+    upper="ABCDEFGHIJKLMNOPQRSTUVWXYZ", lower="abcdefghijklmnopqrstuvwxyz"
+)
 
 ORACLES = {
+    "op6_decontamination": f"""
+        WITH docs AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
+        items AS (SELECT item_id, {_ALNUM} AS w FROM benchmark),
+        patterns AS (
+          SELECT DISTINCT item_id, n, array_to_string(w[p:p + n - 1], ' ') AS seq
+          FROM (SELECT item_id, w, least(10, len(w)) AS n,
+                       unnest(generate_series(1, greatest(1, len(w) - 9))) AS p
+                FROM items WHERE len(w) > 0)),
+        sizes AS (SELECT DISTINCT n FROM patterns),
+        windows AS (
+          SELECT doc_id, p, n, array_to_string(w[p:p + n - 1], ' ') AS seq
+          FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS p
+                FROM docs, sizes)),
+        hits AS (SELECT doc_id, p, n, item_id FROM windows JOIN patterns USING (n, seq)),
+        words AS (
+          SELECT doc_id, count(DISTINCT p + k) AS n_hit
+          FROM (SELECT doc_id, p, unnest(range(n)) AS k FROM hits) GROUP BY doc_id),
+        held AS (
+          SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits)
+          GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+               CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+               CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN held USING (doc_id)""",
     "op4_recompression": f"""
         WITH docs AS (SELECT doc_id, {_PLAIN} AS w FROM documents),
         words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM docs),

@@ -323,7 +323,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, joined: bool = False)
                 columns += [pa.array(n), pa.array(sums[c.first[1:]] - sums[c.first[:-1]])]
                 yield pa.RecordBatch.from_arrays(columns, [*names, "n_words", "n_removed"])
 
-    schema = T.StructType(docs.schema.fields)
+    schema = T.StructType([*docs.schema.fields])
     for name in ("n_words", "n_removed"):
         schema = schema.add(name, T.LongType())
     return rows.mapInArrow(run, schema)
