@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rankspark.llm import decontamination, recompression, simhash
+from rankspark.llm import bitpack, decontamination, packing, recompression, simhash
 from rankspark.llm.tables import table
 
 
+def tokenizer() -> str:
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_packing(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack_documents(table(spark, d, "documents", "doc_id", "text"), tokenizer())
+
+
 def op4_recompression(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents", "doc_id", "text")
     cut = recompression.remove_repeats(docs, joined=True)
@@ -30,6 +39,16 @@ def op6_decontamination(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op7_bitpack(spark: SparkSession, d: str) -> DataFrame:
+    back = bitpack.round_trip(table(spark, d, "documents", "doc_id", "text"), tokenizer())
+    return back.select(
+        "doc_id",
+        "start",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 def op10_simhash(spark: SparkSession, d: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, d, "documents", "doc_id", "text"))
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
@@ -37,8 +56,10 @@ def op10_simhash(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_packing": op2_packing,
     "op4_recompression": op4_recompression,
     "op6_decontamination": op6_decontamination,
+    "op7_bitpack": op7_bitpack,
     "op10_simhash": op10_simhash,
 }
 
