@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rankspark.llm import bitpack, decontamination, packing, recompression, simhash
+from rankspark.llm import bitpack, decontamination, packing, recompression, simhash, warc
 from rankspark.llm.tables import table
 
 
@@ -49,6 +49,12 @@ def op7_bitpack(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op9_warc(spark: SparkSession, d: str) -> DataFrame:
+    return warc.archive(table(spark, d, "pages", "page_id", "url", "html")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op10_simhash(spark: SparkSession, d: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, d, "documents", "doc_id", "text"))
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
@@ -60,6 +66,7 @@ QUERIES = {
     "op4_recompression": op4_recompression,
     "op6_decontamination": op6_decontamination,
     "op7_bitpack": op7_bitpack,
+    "op9_warc": op9_warc,
     "op10_simhash": op10_simhash,
 }
 
@@ -114,4 +121,18 @@ ORACLES = {
                CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
                sha256(coalesce(kept.text, '')) AS kept_sha256
         FROM docs LEFT JOIN kept USING (doc_id)""",
+    "op9_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        d AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS hex FROM p),
+        m AS (SELECT hex, max(page_id) AS last FROM d GROUP BY hex)
+        SELECT page_id, payload_bytes,
+               array_to_string([
+                 substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   1 + ((CAST('0x' || substr(hex, CAST(5 * (k // 4) + 1 AS INT), 5) AS BIGINT)
+                         >> CAST(15 - 5 * (k % 4) AS INT)) & 31), 1)
+                 for k in range(32)], '')
+                 AS payload_digest,
+               CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> last THEN last END AS refers_to
+        FROM d JOIN m USING (hex)""",
 }
