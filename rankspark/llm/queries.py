@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rankspark.llm import bitpack, decontamination, packing, recompression, simhash, warc
+from rankspark.llm import bitpack, decontamination, packing, recompression, simhash, urls, warc
 from rankspark.llm.tables import table
 
 
@@ -25,6 +25,20 @@ def op4_recompression(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+RULES = (
+    urls.Rule("org/", True),
+    urls.Rule("example.org/es/", False),
+    urls.Rule("example.org/en/1", False),
+    urls.Rule("com/fr/", True),
+    urls.Rule("com/de/", False),
+)
+
+
+def op5_urls(spark: SparkSession, d: str) -> DataFrame:
+    model = urls.fit(urls.labelled_urls(spark))
+    return urls.judge(table(spark, d, "pages", "page_id", "url"), model, RULES)
+
+
 def op6_decontamination(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents", "doc_id", "text")
     found = decontamination.contamination(docs, table(spark, d, "benchmark", "item_id", "text"))
@@ -64,6 +78,7 @@ def op10_simhash(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "op2_packing": op2_packing,
     "op4_recompression": op4_recompression,
+    "op5_urls": op5_urls,
     "op6_decontamination": op6_decontamination,
     "op7_bitpack": op7_bitpack,
     "op9_warc": op9_warc,
