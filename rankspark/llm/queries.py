@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rankspark.llm import bitpack, decontamination, packing, recompression, simhash, urls, warc
+from rankspark.llm import bitpack, decontamination, packing, quality, recompression, simhash, urls, warc
 from rankspark.llm.tables import table
 
 
@@ -17,6 +17,10 @@ def op2_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_documents(table(spark, d, "documents", "doc_id", "text"), tokenizer())
 
 
+def op3_quality(spark: SparkSession, d: str) -> DataFrame:
+    return quality.verdicts(table(spark, d, "documents", "doc_id", "text", "lang", "source"))
+
+
 def op4_recompression(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents", "doc_id", "text")
     cut = recompression.remove_repeats(docs, joined=True)
@@ -77,6 +81,7 @@ def op10_simhash(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "op2_packing": op2_packing,
+    "op3_quality": op3_quality,
     "op4_recompression": op4_recompression,
     "op5_urls": op5_urls,
     "op6_decontamination": op6_decontamination,
