@@ -5,7 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rankspark.llm import bitpack, decontamination, packing, quality, recompression, simhash, urls, warc
+from rankspark.llm import (
+    bitpack,
+    decontamination,
+    licenses,
+    lmscore,
+    packing,
+    quality,
+    recompression,
+    simhash,
+    urls,
+    warc,
+)
 from rankspark.llm.tables import table
 
 
@@ -13,6 +24,14 @@ def tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_lmscore(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents", "doc_id", "text")
+    good = lmscore.good_documents(table(spark, d, "labels", "doc_id", "quality", "toxic"))
+    losses = ("target_loss", "background_loss", "difference")
+    scored = lmscore.score(docs, lmscore.fit(docs, good))
+    return scored.withColumns({c: F.round(c, 6) for c in losses})
+
+
 def op2_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_documents(table(spark, d, "documents", "doc_id", "text"), tokenizer())
 
@@ -67,6 +86,11 @@ def op7_bitpack(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op8_licenses(spark: SparkSession, d: str) -> DataFrame:
+    found = licenses.scan(table(spark, d, "documents", "doc_id", "text"))
+    return found.withColumn("dice", F.round("dice", 6))
+
+
 def op9_warc(spark: SparkSession, d: str) -> DataFrame:
     return warc.archive(table(spark, d, "pages", "page_id", "url", "html")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
@@ -80,12 +104,14 @@ def op10_simhash(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lmscore": op1_lmscore,
     "op2_packing": op2_packing,
     "op3_quality": op3_quality,
     "op4_recompression": op4_recompression,
     "op5_urls": op5_urls,
     "op6_decontamination": op6_decontamination,
     "op7_bitpack": op7_bitpack,
+    "op8_licenses": op8_licenses,
     "op9_warc": op9_warc,
     "op10_simhash": op10_simhash,
 }
@@ -95,7 +121,88 @@ _ALNUM = r"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'
     upper="ABCDEFGHIJKLMNOPQRSTUVWXYZ", lower="abcdefghijklmnopqrstuvwxyz"
 )
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _templates_sql() -> str:
+    rows = ((k, v.replace("'", "''")) for k, v in licenses.TEMPLATES.items())
+    return ", ".join(f"('{name}', '{text}')" for name, text in rows)
+
+
 ORACLES = {
+    "op1_lmscore": f"""
+        WITH good AS (
+          SELECT doc_id FROM labels GROUP BY doc_id
+          HAVING bool_and(coalesce(quality = 1 AND toxic = 0, false))),
+        docs AS (
+          SELECT doc_id, doc_id IN (SELECT doc_id FROM good) AS target,
+                 regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+        tokens AS (
+          SELECT doc_id, target, unnest(w) AS raw, generate_subscripts(w, 1) AS p FROM docs),
+        total AS (SELECT count(*) AS n FROM tokens),
+        vocabulary AS (
+          SELECT raw FROM tokens, total GROUP BY raw, n
+          HAVING count(*) > 1 AND count(*) * 1048576 >= n),
+        named AS (
+          SELECT doc_id, target, p, coalesce(v.raw, ' unknown') AS w
+          FROM tokens t LEFT JOIN vocabulary v USING (raw)),
+        grams AS (
+          SELECT doc_id, target, w,
+                 lag(w, 1, ' start') OVER (PARTITION BY doc_id ORDER BY p) AS v FROM named),
+        words AS (
+          SELECT w, count(*) FILTER (target) AS t, count(*) FILTER (NOT target) AS b
+          FROM grams GROUP BY w),
+        sizes AS (
+          SELECT (SELECT count(*) FROM vocabulary) AS size, sum(t) AS t, sum(b) AS b FROM words),
+        single AS (
+          SELECT w, (words.t + 1.0::DOUBLE) / (sizes.t + size + 1) AS t,
+                 (words.b + 1.0::DOUBLE) / (sizes.b + size + 1) AS b FROM words, sizes),
+        firsts AS (
+          SELECT v, count(*) FILTER (target) AS t, count(*) FILTER (NOT target) AS b
+          FROM grams GROUP BY v),
+        pairs AS (
+          SELECT v, w, count(*) FILTER (target) AS t, count(*) FILTER (NOT target) AS b
+          FROM grams, total GROUP BY v, w, n HAVING count(*) * 1048576 >= n),
+        shares AS (
+          SELECT v, w, greatest(p.t - 0.75::DOUBLE, 0) / greatest(f.t, 1) AS t,
+                 greatest(p.b - 0.75::DOUBLE, 0) / greatest(f.b, 1) AS b
+          FROM pairs p JOIN firsts f USING (v)),
+        rest AS (
+          SELECT v, 1 - coalesce(sum(s.t), 0) AS t, 1 - coalesce(sum(s.b), 0) AS b
+          FROM firsts f LEFT JOIN shares s USING (v) GROUP BY v),
+        losses AS (
+          SELECT doc_id, -avg(ln(coalesce(s.t, 0) + r.t * u.t)) AS t,
+                 -avg(ln(coalesce(s.b, 0) + r.b * u.b)) AS b
+          FROM grams g JOIN single u USING (w) JOIN rest r USING (v) LEFT JOIN shares s USING (v, w)
+          GROUP BY doc_id)
+        SELECT doc_id, CAST(len(docs.w) AS BIGINT) AS n_tokens, round(t, 6) AS target_loss,
+               round(b, 6) AS background_loss, round(t - b, 6) AS difference
+        FROM docs LEFT JOIN losses USING (doc_id)""",
+    "op8_licenses": f"""
+        WITH templates(license, text) AS (VALUES {_templates_sql()}),
+        known AS (
+          SELECT license, list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) AS g
+          FROM (SELECT license, {_ALNUM} AS w FROM templates)),
+        lines AS (
+          SELECT doc_id, text, 0 AS line FROM documents
+          UNION ALL
+          SELECT doc_id, unnest(l), generate_subscripts(l, 1)
+          FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)),
+        units AS (
+          SELECT doc_id, line, list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) AS g
+          FROM (SELECT doc_id, line, {_ALNUM} AS w FROM lines)),
+        near AS (
+          SELECT doc_id, line, license,
+                 2.0::DOUBLE * len(list_intersect(u.g, k.g)) / (len(u.g) + len(k.g)) AS dice
+          FROM units u JOIN known k
+            ON len(u.g) BETWEEN len(k.g) * 0.6 AND len(k.g) * 1.6),
+        best AS (
+          SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, line, license) AS r,
+                 count(*) OVER (PARTITION BY doc_id) AS n_matches
+          FROM near WHERE dice >= 0.8)
+        SELECT doc_id, license, round(dice, 6) AS dice, CAST(line AS INTEGER) AS line,
+               CAST(coalesce(n_matches, 0) AS BIGINT) AS n_matches
+        FROM documents LEFT JOIN (SELECT * FROM best WHERE r = 1) USING (doc_id)""",
     "op6_decontamination": f"""
         WITH docs AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
         items AS (SELECT item_id, {_ALNUM} AS w FROM benchmark),
