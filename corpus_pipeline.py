@@ -4,23 +4,58 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rankspark.llm import simhash
+from rankspark.llm import decontamination, packing, quality, recompression, simhash
 from rankspark.llm.tables import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go that fail a base rule or lie far from their language and source."""
+    return quality.keep(docs)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays, that with the least id."""
     return simhash.one_of_each(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("near_duplicates", near_duplicates)]
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages go that a smaller document holds too, and documents that have no word left.
+
+    ``n_chars`` follows the text, where the text is cut.
+    """
+    cut = recompression.remove_repeats(docs)
+    rest = cut.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
+    length = F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
+    return rest.withColumn("n_chars", F.coalesce(length, "n_chars")).select(*docs.columns)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go that hold a window of a benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    clean = decontamination.contamination(docs, items).where("n_hit = 0")
+    return clean.select(*docs.columns)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents that are left, and the sequences they are packed in."""
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("substring_dedup", substring_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("best_fit_packing", best_fit_packing),
+]
 
-#: Robust estimates, tokenizer ids and packing have no SQL form; tests/llm holds run()
-#: against brute force.
+#: Robust estimates, token ids and packing have no SQL form; tests/llm/test_pipeline.py holds
+#: run() against brute force.
 ORACLE_SQL = None
 
 
