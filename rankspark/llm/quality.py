@@ -142,14 +142,13 @@ def _consistency(share: float) -> float:
 
 def _vector(docs: DataFrame) -> DataFrame:
     """Adds the transformed statistics ``_X`` of rows with the columns of ``BASE``."""
-    n = F.greatest("n_words", F.lit(1))
     values = (
-        F.log(F.greatest("word_chars", F.lit(1)) / n),
-        F.log1p(100 * F.col("n_symbols") / n),
-        F.log1p("n_dup_lines"),
-        F.asin(F.sqrt(F.col("n_repeat_words") / n)),
+        "ln(greatest(word_chars, 1) / greatest(n_words, 1))",
+        "log1p(100 * n_symbols / greatest(n_words, 1))",
+        "log1p(n_dup_lines)",
+        "asin(sqrt(n_repeat_words / greatest(n_words, 1)))",
     )
-    return docs.withColumns({x: F.round(_UNIT * v).cast("long") for x, v in zip(_X, values, strict=True)})
+    return docs.withColumns({x: F.expr(f"bigint(round({_UNIT} * {v}))") for x, v in zip(_X, values, strict=True)})
 
 
 def _text_group(column: str) -> Column:
@@ -157,33 +156,32 @@ def _text_group(column: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit(""))
 
 
-def _distance2() -> Column:
-    """Squared Mahalanobis distance of the vector from the estimate beside it."""
-    off = [F.col(x) / _UNIT - F.col(f"m{i}") for i, x in enumerate(_X)]
-    rows = [sum((F.col(f"w{i}{j}") * off[j] for j in range(1, i + 1)), F.col(f"w{i}0") * off[0]) for i in range(len(_X))]
-    return sum((y * y for y in rows[1:]), rows[0] * rows[0])
+def _distance2() -> str:
+    """Squared Mahalanobis distance of the vector from the estimate beside it, as SQL."""
+    off = [f"({x} / {_UNIT} - m{i})" for i, x in enumerate(_X)]
+    return " + ".join(f"{1 if i == j else 2} * w{i}{j} * {off[i]} * {off[j]}" for i, j in _PAIRS)
 
 
-_ESTIMATE = [f"m{i}" for i in range(len(NOISE))] + [f"w{i}{j}" for j, i in _PAIRS]
+def _inverted(rows: DataFrame) -> DataFrame:
+    """grp, means ``m{i}`` and covariances ``s{i}{j}``, i <= j -> ``w{i}{j}`` of the inverse.
 
+    The sweep operator, applied to every diagonal entry, gives the inverse times -1.
+    """
+    names = ["grp", *[f"m{i}" for i in range(len(NOISE))]]
+
+    def entry(i: int, j: int) -> str:
+        return f"s{min(i, j)}{max(i, j)}"
+
+    def swept(i: int, j: int, k: int) -> str:
+        if i == j == k:
+            return f"-1 / {entry(k, k)}"
+        if k in (i, j):
+            return f"{entry(i, j)} / {entry(k, k)}"
+        return f"{entry(i, j)} - {entry(i, k)} * {entry(j, k)} / {entry(k, k)}"
 
-def _whitening(rows: DataFrame, *keys: str) -> DataFrame:
-    """Covariances ``s{i}{j}``, j <= i -> the inverse of their Cholesky factor, ``w{i}{j}``."""
-    size = len(NOISE)
-    for i in range(size):
-        for j in range(i + 1):
-            rest = F.col(f"s{i}{j}")
-            for k in range(j):
-                rest = rest - F.col(f"l{i}{k}") * F.col(f"l{j}{k}")
-            rows = rows.withColumn(f"l{i}{j}", F.sqrt(rest) if i == j else rest / F.col(f"l{j}{j}"))
-    for i in range(size):
-        rows = rows.withColumn(f"w{i}{i}", 1 / F.col(f"l{i}{i}"))
-        for j in range(i):
-            total = F.col(f"l{i}{j}") * F.col(f"w{j}{j}")
-            for k in range(j + 1, i):
-                total = total + F.col(f"l{i}{k}") * F.col(f"w{k}{j}")
-            rows = rows.withColumn(f"w{i}{j}", -total / F.col(f"l{i}{i}"))
-    return rows.select(*keys, *_ESTIMATE)
+    for k in range(len(NOISE)):
+        rows = rows.selectExpr(*names, *[f"{swept(i, j, k)} AS s{i}{j}" for i, j in _PAIRS])
+    return rows.selectExpr(*names, *[f"-{entry(i, j)} AS w{i}{j}" for i, j in _PAIRS])
 
 
 def _medians(counts: DataFrame, value: str) -> DataFrame:
@@ -204,42 +202,40 @@ def _start(vectors: DataFrame) -> DataFrame:
     both = middle.join(off, ["grp", "dim"])
     own = []
     for i, noise in enumerate(NOISE):
-        here = F.col("dim") == i
-        deviation = 1.4826 * F.max(F.when(here, F.col("median"))) / _UNIT
-        own.append((F.max(F.when(here, F.col("m"))) / _UNIT).alias(f"m{i}"))
-        own += [F.lit(0.0).alias(f"s{i}{j}") for j in range(i)]
-        own.append((deviation * deviation + noise * noise).alias(f"s{i}{i}"))
-    return _whitening(both.groupBy("grp").agg(*own), "grp")
-
-
-def _moments() -> list[Column]:
-    products = [F.sum(F.col(_X[i]) * F.col(_X[j])).alias(f"p{j}{i}") for i, j in _PAIRS]
-    return [F.count(F.lit(1)).alias("n"), *[F.sum(x).alias(f"t{i}") for i, x in enumerate(_X)], *products]
+        own.append(f"max(CASE WHEN dim = {i} THEN m END) / {_UNIT} AS m{i}")
+        own.append(f"pow(1.4826D * max(CASE WHEN dim = {i} THEN median END) / {_UNIT}, 2) + {noise**2}D AS s{i}{i}")
+        own += [f"0D AS s{i}{j}" for j in range(i + 1, len(NOISE))]
+    return _inverted(both.groupBy("grp").agg(*map(F.expr, own)))
 
 
-_MOMENTS = ["n", *[f"t{i}" for i in range(len(NOISE))], *[f"p{j}{i}" for i, j in _PAIRS]]
+_MOMENTS = ["n", *[f"t{i}" for i in range(len(NOISE))], *[f"p{i}{j}" for i, j in _PAIRS]]
 
 
-def _estimate(moments: DataFrame, factor: float) -> DataFrame:
-    """Sums over the texts chosen -> mean and whitened covariance."""
-    wide = {c: F.col(c).cast("double") for c in _MOMENTS}
-    rows = moments.withColumns(wide)
-    rows = rows.withColumns({f"m{i}": F.col(f"t{i}") / F.col("n") / _UNIT for i in range(len(NOISE))})
-    covariances = {}
-    for j, i in _PAIRS:
-        value = F.col(f"p{i}{j}") / F.col("n") / _UNIT**2 - F.col(f"m{i}") * F.col(f"m{j}")
-        covariances[f"s{i}{j}"] = factor * value + (NOISE[i] ** 2 if i == j else 0.0)
-    return _whitening(rows.withColumns(covariances), "grp")
+def _moments() -> list[Column]:
+    """Count, sums and sums of products of the vectors."""
+    sums = ["count(1)", *[f"sum({x})" for x in _X], *[f"sum({_X[i]} * {_X[j]})" for i, j in _PAIRS]]
+    return [F.expr(f"{value} AS {name}") for name, value in zip(_MOMENTS, sums, strict=True)]
 
 
 def _sums(rows: DataFrame) -> DataFrame:
     """Sums of sums, wide enough for any number of texts."""
-    return rows.groupBy("grp").agg(*[F.sum(F.col(c).cast("decimal(38,0)")).alias(c) for c in _MOMENTS])
+    return rows.groupBy("grp").agg(*[F.expr(f"sum(CAST({c} AS decimal(38,0))) AS {c}") for c in _MOMENTS])
+
+
+def _estimate(moments: DataFrame, factor: float) -> DataFrame:
+    """Sums over the texts chosen -> mean and inverse covariance."""
+    means = [f"double(t{i}) / double(n) / {_UNIT} AS m{i}" for i in range(len(NOISE))]
+    squares = [f"double(p{i}{j}) / double(n) / {_UNIT**2} AS p{i}{j}" for i, j in _PAIRS]
+    rows = moments.selectExpr("grp", *means, *squares)
+    covariances = [
+        f"{factor}D * (p{i}{j} - m{i} * m{j}) + {NOISE[i] ** 2 if i == j else 0.0}D AS s{i}{j}" for i, j in _PAIRS
+    ]
+    return _inverted(rows.selectExpr("*", *covariances))
 
 
 def _concentrate(vectors: DataFrame, estimate: DataFrame) -> DataFrame:
     """One step: the estimate from the nearest share of each group."""
-    class_ = F.floor(_CLASSES * F.log1p(_distance2()))
+    class_ = F.expr(f"floor({_CLASSES} * ln(1 + {_distance2()}))")
     near = vectors.join(estimate, "grp").withColumn("class", class_).groupBy("grp", "class").agg(*_moments())
     own = Window.partitionBy("grp")
     before = own.orderBy("class").rowsBetween(Window.unboundedPreceding, -1)
@@ -267,7 +263,7 @@ def fit(statistics: DataFrame) -> DataFrame:
     estimate = stored(_start(vectors), "quality-estimate")
     for _ in range(STEPS):
         estimate = stored(_concentrate(vectors, estimate), "quality-estimate")
-    near = vectors.join(estimate, "grp").where(_distance2() <= chi2_quantile(REWEIGHT))
+    near = vectors.join(estimate, "grp").where(f"{_distance2()} <= {chi2_quantile(REWEIGHT)}D")
     final = _estimate(_sums(near.groupBy("grp").agg(*_moments())), _consistency(REWEIGHT))
     return stored(groups.join(final, "grp").drop("grp"), "quality-final")
 
@@ -277,7 +273,7 @@ def judge(docs: DataFrame, estimates: DataFrame) -> DataFrame:
     names = [c for c in docs.columns if c not in ("distance2", "kept")]
     rows = _vector(docs.select(*names).withColumns({"__lang": _text_group("lang"), "__source": _text_group("source")}))
     rows = rows.join(estimates, ["__lang", "__source"], "left")
-    rows = rows.select(*names, F.when(~F.col("base_failed"), _distance2()).alias("distance2"))
+    rows = rows.select(*names, F.expr(f"CASE WHEN NOT base_failed THEN {_distance2()} END AS distance2"))
     near = F.coalesce(F.col("distance2") <= chi2_quantile(CUTOFF), F.lit(True))
     return rows.withColumn("kept", ~F.col("base_failed") & near)
 
