@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rankspark.llm.tables import stored
-from rankspark.llm.tokens import encoder, texts_of
+from rankspark.llm.tokens import encoder
 from rankspark.runtime import new_folder
 
 BLOCK = 1 << 16
@@ -167,12 +167,11 @@ def write(docs: DataFrame, tokenizer: str, folder: str, partitions: int) -> Data
         bits = width(own.tokenizer.get_vocab_size())
         rows, writer, uri = [], None, ""
         for batch in batches:
-            ids = own.encode(texts_of(batch.column(1)))
-            for doc_id, data in zip(batch.column(0).to_pylist(), ids, strict=True):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), own.encode(batch.column(1)), strict=True):
                 if writer is None:
                     uri = f"{folder}/{shard:06d}-{len(rows):04d}-{uuid.uuid4().hex}.ids"
                     writer = Writer(uri, bits)
-                writer.add(doc_id, np.frombuffer(data, "<u4"))
+                writer.add(doc_id, ids)
                 if writer.n >= FILE_IDS:
                     writer.close()
                     rows.append((uri, len(writer.ids), writer.n))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from rankspark.llm.tables import stored
-from rankspark.llm.tokens import encoder, texts_of
+from rankspark.llm.tokens import encoder
 
 CAPACITY = 1024
 #: Moves of the local search; it ends earlier when none increases the squared fill.
@@ -220,12 +220,12 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
         own = encoder(tokenizer)
         for batch in batches:
             out: list[tuple] = []
-            for doc_id, ids in zip(batch.column(0).to_pylist(), own.encode(texts_of(batch.column(1))), strict=True):
-                n = len(ids) // 4
+            for doc_id, ids in zip(batch.column(0).to_pylist(), own.encode(batch.column(1)), strict=True):
+                n = len(ids)
                 ends = range((n - 1) % capacity + 1, n + 1, capacity)
                 start = 0
                 for piece, end in enumerate(ends):
-                    out.append((doc_id, piece, start, end - start, zlib.crc32(ids[4 * start : 4 * end])))
+                    out.append((doc_id, piece, start, end - start, zlib.crc32(ids[start:end].astype("<u4", copy=False))))
                     start = end
             columns = list(zip(*out, strict=True)) or [()] * 5
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
