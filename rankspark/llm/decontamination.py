@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from rankspark.llm import words as W
+from rankspark.llm.tables import stored
 
 WINDOW = 10
 #: Words of benchmark text per automaton (some 0.5 GB); a larger benchmark is scanned in blocks.
@@ -166,9 +167,8 @@ def contamination(
     blocks = max(1, -(-int(chars) // (6 * block_words)))
     out = _scan(docs, _items(items, 0, blocks), window)
     for block in range(1, blocks):  # each scan takes the rows of the one before
-        before = {c: f"__{c}" for c in added}
-        out = _scan(out.withColumnsRenamed(before), _items(items, block, blocks), window)
-        out = _put_together(out).select(*docs.columns, *added)
+        rows = stored(out, "decontamination").withColumnsRenamed({c: f"__{c}" for c in added})
+        out = _put_together(_scan(rows, _items(items, block, blocks), window)).select(*docs.columns, *added)
     return out
 
 

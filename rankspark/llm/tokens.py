@@ -27,7 +27,7 @@ PRE_TOKENS = 300_000
 
 #: Fixed value: the byte-level pre-tokens, as far as words of Latin letters can hold them.
 _PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+")
-_LATIN = re.compile(r"[!-~\xa1-ɏ]+")
+_LATIN = re.compile(r"[!-~\xa1-\u024f]+")
 #: Fixed value: white space and what Python takes for it, other than that between words.
 _SPACES = r"\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _EDGE = re.compile(rf"^[{_SPACES}]|[{_SPACES}]$")
