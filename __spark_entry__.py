@@ -35,9 +35,10 @@ TOP_N = 100
 SUBSET = 100
 RUN_TS = "2024-01-30 00:00:00"
 AS_OF = dt.date(2024, 1, 30)
+UPLOADED = dt.date(1998, 6, 15)
 GENRE = "eCoN"
 PAGE = serving.PageRequest(limit=20, offset=40, genre=GENRE)
-DEEP_LIMIT, DEEP_OFFSET, DEEP_BOUND = 50, 120, 100
+DEEP_LIMIT, DEEP_OFFSET = 50, 120
 DELETED_GENRE = "promo"
 ITEM_SEARCH = 'ring "brand#1"'
 TITLE_SEARCH = "blue (196"
@@ -211,19 +212,44 @@ def overwritten_recommendations(spark: SparkSession, d: str) -> DataFrame:
     return stored.select("movie_id", score, "popularity_score")
 
 
+def appended_items(spark: SparkSession, d: str) -> DataFrame:
+    """Two runs over one folder: the second adds the suppliers, and the ratings of all items.
+
+    Its recommendations are those of items that either run has stored.
+    """
+    base, ratings = new_folder(spark, "appended"), _ratings(spark, d)
+    parts = adapters.part_items(spark, d)
+    suppliers = _items(spark, d).join(parts, "movie_id", "left_anti")
+    none = ratings.limit(0)
+    batch.run(parts, none, ALL_ITEMS, batch.to_folder(base, "append"), _run_ts())
+    batch.run(suppliers, ratings, ALL_ITEMS, batch.to_folder(base, "append"), _run_ts())
+    items = sources.read_stored(spark, base, schemas.ITEMS).select("movie_id", "title")
+    scores = sources.read_stored(spark, base, schemas.RECOMMENDATIONS)
+    score = F.round("recommendation_score", 6).alias("recommendation_score")
+    return items.join(scores.select("movie_id", score), "movie_id", "left")
+
+
+def insert_defaults(spark: SparkSession, d: str) -> DataFrame:
+    """Rows without some columns, and with NULL means, as the item table stores them."""
+    means = _stats(spark, d).select("movie_id", "avg_rating")
+    rows = _items(spark, d).select("movie_id", "title").join(means, "movie_id", "left")
+    stored = schemas.conform(rows, schemas.ITEMS)
+    return stored.select("movie_id", "title", "genres", "avg_rating", "rating_count")
+
+
 def item_subset(spark: SparkSession, d: str) -> DataFrame:
     return sources.item_subset(_items(spark, d), SUBSET).select("movie_id", "title")
 
 
 def ratings_of_subset(spark: SparkSession, d: str) -> DataFrame:
-    subset = sources.item_subset(adapters.part_items(spark, d), SUBSET)
+    subset = sources.item_subset(_items(spark, d), SUBSET)
     return sources.ratings_of(_ratings(spark, d), subset).select("user_id", "movie_id", "rating")
 
 
 def subset_run(spark: SparkSession, d: str) -> DataFrame:
     """A development run: the prior, too, comes from the subset's ratings only."""
     config = batch.JobConfig.all_items(item_limit=SUBSET)
-    _, scores = batch.build(adapters.part_items(spark, d), _ratings(spark, d), config)
+    _, scores = batch.build(_items(spark, d), _ratings(spark, d), config)
     return scores.select("movie_id", "recommendation_score", "popularity_score")
 
 
@@ -241,11 +267,20 @@ def recommendation_page(spark: SparkSession, d: str) -> DataFrame:
 def recommendation_deep_page(spark: SparkSession, d: str) -> DataFrame:
     """A page far down the list, cut from the distributed ranking."""
     request = serving.PageRequest(limit=DEEP_LIMIT, offset=DEEP_OFFSET)
-    return serving.recommendation_page(*_stored(spark, d), request, DEEP_BOUND)
+    return serving.recommendation_page(*_stored(spark, d), request, deep=True)
+
+
+def complete_page(spark: SparkSession, d: str) -> DataFrame:
+    """A page while items of one kind are gone: full, with the total of what can be shown."""
+    recommendations, items = _stored(spark, d)
+    left = items.join(_kept_items(spark, d).select("movie_id"), "movie_id", "left_semi")
+    total = serving.shown(recommendations, left).agg(F.count(F.lit(1)).alias("total")).scalar()
+    page = serving.recommendation_page(recommendations, left, serving.PageRequest(limit=20))
+    return page.withColumn("total", total)
 
 
 def page_info(spark: SparkSession, d: str) -> DataFrame:
-    wanted = serving.in_genre(*_stored(spark, d), GENRE)
+    wanted = serving.shown(*_stored(spark, d), GENRE)
     return paging.page_info(wanted, PAGE.limit, PAGE.offset)
 
 
@@ -321,9 +356,7 @@ def recommendation_search(spark: SparkSession, d: str) -> DataFrame:
 
 def browse_items(spark: SparkSession, d: str) -> DataFrame:
     _, items = _stored(spark, d)
-    rows = browse.browse(
-        items, schemas.ITEMS, query="ring", dates={"created_at": ("this_year", AS_OF)}
-    )
+    rows = browse.browse(items, schemas.ITEMS, query="ring", facets={"year": 1968})
     return _plain_times(rows)
 
 
@@ -346,12 +379,16 @@ def browse_recommendations(spark: SparkSession, d: str) -> DataFrame:
 
 def browse_datasets(spark: SparkSession, d: str) -> DataFrame:
     return browse.browse(
-        adapters.datasets(spark, d), schemas.DATASETS, query="7.csv", facets={"processed": False}
+        adapters.datasets(spark, d),
+        schemas.DATASETS,
+        query="7.csv",
+        facets={"processed": False},
+        dates={"upload_date": ("this_year", UPLOADED)},
     )
 
 
 def browse_preferences(spark: SparkSession, d: str) -> DataFrame:
-    return browse.browse(adapters.preferences(spark, d), schemas.PREFERENCES, query="customer#")
+    return browse.browse(adapters.preferences(spark, d), schemas.PREFERENCES, query="customer#0000001")
 
 
 def facet_values(spark: SparkSession, d: str) -> DataFrame:
@@ -379,7 +416,7 @@ def facet_filter_processed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def facet_filter_dates(spark: SparkSession, d: str) -> DataFrame:
-    return facets.facet_date_counts(adapters.load(spark, d, "events"), "ts", AS_OF)
+    return facets.facet_date_counts(adapters.datasets(spark, d), "upload_date", UPLOADED)
 
 
 def facet_rows_past_7_days(spark: SparkSession, d: str) -> DataFrame:
@@ -436,7 +473,9 @@ def null_violations(spark: SparkSession, d: str) -> DataFrame:
 
 
 def null_violations_ratings(spark: SparkSession, d: str) -> DataFrame:
-    return quality.null_violations(_ratings(spark, d), schemas.RATINGS)
+    """Every order with its ratings, and those without any."""
+    users = adapters.load(spark, d, "orders").select(F.col("o_orderkey").alias("user_id"))
+    return quality.null_violations(users.join(_ratings(spark, d), "user_id", "left"), schemas.RATINGS)
 
 
 def _document_items(spark: SparkSession, d: str) -> DataFrame:
@@ -509,12 +548,15 @@ _QUERIES: tuple[Query, ...] = (
     stored_items,
     stored_recommendations,
     overwritten_recommendations,
+    appended_items,
+    insert_defaults,
     item_subset,
     ratings_of_subset,
     subset_run,
     genre_filter,
     recommendation_page,
     recommendation_deep_page,
+    complete_page,
     page_info,
     page_entries,
     page_envelope,
@@ -578,7 +620,7 @@ _VIEWS = {
     "items": """
         SELECT * FROM part_items
         UNION ALL
-        SELECT -1 - s_suppkey, s_name, NULL FROM supplier""",
+        SELECT 1000000000 + s_suppkey, s_name, NULL FROM supplier""",
     "ratings": """
         SELECT l_orderkey AS user_id, l_partkey AS movie_id,
                ceil(l_quantity / 5) / 2 AS rating,
@@ -593,7 +635,7 @@ _VIEWS = {
     "preferences": """
         SELECT c_name AS "user", c_mktsegment AS favorite_categories,
                min(o_orderdate) AS created_at, max(o_orderdate) AS updated_at
-        FROM customer JOIN orders ON o_custkey = c_custkey
+        FROM customer LEFT JOIN orders ON o_custkey = c_custkey
         GROUP BY c_custkey, c_name, c_mktsegment""",
     "stats": """
         SELECT movie_id, avg(rating) AS avg_rating, count(rating) AS rating_count
@@ -622,7 +664,7 @@ _VIEWS = {
     "kept_items": f"""
         SELECT * FROM items
         WHERE genres IS NULL OR NOT contains(lower(genres), '{DELETED_GENRE}')""",
-    "subset": f"SELECT * FROM part_items ORDER BY movie_id LIMIT {SUBSET}",
+    "subset": f"SELECT * FROM items ORDER BY movie_id LIMIT {SUBSET}",
     "subset_ratings": """
         SELECT user_id, movie_id, rating FROM ratings
         WHERE movie_id IN (SELECT movie_id FROM subset)""",
@@ -630,6 +672,9 @@ _VIEWS = {
         SELECT r.movie_id, title, genres, year, recommendation_score
         FROM recs r JOIN item_rows i ON i.movie_id = r.movie_id
         WHERE contains(lower(genres), lower('{GENRE}'))""",
+    "opened": """
+        SELECT o_orderkey AS user_id, movie_id, rating, timestamp, created_at
+        FROM orders LEFT JOIN ratings ON user_id = o_orderkey""",
     "document_items": """
         SELECT doc_id AS movie_id, text AS title, lang || '|' || source AS genres
         FROM documents""",
@@ -811,8 +856,9 @@ def oracle_sql() -> dict[str, str]:
                    movie_id, title, genres, year, avg_rating, rating_count,
                    {stamp} AS created_at
             FROM item_rows
-            WHERE contains(lower(title), 'ring') OR contains(CAST(movie_id AS VARCHAR), 'ring')
-               OR contains(lower(genres), 'ring')
+            WHERE year = 1968
+              AND (contains(lower(title), 'ring') OR contains(CAST(movie_id AS VARCHAR), 'ring')
+                   OR contains(lower(genres), 'ring'))
             ORDER BY rank LIMIT 50""",
         "browse_ratings": """
             SELECT row_number() OVER (ORDER BY created_at DESC, user_id, r.movie_id, rating)
@@ -832,10 +878,11 @@ def oracle_sql() -> dict[str, str]:
         "browse_datasets": """
             SELECT row_number() OVER (ORDER BY upload_date DESC, id) AS rank, *
             FROM datasets WHERE NOT processed AND contains(data_file, '7.csv')
+              AND upload_date >= TIMESTAMP '1998-01-01' AND upload_date < TIMESTAMP '1999-01-01'
             ORDER BY rank LIMIT 100""",
         "browse_preferences": """
             SELECT row_number() OVER (ORDER BY created_at DESC, "user") AS rank, *
-            FROM preferences WHERE contains(lower("user"), 'customer#')
+            FROM preferences WHERE contains(lower("user"), 'customer#0000001')
             ORDER BY rank LIMIT 100""",
         "facet_values": "SELECT rating, count(*) AS n FROM ratings GROUP BY rating",
         "facet_values_year": "SELECT year, count(*) AS n FROM item_rows GROUP BY year",
@@ -845,17 +892,30 @@ def oracle_sql() -> dict[str, str]:
             SELECT user_id, movie_id, rating FROM ratings WHERE rating = 5.0""",
         "facet_filter_processed": "SELECT * FROM datasets WHERE processed",
         "facet_filter_dates": """
-            SELECT 'today' AS bucket, count(*) AS n FROM events
-              WHERE ts >= TIMESTAMP '2024-01-30' AND ts < TIMESTAMP '2024-01-31'
-            UNION ALL SELECT 'past_7_days', count(*) FROM events
-              WHERE ts >= TIMESTAMP '2024-01-23' AND ts < TIMESTAMP '2024-01-31'
-            UNION ALL SELECT 'this_month', count(*) FROM events
-              WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-02-01'
-            UNION ALL SELECT 'this_year', count(*) FROM events
-              WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2025-01-01'""",
+            SELECT 'today' AS bucket, count(*) AS n FROM datasets
+              WHERE upload_date >= TIMESTAMP '1998-06-15' AND upload_date < TIMESTAMP '1998-06-16'
+            UNION ALL SELECT 'past_7_days', count(*) FROM datasets
+              WHERE upload_date >= TIMESTAMP '1998-06-08' AND upload_date < TIMESTAMP '1998-06-16'
+            UNION ALL SELECT 'this_month', count(*) FROM datasets
+              WHERE upload_date >= TIMESTAMP '1998-06-01' AND upload_date < TIMESTAMP '1998-07-01'
+            UNION ALL SELECT 'this_year', count(*) FROM datasets
+              WHERE upload_date >= TIMESTAMP '1998-01-01' AND upload_date < TIMESTAMP '1999-01-01'""",
         "facet_rows_past_7_days": """
             SELECT event_id, ts FROM events
             WHERE ts >= TIMESTAMP '2024-01-23' AND ts < TIMESTAMP '2024-01-31'""",
+        "appended_items": """
+            SELECT movie_id, title, round(recommendation_score, 6) AS recommendation_score
+            FROM items LEFT JOIN scores USING (movie_id)""",
+        "insert_defaults": """
+            SELECT movie_id, title, CAST(NULL AS VARCHAR) AS genres,
+                   coalesce(avg_rating, 0.0) AS avg_rating, CAST(0 AS BIGINT) AS rating_count
+            FROM items LEFT JOIN stats USING (movie_id)""",
+        "complete_page": """
+            SELECT row_number() OVER (ORDER BY recommendation_score DESC, r.movie_id) AS rank,
+                   title, genres, year, recommendation_score, count(*) OVER () AS total
+            FROM recs r JOIN item_rows i ON i.movie_id = r.movie_id
+            WHERE r.movie_id IN (SELECT movie_id FROM kept_items)
+            ORDER BY rank LIMIT 20""",
         "dup_items": """
             SELECT movie_id, count(*) AS n FROM (
               SELECT movie_id FROM part_items UNION ALL SELECT s_suppkey FROM supplier)
@@ -878,17 +938,17 @@ def oracle_sql() -> dict[str, str]:
             WHERE movie_id IN (SELECT movie_id FROM kept_items)""",
         "null_violations_ratings": """
             SELECT 'ratings.user_id:required' AS rule,
-                   count(*) FILTER (user_id IS NULL) AS n FROM ratings
+                   count(*) FILTER (user_id IS NULL) AS n FROM opened
             UNION ALL SELECT 'ratings.movie_id:required',
-                   count(*) FILTER (movie_id IS NULL) FROM ratings
+                   count(*) FILTER (movie_id IS NULL) FROM opened
             UNION ALL SELECT 'ratings.rating:required',
-                   count(*) FILTER (rating IS NULL) FROM ratings
+                   count(*) FILTER (rating IS NULL) FROM opened
             UNION ALL SELECT 'ratings.timestamp:required',
-                   count(*) FILTER (timestamp IS NULL) FROM ratings
+                   count(*) FILTER (timestamp IS NULL) FROM opened
             UNION ALL SELECT 'ratings.created_at:required',
-                   count(*) FILTER (created_at IS NULL) FROM ratings""",
+                   count(*) FILTER (created_at IS NULL) FROM opened""",
         "null_violations": """
-            SELECT 'movies.movie_id:required' AS rule, CAST(0 AS BIGINT) AS n
+            SELECT 'movies.movie_id:required' AS rule, count(*) FILTER (movie_id IS NULL) AS n FROM items
             UNION ALL SELECT 'movies.title:required', count(*) FROM items WHERE title IS NULL
             UNION ALL SELECT 'movies.avg_rating:required', count(*) FROM items
               WHERE movie_id NOT IN (SELECT movie_id FROM stats)

@@ -10,10 +10,6 @@ from rankspark.runtime import prepare_checkpoints
 
 Order = Sequence[tuple[str, bool]]
 
-# Rows that Spark's top-k keeps per task and merges in one task.  Beyond this
-# the rank comes from a distributed sort instead.
-TOP_K_BOUND = 10_000
-
 # monotonically_increasing_id: partition number above the low 33 bits.
 _ROW_BITS = 33
 
@@ -26,32 +22,33 @@ def ordering(order: Order) -> list[Column]:
     ]
 
 
-def top_n(df: DataFrame, order: Order, n: int, bound: int = TOP_K_BOUND) -> DataFrame:
-    """The first n rows of ``df`` in ``order``, which must be total."""
+def top_n(df: DataFrame, order: Order, n: int) -> DataFrame:
+    """The first n rows of ``df`` in ``order``, which must be total; sorted."""
     _check("n", n)
-    if n <= bound:
-        return df.orderBy(*ordering(order)).limit(n)
-    return global_rank(df, order).filter(F.col("rank") <= n).drop("rank")
+    return df.orderBy(*ordering(order)).limit(n)
 
 
-def page(
-    df: DataFrame, order: Order, limit: int = 20, offset: int = 0, bound: int = TOP_K_BOUND
-) -> DataFrame:
-    """Rows offset+1 .. offset+limit of ``df`` with their ``rank`` in the whole.
+def page(df: DataFrame, order: Order, limit: int = 20, offset: int = 0) -> DataFrame:
+    """Rows offset+1 .. offset+limit of ``df`` with their ``rank`` in the whole; sorted.
 
-    A page near the top is a top-k, so its rank is numbered over at most ``limit``
-    rows.  A page that ends beyond ``bound`` is cut out of a distributed ranking,
-    so that no task ever holds all rows before it.
+    A top-k: each task keeps offset + limit rows at most, and one task merges them.  The
+    rank is numbered over the page alone.  ``deep_page`` gives the same rows where
+    offset + limit is more than one task should hold.
     """
     _check("limit", limit)
     _check("offset", offset)
-    if offset + limit <= bound:
-        keys = ordering(order)
-        rows = df.orderBy(*keys).offset(offset).limit(limit)
-        place = F.row_number().over(Window.orderBy(*keys)).cast("bigint")
-        return rows.withColumn("rank", place + F.lit(offset).cast("bigint"))
+    keys = ordering(order)
+    rows = df.orderBy(*keys).offset(offset).limit(limit)
+    place = F.row_number().over(Window.orderBy(*keys)).cast("bigint")
+    return rows.withColumn("rank", place + F.lit(offset).cast("bigint"))
+
+
+def deep_page(df: DataFrame, order: Order, limit: int, offset: int) -> DataFrame:
+    """The rows of ``page``, cut out of a distributed ranking that is stored when called."""
+    _check("limit", limit)
+    _check("offset", offset)
     wanted = F.col("rank").between(offset + 1, offset + limit)
-    return global_rank(df, order).filter(wanted)
+    return global_rank(df, order).filter(wanted).orderBy("rank")
 
 
 def global_rank(df: DataFrame, order: Order) -> DataFrame:
@@ -87,12 +84,6 @@ def global_rank(df: DataFrame, order: Order) -> DataFrame:
     )
 
 
-def in_rank_order(rows: DataFrame, limit: int, bound: int = TOP_K_BOUND) -> DataFrame:
-    """Order a page by rank again after joins; a small one needs no range shuffle."""
-    ordered = rows.orderBy("rank")
-    return ordered.limit(limit) if limit <= bound else ordered
-
-
 def page_info(df: DataFrame, limit: int, offset: int = 0) -> DataFrame:
     """One row: total, page, total_pages, has_prev, has_next."""
     _check("limit", limit)

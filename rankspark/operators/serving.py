@@ -15,7 +15,7 @@ from rankspark.functions import (
     recommendation_label,
     year_label,
 )
-from rankspark.operators.paging import TOP_K_BOUND, in_rank_order, page, top_n
+from rankspark.operators.paging import deep_page, page, top_n
 from rankspark.operators.stats import dashboard_mean
 
 # Default page, order of recommendations, size of the top list,
@@ -49,39 +49,38 @@ def genre_filter(items: DataFrame, genre: str) -> DataFrame:
     return items.filter(contains_ci(F.col("genres"), genre)) if genre else items
 
 
-def in_genre(recommendations: DataFrame, items: DataFrame, genre: str) -> DataFrame:
-    """Recommendations of items in a genre; the item table is read only if one is given."""
-    if not genre:
-        return recommendations
-    return recommendations.join(
-        genre_filter(items, genre).select("movie_id"), "movie_id", "left_semi"
-    )
+def shown(recommendations: DataFrame, items: DataFrame, genre: str = "") -> DataFrame:
+    """Recommendations whose item is stored and belongs to a genre, if one is given.
 
+    Lists, pages and their totals start from these, so that nothing is lost to a later
+    join with the items.
+    """
+    known = genre_filter(items, genre).select("movie_id")
+    return recommendations.join(known, "movie_id", "left_semi")
 
-def top_titles(recommendations: DataFrame, items: DataFrame, n: int = TOP_SIZE) -> DataFrame:
-    """Best n recommendations with all item columns.
 
-    The item join comes after the top-k, so only n rows meet the item table.  Each
-    recommendation must have one item, which ``existing_only`` and the rule checks
-    ensure.
-    """
-    best = top_n(recommendations.select("movie_id", "recommendation_score"), BY_SCORE, n)
-    return top_n(best.join(items, "movie_id"), BY_SCORE, n)
+def top_titles(recommendations: DataFrame, items: DataFrame, n: int = TOP_SIZE) -> DataFrame:
+    """Best n recommendations with all item columns; only n rows meet those columns."""
+    best = page(shown(recommendations, items).select("movie_id", "recommendation_score"), BY_SCORE, n)
+    return best.join(items, "movie_id").orderBy("rank").drop("rank")
 
 
 def recommendation_page(
     recommendations: DataFrame,
     items: DataFrame,
     request: PageRequest = PageRequest(),
-    bound: int = TOP_K_BOUND,
+    deep: bool = False,
 ) -> DataFrame:
-    """One page: rank, title, genres, year, recommendation_score."""
-    wanted = in_genre(recommendations, items, request.genre)
-    scores = wanted.select("movie_id", "recommendation_score")
-    rows = page(scores, BY_SCORE, request.limit, request.offset, bound)
+    """One page in the order of ``rank``: rank, title, genres, year, recommendation_score.
+
+    ``deep`` ranks all rows in parallel, for pages far from the top.  Nothing is cut after
+    the page is: an item stored twice gives its rank twice.
+    """
+    wanted = shown(recommendations, items, request.genre)
+    cut = deep_page if deep else page
+    rows = cut(wanted.select("movie_id", "recommendation_score"), BY_SCORE, request.limit, request.offset)
     described = rows.join(items.select("movie_id", "title", "genres", "year"), "movie_id")
-    listed = described.select("rank", "title", "genres", "year", "recommendation_score")
-    return in_rank_order(listed, request.limit)
+    return described.select("rank", "title", "genres", "year", "recommendation_score").orderBy("rank")
 
 
 def page_entries(
@@ -96,14 +95,11 @@ def page_entries(
 def page_envelope(
     recommendations: DataFrame, items: DataFrame, request: PageRequest = PageRequest()
 ) -> DataFrame:
-    """The page as one JSON document, column ``envelope``.
+    """The page as one JSON document, column ``envelope``; one task builds it.
 
-    One task builds the document, so a page beyond ``TOP_K_BOUND`` rows is refused;
-    ``page_entries`` writes those, row by row.
+    ``page_entries`` writes the same entries row by row, for pages of any size.
     """
-    if request.limit > TOP_K_BOUND:
-        raise ValueError(f"use page_entries for more than {TOP_K_BOUND} rows")
-    wanted = in_genre(recommendations, items, request.genre)
+    wanted = shown(recommendations, items, request.genre)
     rows = recommendation_page(recommendations, items, request)
     entry = _json_entry(with_year=True)
     data = F.struct(
@@ -136,7 +132,8 @@ def dashboard_envelope(
     items: DataFrame, recommendations: DataFrame, n: int = TOP_SIZE
 ) -> DataFrame:
     """Totals and top list as one JSON document, column ``envelope``."""
-    best = page(recommendations.select("movie_id", "recommendation_score"), BY_SCORE, n)
+    scores = shown(recommendations, items).select("movie_id", "recommendation_score")
+    best = page(scores, BY_SCORE, n)
     rows = best.join(items.select("movie_id", "title", "genres"), "movie_id")
     data = F.struct(
         items.agg(F.count(F.lit(1))).scalar().alias("total_movies"),
@@ -148,16 +145,16 @@ def dashboard_envelope(
 
 
 def report_top(recommendations: DataFrame, items: DataFrame, n: int = TOP_SIZE) -> DataFrame:
-    """The reporting query as SQL; only the best n rows meet the item table."""
+    """The reporting query as SQL; only the best n rows meet the item columns."""
     return items.sparkSession.sql(
         """
         SELECT i.title, r.recommendation_score, i.avg_rating, i.rating_count
         FROM (
           SELECT movie_id, recommendation_score FROM {recommendations}
+          WHERE movie_id IN (SELECT movie_id FROM {items})
           ORDER BY recommendation_score DESC, movie_id LIMIT :n
         ) r JOIN {items} i ON i.movie_id = r.movie_id
         ORDER BY r.recommendation_score DESC, r.movie_id
-        LIMIT :n
         """,
         args={"n": n},
         recommendations=recommendations,

@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 NTZ = "timestamp_ntz"
 
+#: Suppliers come after all parts, so that the first items are rated ones.
+SUPPLIER_BASE = 1_000_000_000
+
 # Stating the types saves a job that would read file footers before every query.
 SCHEMAS = {
     "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,"
@@ -53,10 +56,10 @@ def supplier_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts and suppliers; supplier keys become negative to stay distinct."""
+    """Parts and suppliers; supplier keys start at ``SUPPLIER_BASE`` to stay distinct."""
     unrated = supplier_items(spark, sf_dir)
     return part_items(spark, sf_dir).unionByName(
-        unrated.withColumn("movie_id", -1 - F.col("movie_id"))
+        unrated.withColumn("movie_id", F.lit(SUPPLIER_BASE) + F.col("movie_id"))
     )
 
 
@@ -84,7 +87,7 @@ def datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers, dated by their first and last order."""
+    """Customers, dated by their first and last order, if they have any."""
     dates = (
         load(spark, sf_dir, "orders")
         .groupBy(F.col("o_custkey").alias("c_custkey"))
@@ -92,7 +95,7 @@ def preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         load(spark, sf_dir, "customer")
-        .join(dates, "c_custkey")
+        .join(dates, "c_custkey", "left")
         .select(
             F.col("c_name").alias("user"),
             F.col("c_mktsegment").alias("favorite_categories"),

@@ -15,8 +15,9 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from rankspark.operators.scores import existing_only, score_items
@@ -41,7 +42,6 @@ from rankspark.sources import (
 ALL_ITEMS_WEIGHT = 10
 TOP_RATED_MINIMUM = 50
 TOP_RATED_SIZE = 1000
-SUBSET_SIZE = 100
 
 
 @dataclass(frozen=True)
@@ -74,6 +74,12 @@ class JobConfig:
         return cls(prior="items", m=min_ratings, min_ratings=min_ratings, top_n=n)
 
 
+RUNS: dict[str, Callable[[], JobConfig]] = {
+    "all-items": JobConfig.all_items,
+    "top-rated": JobConfig.top_rated,
+}
+
+
 def restrict(
     items: DataFrame, ratings: DataFrame, config: JobConfig
 ) -> tuple[DataFrame, DataFrame]:
@@ -84,14 +90,18 @@ def restrict(
     return items, ratings_of(ratings, items)
 
 
-def recommend(items: DataFrame, stats: DataFrame, config: JobConfig) -> DataFrame:
+def recommend(
+    items: DataFrame, stats: DataFrame, config: JobConfig, stored: DataFrame | None = None
+) -> DataFrame:
     """movie_id, avg_rating, rating_count and recommendation_score of the chosen items.
 
-    Without a threshold only rated items are scored.  With one, the whole item
+    Without a threshold only rated items are scored, if they are in the ``stored`` item
+    table (the input items, if none is given).  With one, the whole item
     table is tested against it, so a threshold of 0 lets unrated items in.
     """
     if config.min_ratings is None:
-        scored = existing_only(score_items(stats, stats, config.prior, config.m), items)
+        known = items if stored is None else stored
+        scored = existing_only(score_items(stats, stats, config.prior, config.m), known)
     else:
         scored = score_items(
             item_table(items, stats), stats, config.prior, config.m, config.min_ratings
@@ -105,12 +115,7 @@ def build(
 ) -> tuple[DataFrame, DataFrame]:
     """Both result tables as one lazy plan that reads the ratings once per table."""
     items, ratings = restrict(items, ratings, config)
-    return _tables(items, item_stats(ratings), config, run_ts)
-
-
-def _tables(
-    items: DataFrame, stats: DataFrame, config: JobConfig, run_ts: Column | None
-) -> tuple[DataFrame, DataFrame]:
+    stats = item_stats(ratings)
     scores = recommend(items, stats, config)
     return (
         with_audit(item_table(items, stats), run_ts),
@@ -126,7 +131,8 @@ def written_stats(ratings: DataFrame) -> DataFrame:
     return spark.read.schema(stats.schema).parquet(path)
 
 
-Writer = Callable[[DataFrame, Table], None]
+#: Writes a table; returns it as it is stored then, if it can be read back.
+Writer = Callable[[DataFrame, Table], DataFrame | None]
 
 
 def run(
@@ -144,31 +150,47 @@ def run(
     """
     items, ratings = restrict(items, ratings, config)
     stats = written_stats(ratings)
-    stored_items, stored_scores = _tables(items, stats, config, run_ts)
-
     observed, no_id = {}, F.col("movie_id").isNull()
-    for frame, table in ((stored_items, ITEMS), (stored_scores, RECOMMENDATIONS)):
+
+    def publish(frame: DataFrame, table: Table) -> DataFrame | None:
         observed[table] = Observation(table.name)
         rows = F.count(F.lit(1)).alias("rows")
         without_id = F.count_if(no_id).alias("without_id")
-        write(frame.observe(observed[table], rows, without_id), table)
+        return write(frame.observe(observed[table], rows, without_id), table)
+
+    stored = publish(with_audit(item_table(items, stats), run_ts), ITEMS)
+    scores = recommend(items, stats, config, stored)
+    publish(recommendation_table(scores, run_ts, config.popularity), RECOMMENDATIONS)
+    written = {table: _values(observation) for table, observation in observed.items()}
     totals = stats.agg(
         F.coalesce(F.sum("row_count"), F.lit(0)).alias("ratings"),
         F.coalesce(F.sum(F.when(no_id, F.col("row_count"))), F.lit(0)).alias("without_id"),
         F.count(F.lit(1)).alias("items"),
     ).first()
     return {
-        "total_movies": observed[ITEMS].get["rows"],
+        "total_movies": written[ITEMS]["rows"],
         "total_ratings": totals["ratings"],
         "movies_with_stats": totals["items"],
-        "recommendations_generated": observed[RECOMMENDATIONS].get["rows"],
-        "movies_without_id": observed[ITEMS].get["without_id"],
+        "recommendations_generated": written[RECOMMENDATIONS]["rows"],
+        "movies_without_id": written[ITEMS]["without_id"],
         "ratings_without_id": totals["without_id"],
     }
 
 
+def _values(observation: Observation) -> dict[str, int]:
+    """What a write has counted; Spark has no values if it needed no task."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return {"rows": 0, "without_id": 0}
+
+
 def to_folder(base: str, mode: str = "overwrite") -> Writer:
-    return lambda df, table: write_stored(df, base, table, mode)
+    def write(df: DataFrame, table: Table) -> DataFrame:
+        write_stored(df, base, table, mode)
+        return read_stored(df.sparkSession, base, table)
+
+    return write
 
 
 def to_database(
@@ -191,9 +213,9 @@ def to_database(
 
 
 def preview(recommendations: DataFrame, items: DataFrame, n: int = 10) -> DataFrame:
-    """Titles and scores of the best n, to be shown on the console."""
-    return top_titles(recommendations, items.select("movie_id", "title"), n).select(
-        "title", "recommendation_score"
+    """The best n with what is known of their items, to be shown on the console."""
+    return top_titles(recommendations.select("movie_id", "recommendation_score"), items, n).select(
+        "title", "genres", "avg_rating", "rating_count", "recommendation_score"
     )
 
 
@@ -208,28 +230,32 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
         "--jdbc-option", action="append", default=[], metavar="KEY=VALUE",
         help="driver option, such as user=...; may be repeated",
     )
-    parser.add_argument("--append", action="store_true", help="add to the tables of a database")
+    parser.add_argument("--append", action="store_true", help="add to the tables that are there")
     parser.add_argument("--item-table", default=ITEMS.name, help="its name in the database")
     parser.add_argument("--score-table", default=RECOMMENDATIONS.name)
     parser.add_argument("--connections", type=int, help="most parallel database writers")
-    parser.add_argument("--prior", choices=sorted(PRIORS), default="ratings")
-    parser.add_argument("--m", type=float, default=ALL_ITEMS_WEIGHT)
+    parser.add_argument(
+        "--run", choices=sorted(RUNS), default="all-items",
+        help="standard run, whose settings the options below change one by one",
+    )
+    parser.add_argument("--prior", choices=sorted(PRIORS))
+    parser.add_argument("--m", type=float)
     parser.add_argument("--min-ratings", type=int)
     parser.add_argument("--top-n", type=int)
     parser.add_argument("--item-limit", type=int, help="development run on the first items")
-    parser.add_argument("--popularity", choices=("mean", "zero"), default="mean")
+    parser.add_argument("--popularity", choices=("mean", "zero"))
     return parser.parse_args(arguments)
 
 
 def main(arguments: Sequence[str] | None = None) -> None:
     args = parse(arguments)
-    config = JobConfig(
-        args.prior, args.m, args.min_ratings, args.top_n, args.item_limit, args.popularity
-    )
+    names = ("prior", "m", "min_ratings", "top_n", "item_limit", "popularity")
+    given = {name: getattr(args, name) for name in names if getattr(args, name) is not None}
+    config = replace(RUNS[args.run](), **given)
     spark = SparkSession.builder.appName("rankspark").getOrCreate()
     try:
         if args.output:
-            write = to_folder(args.output)
+            write = to_folder(args.output, "append" if args.append else "overwrite")
         else:
             options = dict(o.split("=", 1) for o in args.jdbc_option)
             write = to_database(

@@ -48,15 +48,28 @@ def test_csv_to_parquet(spark, micro, tmp_path):
     row = best.first()
     assert round(row["recommendation_score"], 6) == 4.458333
     assert round(row["popularity_score"], 6) == 4.666667
-    shown = batch.preview(best, stored).collect()
-    assert [r["title"] for r in shown] == ["Toy Story (1995)"]
+    shown = batch.preview(best, stored)
+    assert shown.columns == ["title", "genres", "avg_rating", "rating_count", "recommendation_score"]
+    assert [(r["title"], r["rating_count"]) for r in shown.collect()] == [("Toy Story (1995)", 3)]
 
 
-def test_append_adds_a_second_copy(spark, micro, tmp_path):
-    for _ in range(2):
-        write = batch.to_folder(str(tmp_path), "append")
-        batch.run(*micro, JobConfig.all_items(), write, F.lit(STAMP))
-    assert read_stored(spark, str(tmp_path), ITEMS).count() == 6
+def test_append_refuses_stored_items(spark, micro, tmp_path):
+    items, ratings = micro
+    write = batch.to_folder(str(tmp_path), "append")
+    batch.run(items.where("movie_id = 1"), ratings, JobConfig.all_items(), write, F.lit(STAMP))
+    with pytest.raises(ValueError, match="stored already"):
+        batch.run(items, ratings, JobConfig.all_items(), write, F.lit(STAMP))
+    assert read_stored(spark, str(tmp_path), ITEMS).count() == 1
+
+
+def test_appending_run_scores_items_of_an_earlier_one(spark, micro, tmp_path):
+    items, ratings = micro
+    write = batch.to_folder(str(tmp_path), "append")
+    batch.run(items.where("movie_id = 1"), ratings.limit(0), JobConfig.all_items(), write, F.lit(STAMP))
+    batch.run(items.where("movie_id > 1"), ratings, JobConfig.all_items(), write, F.lit(STAMP))
+    assert read_stored(spark, str(tmp_path), ITEMS).count() == 3
+    scored = read_stored(spark, str(tmp_path), RECOMMENDATIONS).collect()
+    assert sorted(r["movie_id"] for r in scored) == [1, 2]
 
 
 @pytest.mark.parametrize("config", [JobConfig.all_items(), JobConfig.top_rated(1, 5)])
@@ -128,7 +141,8 @@ def test_standard_runs():
 
 def test_arguments():
     args = batch.parse(["--input", "in", "--output", "out", "--prior", "items", "--top-n", "5"])
-    assert (args.input, args.output, args.prior, args.top_n, args.m) == ("in", "out", "items", 5, 10)
+    assert (args.input, args.output, args.prior, args.top_n, args.run) == ("in", "out", "items", 5, "all-items")
+    assert batch.RUNS["top-rated"]() == JobConfig.top_rated()
     with pytest.raises(SystemExit):
         batch.parse(["--input", "in"])
     with pytest.raises(SystemExit):

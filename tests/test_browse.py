@@ -99,5 +99,13 @@ def test_titles_are_tested_before_the_join(ratings):
     found = search(df, RATINGS, "red 12", items)
     assert found.columns == df.columns
     text = found._jdf.queryExecution().optimizedPlan().toString()
-    join = text.index("Join LeftOuter")
+    join = text.index("Join Inner")
+    assert "Outer" not in text
     assert "lower(title" not in text[:join] and "lower(title" in text[join:]
+
+
+def test_a_rating_without_item_stays_on_its_page(ratings):
+    df, items, _, _ = ratings
+    page = browse(df, RATINGS, items.limit(0))
+    assert page.count() == min(100, df.count())
+    assert page.where("title IS NOT NULL").count() == 0

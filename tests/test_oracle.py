@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry
 from tests.conftest import TESTDATA
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = {q.__name__: q for q in entry._QUERIES}, entry.oracle_sql()
 
 
 @pytest.fixture(scope="module", params=["sf0.001", "sf0.01"])

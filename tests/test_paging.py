@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from rankspark.operators.paging import global_rank, page, page_info, page_offset, top_n
+from rankspark.operators.paging import deep_page, global_rank, page, page_info, page_offset, top_n
 
 ORDER = (("score", True), ("id", False))
 
@@ -24,10 +24,8 @@ def scored(spark):
 
 def test_top_n_with_ties(scored):
     df, ordered = scored
-    for bound in (10_000, 10):
-        best = top_n(df, ORDER, 600, bound).collect()
-        assert sorted(r["id"] for r in best) == sorted(i for i, _ in ordered[:600])
-    assert [r["id"] for r in top_n(df, ORDER, 50).collect()] == [i for i, _ in ordered[:50]]
+    for n in (0, 50, 600, 100_000):
+        assert [r["id"] for r in top_n(df, ORDER, n).collect()] == [i for i, _ in ordered[:n]]
 
 
 def test_global_rank_matches_sort(scored):
@@ -54,9 +52,8 @@ def test_shallow_and_deep_pages_agree(scored, limit, offset):
     expected = [
         (offset + k, i) for k, (i, _) in enumerate(ordered[offset : offset + limit], start=1)
     ]
-    for bound in (10_000, 0):
-        rows = page(df, ORDER, limit, offset, bound).collect()
-        assert sorted((r["rank"], r["id"]) for r in rows) == expected
+    for cut in (page, deep_page):
+        assert [(r["rank"], r["id"]) for r in cut(df, ORDER, limit, offset).collect()] == expected
 
 
 @pytest.mark.parametrize(
@@ -87,16 +84,32 @@ def test_bad_arguments(spark):
     assert page_offset(3, 20) == 40
 
 
-def test_large_json_page_is_refused_not_cut(spark):
+def test_large_json_page_is_whole(spark):
     from rankspark.operators.serving import PageRequest, page_entries, page_envelope
 
     scores = spark.range(3).selectExpr("id AS movie_id", "1.0D AS recommendation_score")
     items = spark.range(3).selectExpr("id AS movie_id", "'t' AS title", "'g' AS genres", "1 AS year")
-    with pytest.raises(ValueError, match="page_entries"):
-        page_envelope(scores, items, PageRequest(limit=20_000))
+    assert page_envelope(scores, items, PageRequest(limit=20_000)).first()[0].count('"movie__title"') == 3
     assert page_entries(scores, items, PageRequest(limit=20_000)).count() == 3
 
 
+@pytest.mark.parametrize("deep", [False, True])
+def test_pages_are_whole(spark, deep):
+    """Items stored twice repeat their ranks; items that are gone take no place on a page."""
+    from rankspark.operators.serving import PageRequest, dashboard_top, recommendation_page, report_top
+
+    scores = spark.range(40).selectExpr("id AS movie_id", "double(id) AS recommendation_score")
+    columns = "'g' AS genres", "1 AS year", "1.0D AS avg_rating", "1 AS rating_count"
+    items = spark.range(40).selectExpr("id AS movie_id", "string(id) AS title", *columns)
+    twice = items.unionAll(items)
+    rows = recommendation_page(scores, twice, PageRequest(limit=10), deep).collect()
+    assert [r["rank"] for r in rows] == [k for k in range(1, 11) for _ in range(2)]
+    even = items.where("movie_id % 2 = 0")
+    rows = recommendation_page(scores, even, PageRequest(limit=10), deep).collect()
+    assert [(r["rank"], r["title"]) for r in rows] == [(k, str(40 - 2 * k)) for k in range(1, 11)]
+    assert dashboard_top(scores, even).count() == report_top(scores, even).count() == 10
+
+
 def test_null_ids_come_last_in_a_subset(spark):
     from rankspark.sources import item_subset
 

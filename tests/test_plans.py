@@ -12,7 +12,7 @@ from tests import plan
 from tests.conftest import TESTDATA
 
 SF = str(TESTDATA / "sf0.01")
-QUERIES = entry.queries()
+QUERIES = {q.__name__: q for q in entry._QUERIES}
 
 # Queries that need the ratings and read them in one scan, prior included.
 ONE_RATINGS_SCAN = [
@@ -32,7 +32,6 @@ ONE_RATINGS_SCAN = [
     "cascade_delete",
     "dup_ratings",
     "null_violations",
-    "browse_ratings",
 ]
 
 
