@@ -137,7 +137,8 @@ def fit(docs: DataFrame, target: DataFrame) -> Model:
         yield counter.take()
 
     marks = target.where("doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
-    marks = marks.withColumn("target", F.lit(True))
+    # The marks grow with the corpus, so they are joined alike at every size, never broadcast.
+    marks = marks.withColumn("target", F.lit(True)).hint("merge")
     sided = docs.join(marks, F.col("doc_id") == F.col("__id"), "left")
     sided = sided.select("text", F.coalesce("target", F.lit(False)).alias("target"))
     counts = _total(sided.mapInArrow(run, _COUNTS))

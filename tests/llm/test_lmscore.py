@@ -1,0 +1,87 @@
+import math
+from collections import Counter
+
+import pytest
+from rankspark.llm import lmscore as L
+
+from .conftest import ODD, babble, lower, plain
+
+
+def wanted(docs, target, one_in=L.ONE_IN):
+    """{(id, text): (n, target loss, background loss)} by plain counting."""
+    words = [plain(lower(t)) for _, t in docs]
+    n = sum(map(len, words))
+    count = Counter(w for own in words for w in own)
+    known = {w for w, c in count.items() if c > 1 and c * one_in >= n}
+    named = [[w if w in known else 0 for w in own] for own in words]
+    sides = [i in target and i is not None for i, _ in docs]
+    pairs = [list(zip([1, *own], own, strict=False)) for own in named]
+    every = Counter(p for own in pairs for p in own)
+    losses = []
+    for side in (True, False):
+        grams = Counter(p for own, s in zip(pairs, sides, strict=True) if s is side for p in own)
+        single, first = Counter(), Counter()
+        for (v, w), c in grams.items():
+            single[w] += c
+            first[v] += c
+        share = {p: max(grams[p] - L.DISCOUNT, 0) / max(first[p[0]], 1) for p, c in every.items() if c * one_in >= n}
+        used = Counter()
+        for (v, _), x in share.items():
+            used[v] += x
+        total = sum(single.values())
+        losses.append(
+            [
+                -math.fsum(math.log(share.get((v, w), 0) + (1 - used[v]) * (single[w] + 1) / (total + len(known) + 1)) for v, w in own)
+                for own in pairs
+            ]
+        )
+    return sorted((str(i), len(w), *(x / len(w) if w else None for x in (a, b))) for (i, _), w, a, b in zip(docs, words, *losses, strict=True))
+
+
+def found(rows):
+    return sorted((str(r.doc_id), r.n_tokens, r.target_loss, r.background_loss) for r in rows)
+
+
+@pytest.mark.parametrize("one_in", [20, 1 << 20])
+@pytest.mark.parametrize("target", [{1, 2, 5, 7, 20, 33, None}, set()])
+def test_against_plain_counting(spark, monkeypatch, one_in, target):
+    monkeypatch.setattr(L, "ONE_IN", one_in)
+    monkeypatch.setattr(L, "_BUFFER", 100)
+    docs = babble(3, 40, 50, "abcdeXYx")
+    docs = [(i, t) for i, (_, t) in enumerate(docs)] + ODD[2:9]
+    docs = [(100 + k if k < 43 and i is not None and i < 40 and k >= 40 else i, t) for k, (i, t) in enumerate(docs)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    marks = spark.createDataFrame([(i,) for i in target] * 2, "doc_id long")
+    rows = found(L.score(df, L.fit(df, marks)).collect())
+    for a, b in zip(rows, wanted(docs, target, one_in), strict=True):
+        assert a[:2] == b[:2]
+        assert a[2:] == (pytest.approx(b[2:], rel=1e-9) if b[1] else (None, None))
+
+
+def test_probabilities_sum_to_one(spark):
+    docs = spark.createDataFrame(babble(5, 30, 40, "abcde"), "doc_id long, text string")
+    model = L.fit(docs, docs.limit(9).select("doc_id"))
+    span = len(model.vocabulary) + 2
+    assert model.single.sum(axis=1) == pytest.approx([1, 1])
+    for side in (0, 1):
+        for v in range(span):
+            own = model.bigram[side][model.bigrams // span == v].sum()
+            assert own + model.rest[side][v] == pytest.approx(1)
+
+
+def test_a_target_text_is_closer_to_the_target(spark):
+    docs = [(i, "red green blue red green blue red green blue") for i in range(20)]
+    docs += [(i, "eins zwei drei vier eins zwei drei vier") for i in range(20, 60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    model = L.fit(df, df.where("doc_id < 20").select("doc_id"))
+    for r in L.score(df, model).collect():
+        assert (r.difference < 0) == (r.doc_id < 20)
+
+
+def test_odd_documents_and_labels(spark, odd, nothing):
+    model = L.fit(odd, odd.select("doc_id"))
+    assert L.score(odd, model).count() == len(ODD)
+    assert L.score(nothing, L.fit(nothing, nothing.select("doc_id"))).count() == 0
+    labels = [(1, 1, 0), (2, 1, 1), (3, 0, 0), (4, 1, None), (5, 1, 0), (5, 0, 0), (None, 1, 0), (6, 1, 0), (6, 1, 0)]
+    good = L.good_documents(spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    assert sorted(str(r.doc_id) for r in good) == ["1", "6", "None"]
