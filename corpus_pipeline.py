@@ -13,6 +13,17 @@ from rankspark.llm.tables import stored
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _apart(docs: DataFrame) -> DataFrame:
+    """Id and text, and all other columns in one, so that no name clashes with a result's."""
+    others = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(*others).alias("__others"))
+
+
+def _together(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    own = ("doc_id", "text")
+    return rows.select(*[F.col(c if c in own else f"__others.`{c}`").alias(c) for c in docs.columns])
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go that fail a base rule or lie far from their language and source."""
     return quality.keep(docs)
@@ -28,17 +39,17 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     ``n_chars`` follows the text, where the text is cut.
     """
-    cut = recompression.remove_repeats(docs)
+    cut = recompression.remove_repeats(_apart(docs))
     rest = cut.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
     length = F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rest.withColumn("n_chars", F.coalesce(length, "n_chars")).select(*docs.columns)
+    rest = rest.withColumn("__others", F.col("__others").withField("n_chars", F.coalesce(length, "__others.n_chars")))
+    return _together(rest, docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go that hold a window of a benchmark item."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
-    clean = decontamination.contamination(docs, items).where("n_hit = 0")
-    return clean.select(*docs.columns)
+    return _together(decontamination.contamination(_apart(docs), items).where("n_hit = 0"), docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
