@@ -504,27 +504,33 @@ def length_violation_rows(spark: SparkSession, d: str) -> DataFrame:
 # --------------------------------------------------------------------------- files
 
 
-def _ratings_csv(spark: SparkSession, d: str) -> str:
-    folder = new_folder(spark, "csv")
-    sinks.write_ratings_csv(_ratings(spark, d), folder)
-    return folder
+_csv: dict[tuple[str, str], str] = {}
+
+
+def csv_copy(spark: SparkSession, d: str) -> str:
+    """Items and ratings as CSV, written once per application and data set."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _csv:
+        folder = new_folder(spark, "csv")
+        sinks.write_ratings_csv(_ratings(spark, d), folder)
+        sinks.write_items_csv(_items(spark, d), folder)
+        _csv[key] = folder
+    return _csv[key]
 
 
 def csv_scan_typed(spark: SparkSession, d: str) -> DataFrame:
-    return sources.read_ratings(spark, _ratings_csv(spark, d))
+    return sources.read_ratings(spark, csv_copy(spark, d))
 
 
 def csv_scan_inferred(spark: SparkSession, d: str) -> DataFrame:
-    ratings = sources.read_ratings(spark, _ratings_csv(spark, d), infer=True)
+    ratings = sources.read_ratings(spark, csv_copy(spark, d), infer=True)
     # Inference picks the narrowest type that holds every id of this file.
     ids = ("user_id", "movie_id", "timestamp")
     return ratings.withColumns({c: F.col(c).cast("bigint") for c in ids})
 
 
 def csv_scan_items(spark: SparkSession, d: str) -> DataFrame:
-    folder = new_folder(spark, "csv")
-    sinks.write_items_csv(_items(spark, d), folder)
-    return sources.read_items(spark, folder)
+    return sources.read_items(spark, csv_copy(spark, d))
 
 
 # --------------------------------------------------------------------------- contract

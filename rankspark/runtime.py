@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -29,8 +30,24 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder; nothing is ever overwritten there."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the application's part of the shared folder, which goes at its end."""
+    return f"{_application_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+_application_dirs: dict[str, str] = {}
+
+
+def _application_dir(spark: SparkSession) -> str:
+    """Its full URI, by which tasks find it too, whatever their default file system is."""
+    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+    if path not in _application_dirs:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        system.mkdirs(folder)
+        system.deleteOnExit(folder)
+        uri = system.makeQualified(folder).toString()
+        _application_dirs[path] = re.sub("^file:/(?!/)", "file:///", uri)
+    return _application_dirs[path]
 
 
 def prepare_checkpoints(spark: SparkSession) -> None:
