@@ -16,6 +16,9 @@ def thousands(value: Column) -> Column:
     return F.format_number(value, 0)
 
 
+# The display texts in the functions below.
+
+
 def genres_label(genres: Column, missing: str = "Unknown") -> Column:
     return F.coalesce(F.nullif(genres, F.lit("")), F.lit(missing))
 

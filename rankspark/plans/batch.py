@@ -27,7 +27,7 @@ from rankspark.operators.stats import PRIORS, item_stats
 from rankspark.operators.tables import item_table, recommendation_table, with_audit
 from rankspark.runtime import new_folder
 from rankspark.schemas import ITEMS, RECOMMENDATIONS, Table
-from rankspark.sinks.jdbc import clear_tables, write_jdbc
+from rankspark.sinks.jdbc import CONNECTIONS, clear_tables, write_jdbc
 from rankspark.sinks.stored import write_stored
 from rankspark.sources import (
     JdbcTarget,
@@ -233,7 +233,7 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--append", action="store_true", help="add to the tables that are there")
     parser.add_argument("--item-table", default=ITEMS.name, help="its name in the database")
     parser.add_argument("--score-table", default=RECOMMENDATIONS.name)
-    parser.add_argument("--connections", type=int, help="most parallel database writers")
+    parser.add_argument("--connections", type=int, default=CONNECTIONS, help="most database writers at once")
     parser.add_argument(
         "--run", choices=sorted(RUNS), default="all-items",
         help="standard run, whose settings the options below change one by one",

@@ -1,13 +1,11 @@
 """Table writers."""
 
 from rankspark.sinks.delimited import write_items_csv, write_ratings_csv
-from rankspark.sinks.jdbc import append_tables, clear_tables, overwrite_tables
+from rankspark.sinks.jdbc import clear_tables
 from rankspark.sinks.stored import write_stored
 
 __all__ = [
-    "append_tables",
     "clear_tables",
-    "overwrite_tables",
     "write_items_csv",
     "write_ratings_csv",
     "write_stored",

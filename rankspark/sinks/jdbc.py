@@ -2,7 +2,7 @@
 
 The item table is the parent of the recommendation table and there is no
 transaction across both, so parents are written first and children cleared
-first.  Overwriting truncates the tables instead of dropping them, which keeps
+first (``plans.batch.to_database``).  Overwriting truncates the tables instead of dropping them, which keeps
 their keys and makes a repeated run end in the same state.  An append is not
 repeatable: a rerun hits the unique item id.
 
@@ -19,20 +19,21 @@ from pyspark.sql import DataFrame, SparkSession
 from rankspark.schemas import ITEMS, RECOMMENDATIONS, Table, conform
 from rankspark.sources.jdbc import JdbcTarget
 
+#: Most connections that one write opens; more tasks take turns.
+CONNECTIONS = 8
+
 
 def write_options(
-    target: JdbcTarget, table_name: str, batch_size: int = 10_000, connections: int | None = None
+    target: JdbcTarget, table_name: str, batch_size: int = 10_000, connections: int = CONNECTIONS
 ) -> dict[str, str]:
     options = {
         "url": target.url,
         "dbtable": table_name,
         "batchsize": str(batch_size),
         "truncate": "true",
+        "numPartitions": str(connections),
     }
-    options.update(target.options)
-    if connections is not None:
-        options["numPartitions"] = str(connections)
-    return options
+    return options | target.options
 
 
 def write_jdbc(
@@ -53,21 +54,6 @@ def write_jdbc(
     conform(df, table, narrow).write.format("jdbc").options(**options).mode(mode).save()
 
 
-def append_tables(
-    items: DataFrame, recommendations: DataFrame, target: JdbcTarget, **settings
-) -> None:
-    write_jdbc(items, target, ITEMS, "append", **settings)
-    write_jdbc(recommendations, target, RECOMMENDATIONS, "append", **settings)
-
-
-def overwrite_tables(
-    items: DataFrame, recommendations: DataFrame, target: JdbcTarget, **settings
-) -> None:
-    """Clear children and parents, then load parents and children."""
-    clear_tables(items.sparkSession, target, **settings)
-    append_tables(items, recommendations, target, **settings)
-
-
 def clear_tables(spark: SparkSession, target: JdbcTarget, **settings) -> None:
     """Empty both tables, children first."""
     for table in (RECOMMENDATIONS, ITEMS):

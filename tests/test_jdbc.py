@@ -5,7 +5,6 @@ from pyspark.sql import DataFrameReader, DataFrameWriter, functions as F
 
 from rankspark.plans.batch import JobConfig, run, to_database
 from rankspark.schemas import ITEMS, RECOMMENDATIONS
-from rankspark.sinks import append_tables, overwrite_tables
 from rankspark.sinks.jdbc import write_jdbc
 from rankspark.sources import JdbcTarget, read_jdbc
 from rankspark.sources.jdbc import Split
@@ -53,20 +52,27 @@ def frames(spark):
     return items, scores
 
 
+def load(frames, **settings):
+    write = to_database(frames[0].sparkSession, TARGET, **settings)
+    for frame, table in zip(frames, (ITEMS, RECOMMENDATIONS), strict=True):
+        write(frame, table)
+
+
 def test_password_is_not_printed():
     assert "secret" not in repr(TARGET)
 
 
 def test_append_writes_parents_first(calls, frames):
-    append_tables(*frames, TARGET)
+    load(frames, append=True)
     assert calls.steps == [("append", "movies", 2), ("append", "recommendation_data", 1)]
     options = calls[0][1]
     assert options["url"] == TARGET.url and options["user"] == "u"
+    assert options["numPartitions"] == "8"
     assert dict(calls[0][2])["movie_id"] == "int"
 
 
 def test_overwrite_clears_children_first_and_keeps_keys(calls, frames):
-    overwrite_tables(*frames, TARGET)
+    load(frames)
     assert calls.steps == [
         ("overwrite", "recommendation_data", 0),
         ("overwrite", "movies", 0),
