@@ -38,12 +38,12 @@ def normalised(c: W.Chunk) -> tuple[str, np.ndarray]:
     """
     length = c.end - c.start
     doc = np.repeat(np.arange(len(c)), np.diff(c.first))
-    before = np.cumsum(length) - length
-    at = before + np.arange(len(doc)) + 2 * (doc + 1)
-    out = np.full(int(length.sum()) + len(doc) + 2 * len(c), 0x20, np.uint8)
-    within = np.arange(int(length.sum())) - np.repeat(before, length)
+    sums = np.concatenate([[0], np.cumsum(length)])
+    at = sums[:-1] + np.arange(len(doc)) + 2 * (doc + 1)
+    out = np.full(int(sums[-1]) + len(doc) + 2 * len(c), 0x20, np.uint8)
+    within = np.arange(int(sums[-1])) - np.repeat(sums[:-1], length)
     out[np.repeat(at, length) + within] = c.data[np.repeat(c.start, length) + within]
-    out[before[c.first[:-1]] + c.first[:-1] + 2 * np.arange(len(c)) if len(doc) else slice(0)] = 0x0A
+    out[sums[c.first[:-1]] + c.first[:-1] + 2 * np.arange(len(c))] = 0x0A
     return out.tobytes().decode("latin-1"), at + length
 
 

@@ -46,7 +46,7 @@ def test_against_brute_force(spark, alphabet, blocks):
     items += [(3, "w1 w2"), (3, "w1 w2"), (None, "a b"), (20, None), (21, "?!"), (22, "X")]
     docs_df = spark.createDataFrame(docs, "doc_id long, text string")
     chars = sum(len(t or "") for _, t in items)
-    assert found(spark, docs_df, items, block_words=chars / blocks / 5.9) == wanted(docs, items)
+    assert found(spark, docs_df, items, block_words=-(-chars // (6 * blocks))) == wanted(docs, items)
 
 
 def test_odd_documents(spark, odd, nothing):
