@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rankspark.functions import contains_any, search_terms
 from rankspark.operators.facets import facet_filter, facet_filter_date
-from rankspark.operators.paging import page
+from rankspark.operators.paging import in_rank_order, page
 from rankspark.schemas import Table
 
 _THROUGH_ITEM = "item."
@@ -73,7 +73,7 @@ def browse(
     rows = page(df.select(*(c for c in df.columns if c in needed)), order, size, offset)
     if "title" in listed and "title" not in rows.columns:
         rows = with_title(rows, items)
-    return rows.select("rank", *listed).orderBy("rank")
+    return in_rank_order(rows.select("rank", *listed))
 
 
 def with_title(rows: DataFrame, items: DataFrame | None) -> DataFrame:

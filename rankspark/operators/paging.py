@@ -43,6 +43,11 @@ def page(df: DataFrame, order: Order, limit: int = 20, offset: int = 0) -> DataF
     return rows.withColumn("rank", place + F.lit(offset).cast("bigint"))
 
 
+def in_rank_order(rows: DataFrame) -> DataFrame:
+    """The rows of a ``page`` by rank again after joins; one task has merged them before."""
+    return rows.repartition(1).sortWithinPartitions("rank")
+
+
 def deep_page(df: DataFrame, order: Order, limit: int, offset: int) -> DataFrame:
     """The rows of ``page``, cut out of a distributed ranking that is stored when called."""
     _check("limit", limit)

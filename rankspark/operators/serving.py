@@ -15,7 +15,7 @@ from rankspark.functions import (
     recommendation_label,
     year_label,
 )
-from rankspark.operators.paging import deep_page, page, top_n
+from rankspark.operators.paging import deep_page, in_rank_order, page
 from rankspark.operators.stats import dashboard_mean
 
 # Default page, order of recommendations, size of the top list,
@@ -62,7 +62,7 @@ def shown(recommendations: DataFrame, items: DataFrame, genre: str = "") -> Data
 def top_titles(recommendations: DataFrame, items: DataFrame, n: int = TOP_SIZE) -> DataFrame:
     """Best n recommendations with all item columns; only n rows meet those columns."""
     best = page(shown(recommendations, items).select("movie_id", "recommendation_score"), BY_SCORE, n)
-    return best.join(items, "movie_id").orderBy("rank").drop("rank")
+    return in_rank_order(best.join(items, "movie_id")).drop("rank")
 
 
 def recommendation_page(
@@ -80,7 +80,8 @@ def recommendation_page(
     cut = deep_page if deep else page
     rows = cut(wanted.select("movie_id", "recommendation_score"), BY_SCORE, request.limit, request.offset)
     described = rows.join(items.select("movie_id", "title", "genres", "year"), "movie_id")
-    return described.select("rank", "title", "genres", "year", "recommendation_score").orderBy("rank")
+    listed = described.select("rank", "title", "genres", "year", "recommendation_score")
+    return listed.orderBy("rank") if deep else in_rank_order(listed)
 
 
 def page_entries(
