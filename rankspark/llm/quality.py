@@ -89,14 +89,16 @@ def with_statistics(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     docs = docs.drop(*BASE)
-    rows = docs.withColumn("__w", _let(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), _of_words))
+    words = _let(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), _of_words)
+    # As the one row of a generator, so that later filters cannot have it worked out again.
+    rows = docs.select("*", F.inline(F.array(words)))
     rows = rows.select(
         *docs.columns,
-        F.col("__w.n_words"),
-        F.col("__w.word_chars"),
+        "n_words",
+        "word_chars",
         F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        F.col("__w.n_repeat_words"),
+        "n_repeat_words",
     )
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words")
