@@ -1,162 +1,222 @@
 """Cross-entropy difference: how much better a target model than a background model predicts.
 
 Both are bigram models with absolute discounting, counted alike over all texts of their side:
-the target's documents, and all others.  They share one vocabulary, and one table of bigrams.
-A word or a bigram is in them if it makes up at least 2**-20 of all tokens, so neither has
-more than 2**20 entries, whatever the corpus; that is the proven bound under which they are
-sent to the workers.  Other words are one unknown word, other bigrams are left to the
-discounted mass of their first word.  What is counted and shuffled grows with the corpus.
+the target's documents, and all others.  They share one vocabulary, the words that occur more
+than once, and one table of bigrams, all of them; other words are one unknown word.  That holds
+at every size.  Words, bigrams and losses are stored tables that grow with the corpus, and
+they are joined by plain shuffles; no task or driver ever holds the model.  Words and bigrams
+are named by 64 bits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rankspark.llm import words as W
 from rankspark.llm.tables import stored
 
-#: A word or bigram counts from this share of all tokens on.
-ONE_IN = 1 << 20
+#: If set, only words and bigrams of at least one in so many tokens count; by default all do.
+ONE_IN: int | None = None
 DISCOUNT = 0.75
+#: Names of the unknown word and of the start of a text.
+UNKNOWN, START = 0, 1
 _BUFFER = 1 << 21  # tokens that a task sums up before it sends counts
+_SIDES = ("t", "b")
+
+
+def pairs(c: W.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The name of each bigram, and its two words; a text's first word follows its start."""
+    word = c.names()
+    before = np.empty_like(word)
+    before[1:] = word[:-1]
+    before[c.first[:-1][np.diff(c.first) > 0]] = START
+    return W.mix(W.mix(before) + word), before, word
 
 
-@dataclass
 class _Counter:
-    """Sums up (key, target, background) within a task, a bounded number at a time."""
+    """Sums up bigrams of target and background within a task, a bounded number at a time."""
 
-    keys: list[np.ndarray]
-    sides: list[np.ndarray]
-    waiting: int = 0
+    def __init__(self) -> None:
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.waiting = 0
 
-    def add(self, keys: np.ndarray, target: np.ndarray) -> None:
-        self.keys.append(keys)
-        self.sides.append(target)
-        self.waiting += len(keys)
+    def add(self, c: W.Chunk, target: np.ndarray) -> None:
+        self.parts.append((*pairs(c), target))
+        self.waiting += len(target)
 
     def take(self) -> pa.RecordBatch:
-        keys = np.concatenate(self.keys) if self.keys else np.zeros(0, np.int64)
-        target = np.concatenate(self.sides) if self.sides else np.zeros(0, bool)
-        key, place, n = np.unique(keys, return_inverse=True, return_counts=True)
+        none = (np.zeros(0, np.uint64),) * 3 + (np.zeros(0, bool),)
+        key, before, word, target = (np.concatenate(x) for x in zip(none, *self.parts, strict=True))
+        key, at, place, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
         own = np.bincount(place, target, len(key)).astype(np.int64)
-        self.keys, self.sides, self.waiting = [], [], 0
-        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(own), pa.array(n - own)], ["key", "t", "b"])
-
-
-_COUNTS = "key long, t long, b long"
+        self.parts, self.waiting = [], 0
+        named = [pa.array(x.view(np.int64)) for x in (key, before[at], word[at])]
+        return pa.RecordBatch.from_arrays([*named, pa.array(own), pa.array(n - own)], ["key", "v", "w", "t", "b"])
 
 
-def _total(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("key").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
-
-
-def _vocabulary(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """The sorted names of the words that count, and the number of all tokens."""
+def _counted(sided: DataFrame) -> DataFrame:
+    """(text, target) -> key, v, w, t, b: how often each bigram occurs on either side."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _Counter([], [])
+        counter = _Counter()
         for batch in batches:
+            own = batch.column(1).to_numpy(zero_copy_only=False)
             for c in W.chunks(batch.column(0), W.PLAIN, lower=True):
-                names = c.names().view(np.int64)
-                counter.add(names, np.zeros(len(names), bool))
+                counter.add(c, np.repeat(own[c.row : c.row + len(c)], np.diff(c.first)))
                 if counter.waiting > _BUFFER:
                     yield counter.take()
         yield counter.take()
 
-    counts = stored(_total(docs.select("text").mapInArrow(run, _COUNTS)).select("key", "b"), "lm-words")
-    n = counts.agg(F.sum("b")).first()[0] or 0
-    kept = counts.where((F.col("b") > 1) & (F.col("b") * ONE_IN >= n)).select("key").toPandas()
-    return np.sort(kept["key"].to_numpy(np.int64).view(np.uint64)), int(n)
+    rows = sided.select("text", "target").mapInArrow(run, "key long, v long, w long, t long, b long")
+    return rows.groupBy("key").agg(F.min("v").alias("v"), F.min("w").alias("w"), *_sums())
+
+
+def _sums() -> list[Column]:
+    return [F.sum(s).alias(s) for s in _SIDES]
+
+
+def _left(rows: DataFrame, table: DataFrame, *on: str) -> DataFrame:
+    """Joined by merging at every size, so that hot keys can be split."""
+    return rows.join(table.hint("merge"), list(on), "left")
 
 
 @dataclass
 class Model:
-    """Words 0 to V - 1, the unknown word V, and the start of a text V + 1."""
-
-    vocabulary: np.ndarray
-    bigrams: np.ndarray  # sorted keys: first word * (V + 2) + second word
-    bigram: np.ndarray  # discounted share among the first word's followers; target, background
-    rest: np.ndarray  # share of each first word left to single words
-    single: np.ndarray  # probability of each word
-
-    def ids(self, names: np.ndarray) -> np.ndarray:
-        size = len(self.vocabulary)
-        if not size:
-            return np.zeros(len(names), np.int64)
-        at = np.minimum(np.searchsorted(self.vocabulary, names), size - 1)
-        return np.where(self.vocabulary[at] == names, at, size)
-
-    def losses(self, c: W.Chunk) -> tuple[np.ndarray, np.ndarray]:
-        """Sums of the losses of each text's tokens, by target and background."""
-        first, word = pairs(self.ids(c.names()), c.first, len(self.vocabulary))
-        key = first * (len(self.vocabulary) + 2) + word
-        p = self.rest[:, first] * self.single[:, word]
-        if len(self.bigrams):
-            at = np.minimum(np.searchsorted(self.bigrams, key), len(self.bigrams) - 1)
-            p += np.where(self.bigrams[at] == key, self.bigram[:, at], 0.0)
-        doc = np.repeat(np.arange(len(c)), np.diff(c.first))
-        loss = -np.log(p)
-        return np.bincount(doc, loss[0], len(c)), np.bincount(doc, loss[1], len(c))
-
-
-def pairs(ids: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each word with the word before it, or with the start of its text."""
-    before = np.empty_like(ids)
-    before[1:] = ids[:-1]
-    starts = first[:-1][np.diff(first) > 0]
-    before[starts] = size + 1
-    return before, ids
+    """Stored tables.  Words and pairs of words have counts of target and background, t and b."""
+
+    words: DataFrame  # w, single_t, single_b: words that count, and how often they occur
+    totals: dict[str, int]  # words of either side
+    size: int  # how many words count
+    grams: DataFrame  # v, w, share_t, share_b: counts less the discount
+    firsts: DataFrame  # v, first_t, first_b, used_t, used_b: sums of counts, and of the discounted
+    losses: DataFrame  # key, loss_t, loss_b: of the bigrams of the texts
+
+    def named(self, rows: DataFrame) -> DataFrame:
+        """Words that do not count become unknown; adds the counts of the second word."""
+        rows = _left(rows, self.words.withColumn("known", F.lit(True)), "w")
+        rows = rows.withColumn("w", F.when(F.col("known"), F.col("w")).otherwise(UNKNOWN)).drop("known")
+        before = self.words.select(F.col("w").alias("v"), F.lit(True).alias("known"))
+        rows = _left(rows, before, "v")
+        real = F.col("known") | (F.col("v") == START)
+        return rows.withColumn("v", F.when(real, F.col("v")).otherwise(UNKNOWN)).drop("known")
+
+    def alone(self, side: str, count: Column) -> Column:
+        return (count + 1) / F.lit(float(self.totals[side] + self.size + 1))
+
+    def left_over(self, side: str) -> Column:
+        used = F.col(f"used_{side}") / F.greatest(f"first_{side}", F.lit(1))
+        return 1 - F.coalesce(used, F.lit(0.0))
+
+    def priced(self, named: DataFrame) -> DataFrame:
+        """(key, v, w, single_t, single_b) -> key, loss_t, loss_b."""
+        rows = _left(_left(named, self.grams, "v", "w"), self.firsts, "v")
+        rare = {s: F.lit(self.totals[f"rare_{s}"]) for s in _SIDES}
+        losses = []
+        for s in _SIDES:
+            share = F.col(f"share_{s}") / F.greatest(f"first_{s}", F.lit(1))
+            count = F.when(F.col("w") == UNKNOWN, rare[s]).otherwise(F.col(f"single_{s}"))
+            p = F.coalesce(share, F.lit(0.0)) + self.left_over(s) * self.alone(s, count)
+            losses.append((-F.log(p)).alias(f"loss_{s}"))
+        return rows.select("key", *losses)
+
+    @cached_property
+    def _small(self) -> tuple[np.ndarray, ...]:
+        """The tables as arrays on the driver: to look at small models, not used to score."""
+        words = self.words.toPandas()
+        name = words["w"].to_numpy(np.int64).view(np.uint64)
+        order = np.argsort(name)
+        name, span = name[order], self.size + 2
+        single, rest = np.zeros((2, self.size + 1)), np.ones((2, span))
+
+        def ids(column: np.ndarray) -> np.ndarray:
+            own = column.astype(np.int64).view(np.uint64)
+            return np.where(own == START, self.size + 1, np.where(own == UNKNOWN, self.size, np.searchsorted(name, own)))
+
+        grams, firsts = self.grams.toPandas(), self.firsts.toPandas()
+        key = ids(grams["v"].to_numpy()) * span + ids(grams["w"].to_numpy())
+        by = np.argsort(key)
+        key, first, bigram = key[by], np.ones((2, span)), np.zeros((2, len(key)))
+        at = ids(firsts["v"].to_numpy())
+        for k, s in enumerate(_SIDES):
+            count = np.append(words[f"single_{s}"].to_numpy()[order], self.totals[f"rare_{s}"])
+            single[k] = (count + 1) / (self.totals[s] + self.size + 1)
+            first[k, at] = np.maximum(firsts[f"first_{s}"].to_numpy(), 1)
+            rest[k, at] -= firsts[f"used_{s}"].to_numpy() / first[k, at]
+            bigram[k] = grams[f"share_{s}"].to_numpy()[by] / first[k, key // span]
+        return name, key, bigram, rest, single
+
+    vocabulary = property(lambda self: self._small[0])  # names of words 0 to V - 1; V is unknown, V + 1 the start
+    bigrams = property(lambda self: self._small[1])  # sorted keys: first word * (V + 2) + second word
+    bigram = property(lambda self: self._small[2])  # discounted share among the first word's followers
+    rest = property(lambda self: self._small[3])  # share of each first word left to single words
+    single = property(lambda self: self._small[4])  # probability of each word
 
 
 def fit(docs: DataFrame, target: DataFrame) -> Model:
     """Models of the documents (doc_id, text) named in ``target`` (doc_id), and of all others."""
-    docs = docs.select("doc_id", "text")
-    vocabulary, n = _vocabulary(docs)
-    size = len(vocabulary)
-    shipped = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    span = size + 2
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = Model(shipped.value, *[np.zeros(0)] * 4)
-        counter = _Counter([], [])
-        for batch in batches:
-            own = batch.column(1).to_numpy(zero_copy_only=False)
-            for c in W.chunks(batch.column(0), W.PLAIN, lower=True):
-                first, word = pairs(names.ids(c.names()), c.first, size)
-                side = np.repeat(own[c.row : c.row + len(c)], np.diff(c.first))
-                # Below zero: how often each word follows, and how often it goes before.
-                for keys in (first * span + word, -1 - word, -1 - span - first):
-                    counter.add(keys, side)
-                if counter.waiting > 3 * _BUFFER:
-                    yield counter.take()
-        yield counter.take()
-
     marks = target.where("doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
     # The marks grow with the corpus, so they are joined alike at every size, never broadcast.
     marks = marks.withColumn("target", F.lit(True)).hint("merge")
-    sided = docs.join(marks, F.col("doc_id") == F.col("__id"), "left")
+    sided = docs.select("doc_id", "text").join(marks, F.col("doc_id") == F.col("__id"), "left")
     sided = sided.select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    counts = _total(sided.mapInArrow(run, _COUNTS))
-    kept = counts.where((F.col("key") < 0) | ((F.col("t") + F.col("b")) * ONE_IN >= n))
-    rows = stored(kept, "lm-counts").toPandas().sort_values("key")
-    key = rows["key"].to_numpy(np.int64)
-    count = rows[["t", "b"]].to_numpy(np.int64).T
-    single, before = np.zeros((2, size + 1)), np.zeros((2, span))
-    words = (key < 0) & (key >= -span)
-    single[:, -1 - key[words]] = count[:, words]
-    firsts = key < -span
-    before[:, -1 - span - key[firsts]] = count[:, firsts]
-    single = (single + 1) / (single.sum(axis=1, keepdims=True) + size + 1)
-    key, count = key[key >= 0], count[:, key >= 0]
-    first = key // span
-    bigram = np.maximum(count - DISCOUNT, 0) / np.maximum(before[:, first], 1)
-    used = np.stack([np.bincount(first, b, span) for b in bigram]) if len(key) else np.zeros((2, span))
-    return Model(vocabulary, key, bigram, 1 - used, single)
+    raw = stored(_counted(sided), "lm-raw")
+
+    every = stored(raw.groupBy("w").agg(*_sums()), "lm-words")
+    count = F.col("t") + F.col("b")
+    n = every.agg(F.sum(count)).first()[0] or 0
+    often = count * ONE_IN >= n if ONE_IN else F.lit(True)
+    known = (count > 1) & often
+    sums = [F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in _SIDES]
+    rare = [F.coalesce(F.sum(F.when(~known, F.col(s))), F.lit(0)).alias(f"rare_{s}") for s in _SIDES]
+    totals = every.agg(*sums, *rare, F.count(F.when(known, F.lit(1))).alias("size")).first().asDict()
+    words = every.where(known).select("w", *[F.col(s).alias(f"single_{s}") for s in _SIDES])
+    model = Model(words, totals, totals["size"], raw, raw, raw)
+
+    named = stored(model.named(raw), "lm-named")
+    pair = stored(named.groupBy("v", "w").agg(*_sums()), "lm-grams")
+    shares = {s: F.greatest(F.col(s) - DISCOUNT, F.lit(0.0)) for s in _SIDES}
+    model.grams = pair.where(often).select("v", "w", *[x.alias(f"share_{s}") for s, x in shares.items()])
+    firsts = [F.sum(s).alias(f"first_{s}") for s in _SIDES]
+    used = [F.sum(F.when(often, x).otherwise(0.0)).alias(f"used_{s}") for s, x in shares.items()]
+    model.firsts = stored(pair.groupBy("v").agg(*firsts, *used), "lm-firsts")
+    model.losses = stored(model.priced(named), "lm-losses")
+    return model
+
+
+_GRAMS = "row long, doc_id long, key long, n long"
+
+
+def _grams(docs: DataFrame) -> DataFrame:
+    """Each text's different bigrams, and a row without key for its id and number of words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.column(0).to_numpy()
+            for c in W.chunks(batch.column(2), W.PLAIN, lower=True):
+                n = np.diff(c.first)
+                row, key = np.repeat(np.arange(len(c)), n), pairs(c)[0]
+                order = np.lexsort((key, row))
+                row, key = row[order], key[order]
+                new = np.ones(len(row), bool)
+                new[1:] = (row[1:] != row[:-1]) | (key[1:] != key[:-1])
+                at = np.flatnonzero(new)
+                times = np.diff(np.append(at, len(row)))
+                own = rows[c.row : c.row + len(c)]
+                ids = batch.column(1)[c.row : c.row + len(c)]
+                for a, i, k, m in (
+                    (own, ids, pa.nulls(len(c), pa.int64()), n),
+                    (own[row[at]], pa.nulls(len(at), pa.int64()), pa.array(key[at].view(np.int64)), times),
+                ):
+                    yield pa.RecordBatch.from_arrays([pa.array(a), i, k, pa.array(m)], ["row", "doc_id", "key", "n"])
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text")
+    return rows.mapInArrow(run, _GRAMS)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -167,27 +227,29 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     text, or one without words, has 0 tokens and null losses.  One row per input row; an
     empty table gives none; other columns are ignored.
     """
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for c in W.chunks(batch.column(1), W.PLAIN, lower=True):
-                n = np.diff(c.first)
-                target, background = (x / np.maximum(n, 1) for x in shipped.value.losses(c))
-                none = n == 0
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0)[c.row : c.row + len(c)],
-                        pa.array(n),
-                        pa.array(target, mask=none),
-                        pa.array(background, mask=none),
-                        pa.array(target - background, mask=none),
-                    ],
-                    ["doc_id", "n_tokens", "target_loss", "background_loss", "difference"],
-                )
-
-    schema = "doc_id long, n_tokens long, target_loss double, background_loss double, difference double"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    grams = stored(_grams(docs), "lm-texts")
+    own = grams.where("key is not null").select("row", "key", "n")
+
+    def summed(losses: DataFrame) -> DataFrame:
+        sums = [F.sum(F.col("n") * F.col(f"loss_{s}")).alias(f"loss_{s}") for s in _SIDES]
+        unseen = F.count(F.when(F.col("loss_t").isNull(), F.lit(1))).alias("unseen")
+        return stored(_left(own, losses, "key").groupBy("row").agg(*sums, unseen), "lm-sums")
+
+    sums = summed(model.losses)
+    if not sums.where("unseen > 0").isEmpty():  # texts other than those of the models
+        found = _counted(docs.select("text", F.lit(False).alias("target"))).select("key", "v", "w")
+        found = found.join(model.losses.select("key").hint("merge"), "key", "left_anti")
+        new = stored(model.priced(model.named(found)), "lm-unseen")
+        sums = summed(model.losses.unionByName(new))
+    rows = _left(grams.where("key is null").select("row", "doc_id", "n"), sums, "row")
+    mean = {s: F.col(f"loss_{s}") / F.col("n") for s in _SIDES}
+    return rows.select(
+        "doc_id",
+        F.col("n").alias("n_tokens"),
+        mean["t"].alias("target_loss"),
+        mean["b"].alias("background_loss"),
+        (mean["t"] - mean["b"]).alias("difference"),
+    )
 
 
 def good_documents(labels: DataFrame) -> DataFrame:

@@ -85,3 +85,29 @@ def test_odd_documents_and_labels(spark, odd, nothing):
     labels = [(1, 1, 0), (2, 1, 1), (3, 0, 0), (4, 1, None), (5, 1, 0), (5, 0, 0), (None, 1, 0), (6, 1, 0), (6, 1, 0)]
     good = L.good_documents(spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
     assert sorted(str(r.doc_id) for r in good) == ["1", "6", "None"]
+
+
+def test_rare_bigrams_count_however_large_the_corpus(spark):
+    # More than 2**21 words: two occurrences are fewer than one in 2**20.
+    docs = [(i, "x " * 100_000) for i in range(22)] + [(100, "rare pair"), (101, "rare pair"), (102, "pair rare")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    target = {100, 101}
+    rows = found(L.score(df, L.fit(df, df.where("doc_id in (100, 101)").select("doc_id"))).collect())
+    for a, b in zip(rows, wanted(docs, target, 1 << 60), strict=True):
+        assert a == (*b[:2], pytest.approx(b[2], rel=1e-9), pytest.approx(b[3], rel=1e-9))
+
+
+def test_texts_that_the_models_never_saw(spark):
+    docs = spark.createDataFrame([(1, "a b a b c"), (2, "b a b a c")], "doc_id long, text string")
+    model = L.fit(docs, docs.where("doc_id = 1").select("doc_id"))
+    other = spark.createDataFrame([(3, "c c new a"), (4, "a b")], "doc_id long, text string")
+    found = {r.doc_id: r for r in L.score(other, model).collect()}
+    ids = {w: i for i, w in enumerate(model.vocabulary.tolist())}
+    for i, text in ((3, "c c new a"), (4, "a b")):
+        c = next(L.W.chunks(L.pa.array([text]), L.W.PLAIN))
+        word = [ids.get(w, len(ids)) for w in c.names().tolist()]
+        share = dict(zip(model.bigrams.tolist(), model.bigram[0], strict=True))
+        loss = 0
+        for v, w in zip([len(ids) + 1, *word], word, strict=False):
+            loss -= math.log(share.get(v * (len(ids) + 2) + w, 0) + model.rest[0][v] * model.single[0][w])
+        assert found[i].target_loss == pytest.approx(loss / len(word), rel=1e-9)
