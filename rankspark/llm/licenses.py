@@ -1,14 +1,16 @@
-"""Licence scans: lines and whole texts against templates, by word bigrams.
+"""Licence scans: lines, whole texts and passages against templates, by word bigrams.
 
 Texts and templates are lower-cased (A-Z) and cut into words `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`.
 The Dice coefficient of two sets of bigrams is 2 |A and B| / (|A| + |B|).  It reaches ``t`` only
 if |A| lies between |B| t / (2 - t) and |B| (2 - t) / t, so a text is compared only with
-templates of such sizes.
+templates of such sizes.  Passages are all runs of words whose bigrams are no more than that,
+across line breaks or within a line; those with enough bigrams of a template are tried.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,7 @@ from rankspark.llm import words as W
 DICE = 0.8
 #: Most words of all templates together, as they are sent to every worker.
 TEMPLATE_WORDS = 1_000_000
+_CELLS = 1 << 20  # bigrams of passages compared at a time
 
 #: Notices and short texts of public licences.
 TEMPLATES = {
@@ -112,6 +115,59 @@ class _Templates:
         return pair[good], template[good], dice[good]
 
 
+@dataclass
+class _Run:
+    """The bigrams of a chunk as they stand, and what passages of them need."""
+
+    name: np.ndarray
+    word: np.ndarray  # the first word of each
+    end: np.ndarray  # where the bigrams of its text end
+    before: np.ndarray  # where the same bigram stood before, or -1
+
+    @classmethod
+    def of(cls, c: W.Chunk) -> _Run:
+        doc = np.repeat(np.arange(len(c)), np.diff(c.first))
+        word = np.flatnonzero(doc[1:] == doc[:-1])
+        name = W.span_hash(W.prefix_hashes(c.names()), word, word + 2)
+        order = np.argsort(name, kind="stable")
+        before = np.full(len(name), -1)
+        again = np.flatnonzero(name[order][1:] == name[order][:-1])
+        before[order[again + 1]] = order[again]
+        return cls(name, word, np.searchsorted(doc[word], doc[word], "right"), before)
+
+
+def _passages(run: _Run, known: _Templates) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(template, first, last bigram, coefficient): from each start the passage that comes closest.
+
+    Passages begin and end with bigrams of the template, as the others come closer without
+    their ends.  Those of more bigrams than ``high`` hold others that are not the template's.
+    """
+    at = np.minimum(np.searchsorted(known.name, run.name), len(known.name) - 1)
+    hit = np.flatnonzero(known.name[at] == run.name)
+    for template in np.flatnonzero(known.size):
+        own = np.sort(known.name[known.owner == template])
+        place = np.minimum(np.searchsorted(own, run.name[hit]), len(own) - 1)
+        here = hit[own[place] == run.name[hit]]
+        length = int(known.high[template])
+        inside = np.zeros(len(run.name) + 1, bool)
+        inside[here] = True
+        near = np.searchsorted(here, np.minimum(here + length, run.end[here])) - np.arange(len(here))
+        start = here[near >= known.low[template] - 1e-9]
+        rows = max(1, _CELLS // length)
+        for k in range(0, len(start), rows):
+            s = start[k : k + rows, None]
+            cell = s + np.arange(length)
+            within = cell < run.end[s]
+            cell = np.where(within, cell, len(run.name) - 1)
+            new = within & (run.before[cell] < s)
+            shared = np.cumsum(new & inside[cell], axis=1)
+            dice = np.where(within, 2 * shared / (np.cumsum(new, axis=1) + len(own)), 0)
+            best = dice.argmax(axis=1)
+            value = dice[np.arange(len(best)), best]
+            good = value >= known.dice
+            yield int(template), s[good, 0], (s[:, 0] + best)[good], value[good]
+
+
 def _lines(c: W.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The line of each word; of each line its number in its text, from 1, and its text."""
     starts = np.union1d(c.offset[:-1], np.flatnonzero(c.data == 0x0A) + 1)
@@ -120,16 +176,42 @@ def _lines(c: W.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.searchsorted(starts, c.start, "right") - 1, number, of
 
 
+def _closer(
+    c: W.Chunk, known: _Templates, line: np.ndarray, number: np.ndarray, of: np.ndarray, top: np.ndarray, found: list
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, line, template, coefficient) of passages that come closer than what was found."""
+    run = _Run.of(c)
+    n = len(known.names)
+    least = np.zeros(len(c) * n)
+    for pair, _, template, value in found:
+        np.maximum.at(least, pair * n + template, value)
+    keys, lines, values = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+    for template, first, last, value in _passages(run, known):
+        begin, end = line[run.word[first]], line[run.word[last] + 1]
+        key = of[begin] * n + template
+        use = ((begin != end) | (value > top[begin])) & (value > least[key])
+        keys.append(key[use])
+        lines.append(number[begin[use]])
+        values.append(value[use])
+    key, at, value = np.concatenate(keys), np.concatenate(lines), np.concatenate(values)
+    order = np.lexsort((at, -value, key))
+    key, head = np.unique(key[order], return_index=True)
+    return key // n, at[order][head], key % n, value[order][head]
+
+
 _RESULT = "doc_id long, license string, dice double, line int, n_matches long"
 
 
 def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, dice: float = DICE) -> DataFrame:
     """(doc_id, text) -> doc_id, license, dice, line, n_matches, one row per input row.
 
-    Compared are the whole text (line 0) and each line (from 1).  ``license`` names the
-    template that comes closest, if any reaches ``dice``: the highest coefficient, then the
-    first line, then the first name.  ``n_matches`` counts pairs of a template and a text or
-    line that reach it.  Null texts, and texts of fewer than two words, match nothing; an
+    Compared are the whole text (line 0), each line (from 1), and passages: runs of words across
+    lines, or within a line if they come closer than that line does to any template.  Of a
+    template's passages in a text the closest counts, with the line where it begins, and only if
+    it comes closer than the whole text and every line.  ``license`` names the template that
+    comes closest, if any reaches ``dice``: the highest coefficient, then the first line, then
+    passages before others, by the size of their templates, then the first name.
+    ``n_matches`` counts pairs of a template and a text, line or passage that reach it.  Null texts, and texts of fewer than two words, match nothing; an
     empty table gives no rows; other columns are ignored.
     """
     if not 0 < dice <= 1:
@@ -147,10 +229,14 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, dice: float
                 line, number, of = _lines(c)
                 pair, template, value = known.best(*_bigrams(c, doc), len(c))
                 found = [(pair, np.zeros(len(pair), np.int64), template, value)]
+                top = np.zeros(len(number))
                 pair, template, value = known.best(*_bigrams(c, line), len(number))
                 found.append((of[pair], number[pair], template, value))
+                np.maximum.at(top, pair, value)
+                found.append(_closer(c, known, line, number, of, top, found))
+                passage = np.repeat([0, 0, 1], [len(x[0]) for x in found])
                 own, at, template, value = (np.concatenate(x) for x in zip(*found, strict=True))
-                order = np.lexsort((template, at, -value, own))
+                order = np.lexsort((template, -passage * known.size[template], at, -value, own))
                 own, at, template, value = own[order], at[order], template[order], value[order]
                 head, place, count = np.unique(own, return_index=True, return_counts=True)
                 chosen, n_matches = np.full(len(c), -1), np.zeros(len(c), np.int64)

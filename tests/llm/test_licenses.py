@@ -1,3 +1,5 @@
+import textwrap
+
 import pytest
 from rankspark.llm import licenses as L
 
@@ -48,3 +50,37 @@ def test_nothing_and_wrong_parameters(spark, nothing, monkeypatch):
     monkeypatch.setattr(L, "TEMPLATE_WORDS", 10)
     with pytest.raises(ValueError, match="templates"):
         L.scan(nothing)
+
+
+def closest(text, template):
+    """Over all runs of words of a text."""
+    w, t = alnum(text), alnum(template)
+    return max((dice(w[i:j], t) for i in range(len(w)) for j in range(i + 2, min(len(w), i + 2 * len(t)) + 1)), default=0)
+
+
+@pytest.mark.parametrize("name", sorted(L.TEMPLATES))
+@pytest.mark.parametrize("form", ["wrapped", "comment", "paragraph", "changed"])
+def test_licences_within_longer_texts(spark, name, form):
+    text = L.TEMPLATES[name]
+    before, after = "int main of a program\nwith more lines " * 8, " and then other words follow here " * 8
+    lines = textwrap.wrap(text, 75)
+    body = {
+        "wrapped": "\n" + "\n".join(lines) + "\n",
+        "comment": "\n" + "".join(f" * {x}\n" for x in lines),
+        "paragraph": " " + text + " ",
+        "changed": "\n" + "\n".join([*lines[:-1], "some " + lines[-1]]) + "\n",
+    }[form]
+    whole = before + body + after
+    (r,) = L.scan(spark.createDataFrame([(1, whole)], "doc_id long, text string")).collect()
+    best = max((closest(whole, t), -k, n) for k, (n, t) in enumerate(sorted(L.TEMPLATES.items())))
+    assert r.dice == pytest.approx(best[0]) if best[0] >= L.DICE else r.dice is None
+    if form != "changed":
+        assert (r.license, r.dice) == (name, 1.0)
+        assert r.line == whole[: whole.index(text[:10])].count("\n") + 1
+
+
+def test_passages_do_not_leave_their_text(spark):
+    words = L.TEMPLATES["MIT-text"].split()
+    rows = [(k, " ".join(words[k::2] if k < 2 else words[30 * (k - 2) : 30 * (k - 1)])) for k in range(4)]
+    found = L.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r.license for r in sorted(found)] == [None] * 4
