@@ -3,7 +3,8 @@
 A byte-level pre-token holds one word at most, with the space before it.  White space that
 stands in front of a word is a pre-token up to its last character; that is the word's own
 space, or a pre-token again.  So words are encoded one by one, each different word once, and
-put together by numpy.
+put together by numpy.  Texts that hold the string of an added token, such as
+`<|endoftext|>`, are encoded by the library as a whole.
 """
 
 from __future__ import annotations
@@ -52,7 +53,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        # Those with white space stand in more than one word, so they are looked for in the text.
+        spaced = [c.encode() for c in added if re.search(r"\s", c)]
+        self.spaced = re.compile(b"|".join(map(re.escape, spaced))) if spaced else None
         self.model = self.tokenizer.model
         self.pre_tokens: dict[str, list[int]] = {}
         self._forget()
@@ -64,12 +69,18 @@ class Encoder:
         self.ids = np.array([END, *self._whole("\n")], np.uint32)
         self.start = np.array([0, 0, 1], np.int64)
         self.length = np.array([0, 1, len(self.ids) - 1], np.int64)
-        self.edge = np.zeros(3, bool)  # words with other white space at an end
+        self.edge = np.zeros(3, bool)  # words with other white space at an end, or an added token
         self.gaps: dict[bytes, int] = {}
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
+    def _alone(self, word: str) -> bool:
+        """Whether a text with this word is encoded as a whole."""
+        if self.added is not None and self.added.search(word):
+            return True
+        return not word.isalpha() and _EDGE.search(word) is not None
+
     def _pre_token(self, letters: str) -> list[int]:
         ids = self.pre_tokens.get(letters)
         if ids is None:
@@ -125,7 +136,7 @@ class Encoder:
             data, k = c.data.tobytes(), where[new]
             bounds = zip(c.start[k].tolist(), c.end[k].tolist(), spaced[k].tolist(), strict=True)
             words = [(data[a:b].decode(), s) for a, b, s in bounds]
-            edge = [not word.isalpha() and _EDGE.search(word) is not None for word, _ in words]
+            edge = [self._alone(word) for word, _ in words]
             first = self._add([self._word(*word) for word in words], edge)
             place = np.searchsorted(self.names, name[new])
             self.entry = np.insert(self.entry, place, np.arange(first, first + len(words)))
@@ -152,18 +163,22 @@ class Encoder:
         wide = np.flatnonzero((gap > 1) | ((gap == 1) & ~spaced & (byte != _LINE_FEED)))
         # Units of ids, in order: for each word its gap and itself, for each text its end.
         gaps, words = np.where((gap == 1) & ~spaced, 2, 0), self._words(c, spaced)
-        # Where white space may go on within a word, or all is white space, the text is one unit.
+        # Where white space may go on within a word, or all is white space, or an added token is
+        # named, the text is one unit.
         whole = np.bincount(doc, self.edge[words], len(c)) > 0
         whole |= ~some & (c.offset[1:] > c.offset[:-1])
+        if self.spaced is not None:
+            whole |= [self.spaced.search(c.text(d)) is not None for d in range(len(c))]
         for k in wide.tolist():
             gaps[k] = self._gap(c.data[before[k] : c.start[k]].tobytes(), False)
         ends = np.zeros(len(c), np.int64)
         for d in np.flatnonzero(tail).tolist():
             ends[d] = self._gap(c.text(d)[-tail[d] :], True)
-        for d in np.flatnonzero(whole).tolist():
-            a, b = c.first[d], c.first[d + 1]
-            gaps[a:b] = words[a:b] = 0
-            ends[d] = self._add([self._whole(c.text(d).decode())], [False])
+        kept, alone = (len(self.start), len(self.ids)), np.flatnonzero(whole)
+        if len(alone):  # entries for this chunk only
+            ends[alone] = self._add([self._whole(c.text(d).decode()) for d in alone], [False] * len(alone))
+            ends[alone] += np.arange(len(alone))
+            gaps[whole[doc]] = words[whole[doc]] = 0
         unit = np.empty(2 * len(words) + 2 * len(c), np.int64)
         at = 2 * (np.arange(len(words)) + doc)
         unit[at], unit[at + 1] = gaps, words
@@ -172,6 +187,9 @@ class Encoder:
         length = self.length[unit]
         stop = np.cumsum(length)
         ids = self.ids[np.repeat(self.start[unit] - stop + length, length) + np.arange(stop[-1] if len(stop) else 0)]
+        if len(alone):
+            self.start, self.length, self.edge = (x[: kept[0]] for x in (self.start, self.length, self.edge))
+            self.ids = self.ids[: kept[1]]
         return ids, stop[close + 1]
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
