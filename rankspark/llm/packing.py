@@ -22,8 +22,6 @@ from rankspark.llm.tables import stored
 from rankspark.llm.tokens import encoder
 
 CAPACITY = 1024
-#: Moves of the local search; it ends earlier when none increases the squared fill.
-MOVES = 20_000
 #: Rows that one task puts in order, on average.
 BLOCK_ROWS = 50_000
 
@@ -106,18 +104,17 @@ class _Underfull:
         return found
 
 
-def improve(bins: Counter[Kind], capacity: int, moves: int = MOVES) -> Counter[Kind]:
+def improve(bins: Counter[Kind], capacity: int) -> Counter[Kind]:
     """Moves, one-for-one and two-for-one exchanges between underfull bins.
 
     Each increases the sum of squared fills; emptied bins go.  The emptiest bins give first.
-    It ends when nothing increases the sum, when no packing can have fewer bins, or after
-    ``moves`` steps.
+    It ends when nothing increases the sum, or when no packing can have fewer bins.
     """
     bins = Counter(bins)
     total = sum(sum(k) * c for k, c in bins.items())
     fewest = -(-total // capacity)
     n_bins = sum(bins.values())
-    while moves and n_bins > fewest:
+    while n_bins > fewest:
         state = _Underfull(bins, capacity)
         for giver in range(len(state.kinds)):
             a = state.kinds[giver]
@@ -138,7 +135,6 @@ def improve(bins: Counter[Kind], capacity: int, moves: int = MOVES) -> Counter[K
         else:
             n_bins -= times
         bins = +bins
-        moves -= 1
     return bins
 
 
@@ -158,10 +154,10 @@ def _places(bins: Counter[Kind], capacity: int) -> dict[str, np.ndarray]:
     return {"length": table[:, 0], "rank": table[:, 1], "bin": table[:, 2], "offset": table[:, 3]}
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY, moves: int = MOVES) -> Counter[Kind]:
+def plan(counts: dict[int, int], capacity: int = CAPACITY) -> Counter[Kind]:
     if any(not 0 < n <= capacity for n in counts):
         raise ValueError(f"lengths must lie between 1 and {capacity}")
-    return improve(best_fit(counts, capacity), capacity, moves)
+    return improve(best_fit(counts, capacity), capacity)
 
 
 def pack(items: DataFrame, capacity: int = CAPACITY, order: tuple[str, ...] = ("doc_id", "piece")) -> DataFrame:

@@ -46,6 +46,22 @@ def test_moves_and_exchanges_empty_bins():
     assert sum(many.values()) == 2000
 
 
+def test_search_goes_on_while_a_move_is_found(monkeypatch):
+    calls = []
+
+    class Endless:
+        def __init__(self, bins, capacity):
+            self.kinds = [(1, 1)]
+
+        def best(self, giver, single):
+            calls.append(giver)
+            return (0, (), (), 1) if len(calls) <= 20_500 else None
+
+    monkeypatch.setattr(P, "_Underfull", Endless)
+    assert P.improve(Counter({(1, 1): 7}), 10) == Counter({(1, 1): 7})
+    assert len(calls) == 20_501
+
+
 def test_one_bin_does_not_give_to_itself():
     assert P.improve(Counter({(3, 2): 1}), 10) == Counter({(3, 2): 1})
     assert sum(P.improve(Counter({(3, 2): 7}), 10).values()) == 4
