@@ -119,20 +119,23 @@ def rule_of(rules: Sequence[Rule]) -> Column:
 def grams(texts: pa.Array, salt: int) -> tuple[np.ndarray, np.ndarray]:
     """(row, bucket) of every character n-gram, with a mark at either end of the text.
 
-    Characters are counted as UTF-8 bytes, so that n-grams of other scripts are shorter.
+    Characters are Unicode code points; an n-gram is named by its UTF-8 bytes.
     """
     marked = [b"\x02" + t.encode() + b"\x03" if t else b"" for t in texts.to_pylist()]
-    length = np.array([len(m) for m in marked], np.int64)
     data = np.frombuffer(b"".join(marked), np.uint8)
+    begins = (data & 0xC0) != 0x80  # bytes with which characters begin
+    start = np.append(np.flatnonzero(begins), len(data))
+    bound = np.cumsum([0, *map(len, marked)])
+    length = np.diff(np.searchsorted(start, bound))
     row = np.repeat(np.arange(len(marked)), length)
     end = np.repeat(np.cumsum(length), length)
-    at = np.arange(len(data))
+    at = np.arange(len(row))
     prefix = W.prefix_hashes(W.mix(data.astype(np.uint64) + np.uint64(salt << 8)))
     rows, buckets = [], []
     for n in GRAMS:
         ok = at + n <= end
         rows.append(row[ok])
-        buckets.append((W.span_hash(prefix, at[ok], at[ok] + n) % np.uint64(BUCKETS)).astype(np.int64))
+        buckets.append((W.span_hash(prefix, start[at[ok]], start[at[ok] + n]) % np.uint64(BUCKETS)).astype(np.int64))
     return np.concatenate(rows), np.concatenate(buckets)
 
 

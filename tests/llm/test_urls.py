@@ -1,4 +1,5 @@
 import re
+from collections import Counter
 
 import pyarrow as pa
 import pytest
@@ -82,3 +83,19 @@ def test_a_large_labelled_table_is_refused(spark, monkeypatch):
     monkeypatch.setattr(U, "LABELLED", 10)
     with pytest.raises(ValueError, match="labelled"):
         U.fit(U.labelled_urls(spark))
+
+
+def test_grams_are_of_characters():
+    texts = ["новости.рф", "abcdé", "新聞", "", None, "x", "a😀b"]
+    row, bucket = U.grams(pa.array(texts), 1)
+    names = {}
+    for i, text in enumerate(texts):
+        marked = f"\x02{text}\x03" if text else ""
+        own = [marked[k : k + n] for n in U.GRAMS for k in range(len(marked) - n + 1)]
+        found = bucket[row == i].tolist()
+        assert len(found) == len(own)
+        for gram, b in zip(own, found, strict=True):
+            assert names.setdefault(gram, b) == b
+    assert len(set(names.values())) == len(names)
+    # Of ASCII, characters and bytes agree.
+    assert Counter(row.tolist())[5] == 1
