@@ -6,9 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rankspark.llm import (
+    alignment,
     bitpack,
     decontamination,
     licenses,
+    linededup,
     lmscore,
     packing,
     quality,
@@ -16,6 +18,7 @@ from rankspark.llm import (
     simhash,
     urls,
     warc,
+    whitening,
 )
 from rankspark.llm.tables import table
 
@@ -103,6 +106,22 @@ def op10_simhash(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op11_whitening(spark: SparkSession, d: str) -> DataFrame:
+    return whitening.whiten(table(spark, d, "embeddings", "vec_id", "embedding"))
+
+
+def op12_alignment(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents", "doc_id", "text")
+    return alignment.align(docs, tokenizer(), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_linededup(spark: SparkSession, d: str) -> DataFrame:
+    kept = linededup.drop_frequent_lines(table(spark, d, "documents", "doc_id", "text"))
+    return kept.select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 QUERIES = {
     "op1_lmscore": op1_lmscore,
     "op2_packing": op2_packing,
@@ -114,6 +133,9 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_warc": op9_warc,
     "op10_simhash": op10_simhash,
+    "op11_whitening": op11_whitening,
+    "op12_alignment": op12_alignment,
+    "op13_linededup": op13_linededup,
 }
 
 _PLAIN = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -262,4 +284,19 @@ ORACLES = {
                CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id <> last THEN last END AS refers_to
         FROM d JOIN m USING (hex)""",
+    "op13_linededup": """
+        WITH lines AS (
+          SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS p
+          FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+        keyed AS (
+          SELECT doc_id, p, line,
+                 trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                      ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key
+          FROM lines),
+        often AS (
+          SELECT key FROM keyed WHERE length(key) >= 1
+          GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+        SELECT doc_id, count(*) AS n_lines, count(o.key) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (o.key IS NULL), '')) AS kept_sha256
+        FROM keyed k LEFT JOIN often o USING (key) GROUP BY doc_id""",
 }

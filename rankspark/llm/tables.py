@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -26,7 +26,7 @@ def _shuffles_end_with_the_job(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_CLEANUP, old)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, partition_by: Sequence[str] = (), compression: str = "snappy") -> DataFrame:
     """The rows as a table of the shared folder: computed once, safe from lost executors.
 
     Its shuffle files go when it is written, so that the disk never holds the shuffles of
@@ -35,7 +35,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_folder(spark, name)
     with _shuffles_end_with_the_job(spark):
-        df.write.parquet(path)
+        df.write.partitionBy(*partition_by).parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -26,5 +26,9 @@ def test_query_and_sql_agree(spark, views, name):
     assert sorted(tuple(map(repr, r)) for r in df.collect()) == rows
 
 
+def test_sql_belongs_to_queries():
+    assert set(ORACLES) <= set(QUERIES)
+
+
 def test_every_operator_has_its_query():
-    assert [q.partition("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [q.partition("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 14)]
