@@ -21,9 +21,7 @@ from rankspark.runtime import new_folder
 try:  # the training-data operators can be left out as a whole
     import corpus_pipeline
     from rankspark.llm import queries as training_data
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "rankspark.llm"):
-        raise
+except ImportError:  # they, or a library that only they use, are not there
     corpus_pipeline = training_data = None
 
 Query = Callable[[SparkSession, str], DataFrame]
