@@ -92,11 +92,7 @@ def _stored(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     key = (spark.sparkContext.applicationId, d)
     if key not in _published:
         _published[key] = publish(spark, d)
-    base = _published[key]
-    return (
-        sources.read_stored(spark, base, schemas.RECOMMENDATIONS),
-        sources.read_stored(spark, base, schemas.ITEMS),
-    )
+    return tuple(sources.read_published(spark, _published[key], schemas.RECOMMENDATIONS, schemas.ITEMS))
 
 
 # --------------------------------------------------------------------------- statistics
@@ -111,7 +107,7 @@ def prior_ratings(spark: SparkSession, d: str) -> DataFrame:
 
 
 def prior_items(spark: SparkSession, d: str) -> DataFrame:
-    return stats.items_prior(_stats(spark, d)).select(F.round("prior", 6).alias("prior"))
+    return stats.items_prior(_stats(spark, d))
 
 
 def dashboard_mean(spark: SparkSession, d: str) -> DataFrame:
@@ -132,7 +128,7 @@ def table_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def job_summary(spark: SparkSession, d: str) -> DataFrame:
-    items, rated = _items(spark, d), batch.written_stats(_ratings(spark, d))
+    items, rated = _items(spark, d), batch.written_stats(_stats(spark, d))
     scores = batch.recommend(items, rated, TOP_RATED)
     summary = stats.job_summary(items, rated, scores)
     return summary.withColumn("value_text", X.thousands(F.col("value")))
@@ -221,10 +217,30 @@ def appended_items(spark: SparkSession, d: str) -> DataFrame:
     none = ratings.limit(0)
     batch.run(parts, none, ALL_ITEMS, batch.to_folder(base, "append"), _run_ts())
     batch.run(suppliers, ratings, ALL_ITEMS, batch.to_folder(base, "append"), _run_ts())
-    items = sources.read_stored(spark, base, schemas.ITEMS).select("movie_id", "title")
-    scores = sources.read_stored(spark, base, schemas.RECOMMENDATIONS)
+    scores, items = sources.read_published(spark, base, schemas.RECOMMENDATIONS, schemas.ITEMS)
+    score = F.round("recommendation_score", 6).alias("recommendation_score")
+    return items.select("movie_id", "title").join(scores.select("movie_id", score), "movie_id", "left")
+
+
+def merged_statistics(spark: SparkSession, d: str) -> DataFrame:
+    """Ratings that come in three parts, items in two; every run is sent twice.
+
+    Parts are rated up to 1994 first, then suppliers and the ratings of 1995 come, then all later
+    ratings.  The tables are those of one run over everything.
+    """
+    base, ratings = new_folder(spark, "merged"), _ratings(spark, d)
+    parts = adapters.part_items(spark, d)
+    suppliers = _items(spark, d).join(parts, "movie_id", "left_anti")
+    year = F.year("created_at")
+    runs = ((parts, year < 1995), (suppliers, year == 1995), (parts.limit(0), year > 1995))
+    for number, (items, dates) in enumerate(runs):
+        for _ in range(2):
+            sink = batch.to_folder(base, "append")
+            batch.run(items, ratings.where(dates), ALL_ITEMS, sink, _run_ts(), f"part {number}")
+    scores, items = sources.read_published(spark, base, schemas.RECOMMENDATIONS, schemas.ITEMS)
     score = F.round("recommendation_score", 6).alias("recommendation_score")
-    return items.join(scores.select("movie_id", score), "movie_id", "left")
+    rated = items.select("movie_id", "title", "year", "avg_rating", "rating_count")
+    return rated.join(scores.select("movie_id", score), "movie_id", "left")
 
 
 def insert_defaults(spark: SparkSession, d: str) -> DataFrame:
@@ -516,6 +532,22 @@ def csv_copy(spark: SparkSession, d: str) -> str:
     return _csv[key]
 
 
+def csv_rejected(spark: SparkSession, d: str) -> DataFrame:
+    """The lines of a ratings file that do not fit: customers with a segment, suppliers with a name."""
+    folder = new_folder(spark, "csv-planted")
+    sinks.write_ratings_csv(_ratings(spark, d), folder)
+    customers = adapters.load(spark, d, "customer").selectExpr(
+        "c_custkey AS userId", "c_mktsegment AS movieId", "'4.5' AS rating", "0 AS timestamp"
+    )
+    suppliers = adapters.load(spark, d, "supplier").selectExpr(
+        "s_suppkey AS userId", "'7' AS movieId", "s_name AS rating", "0 AS timestamp"
+    )
+    planted = customers.unionByName(suppliers)
+    planted.write.mode("append").options(header=True, escape='"').csv(f"{folder}/ratings.csv")
+    lines = sources.rejected(sources.read_ratings(spark, folder, checked=True))
+    return lines.select("line", "user_id", "movie_id", "rating")
+
+
 def csv_scan_typed(spark: SparkSession, d: str) -> DataFrame:
     return sources.read_ratings(spark, csv_copy(spark, d))
 
@@ -553,6 +585,7 @@ _QUERIES: tuple[Query, ...] = (
     stored_recommendations,
     overwritten_recommendations,
     appended_items,
+    merged_statistics,
     insert_defaults,
     item_subset,
     ratings_of_subset,
@@ -599,6 +632,7 @@ _QUERIES: tuple[Query, ...] = (
     csv_scan_typed,
     csv_scan_inferred,
     csv_scan_items,
+    csv_rejected,
 )
 
 
@@ -696,7 +730,15 @@ def oracle_sql() -> dict[str, str]:
     statements = {
         "item_stats": "SELECT movie_id, avg_rating, rating_count FROM stats",
         "prior_ratings": "SELECT c AS prior FROM prior_of_ratings",
-        "prior_items": "SELECT round(c, 6) AS prior FROM prior_of_items",
+        # Whole numbers add up without rounding: parts of 30 bits, put together at the end.
+        "prior_items": """
+            SELECT (sum(w) + (sum(p1) + (sum(p2) + sum(floor(r3)) / 1073741824) / 1073741824)
+                   / 1073741824) / count(*) AS prior
+            FROM (SELECT w, p1, floor(r2) AS p2, (r2 - floor(r2)) * 1073741824 AS r3
+                  FROM (SELECT w, floor(r1) AS p1, (r1 - floor(r1)) * 1073741824 AS r2
+                        FROM (SELECT floor(avg_rating) AS w,
+                                     (avg_rating - floor(avg_rating)) * 1073741824 AS r1
+                              FROM stats WHERE avg_rating IS NOT NULL)))""",
         "dashboard_mean": """
             SELECT round(coalesce(avg(avg_rating), 0), 2) AS average_rating FROM item_rows""",
         "table_counts": """
@@ -910,6 +952,10 @@ def oracle_sql() -> dict[str, str]:
         "appended_items": """
             SELECT movie_id, title, round(recommendation_score, 6) AS recommendation_score
             FROM items LEFT JOIN scores USING (movie_id)""",
+        "merged_statistics": """
+            SELECT i.movie_id, title, year, i.avg_rating, i.rating_count,
+                   round(recommendation_score, 6) AS recommendation_score
+            FROM item_rows i LEFT JOIN scores s ON s.movie_id = i.movie_id""",
         "insert_defaults": """
             SELECT movie_id, title, CAST(NULL AS VARCHAR) AS genres,
                    coalesce(avg_rating, 0.0) AS avg_rating, CAST(0 AS BIGINT) AS rating_count
@@ -975,6 +1021,11 @@ def oracle_sql() -> dict[str, str]:
         "csv_scan_typed": "SELECT user_id, movie_id, rating, timestamp FROM ratings",
         "csv_scan_inferred": "SELECT user_id, movie_id, rating, timestamp FROM ratings",
         "csv_scan_items": "SELECT movie_id, title, genres FROM items",
+        "csv_rejected": """
+            SELECT c_custkey || ',' || c_mktsegment || ',4.5,0' AS line, c_custkey AS user_id,
+                   CAST(NULL AS BIGINT) AS movie_id, 4.5::DOUBLE AS rating FROM customer
+            UNION ALL
+            SELECT s_suppkey || ',7,' || s_name || ',0', s_suppkey, 7, NULL FROM supplier""",
     }
     own = {name: _sql(body) for name, body in statements.items()}
     return own if training_data is None else own | training_data.ORACLES

@@ -1,6 +1,7 @@
 """Column expressions; all JVM built-ins, no UDFs."""
 
 from rankspark.functions.dates import DATE_BUCKETS, date_bucket, date_bucket_range
+from rankspark.functions.exact import exact_mean, exact_sum
 from rankspark.functions.labels import (
     dataset_label,
     fixed,
@@ -22,6 +23,8 @@ __all__ = [
     "dataset_label",
     "date_bucket",
     "date_bucket_range",
+    "exact_mean",
+    "exact_sum",
     "falsy_default",
     "fixed",
     "genres_label",

@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rankspark.functions import falsy_default
+from rankspark.functions import exact_mean, falsy_default
 
 # Fixed value: the mean used when there is no rating, or only zeros.
 FALLBACK_MEAN = 3.0
@@ -38,6 +38,20 @@ def item_stats(ratings: DataFrame) -> DataFrame:
         F.count("rating").alias("rating_count"),
         F.count(F.lit(1)).alias("row_count"),
     )
+    return _with_mean(totals)
+
+
+def merge_stats(*parts: DataFrame) -> DataFrame:
+    """The statistics of all ratings from those of disjoint parts of them.
+
+    One row per item and part is shuffled; no rating is read again.
+    """
+    columns = ["movie_id", "rating_sum", "rating_count", "row_count"]
+    rows = reduce(DataFrame.unionByName, [part.select(*columns) for part in parts])
+    return _with_mean(rows.groupBy("movie_id").agg(*(F.sum(c).alias(c) for c in columns[1:])))
+
+
+def _with_mean(totals: DataFrame) -> DataFrame:
     return totals.select(
         F.when(F.col("rating_count") >= 0, F.col("movie_id")).alias("movie_id"),
         "rating_sum",
@@ -63,8 +77,8 @@ def ratings_prior(stats: DataFrame) -> DataFrame:
 
 
 def items_prior(stats: DataFrame) -> DataFrame:
-    """Mean of the item means; NULL when nothing is rated."""
-    return stats.agg(F.avg("avg_rating").alias("prior"))
+    """Mean of the item means, whatever their order; NULL when nothing is rated."""
+    return stats.agg(exact_mean(F.col("avg_rating")).alias("prior"))
 
 
 PRIORS = {"ratings": ratings_prior, "items": items_prior}

@@ -16,6 +16,34 @@ def item_table(items: DataFrame, stats: DataFrame) -> DataFrame:
     )
 
 
+def refreshed_items(
+    stored: DataFrame, items: DataFrame, stats: DataFrame, run_ts: Column | None = None
+) -> DataFrame:
+    """The stored item table and new items, with statistics that have grown since.
+
+    A stored item keeps its ``created_at``; its ``updated_at`` moves where its mean or its number
+    of ratings does.  Items in both must have been refused before.
+    """
+    stamp = F.current_timestamp() if run_ts is None else run_ts
+    before = ["avg_rating", "rating_count", "created_at", "updated_at"]
+    known = stored.select("movie_id", "title", "genres", F.struct(*before).alias("before"))
+    rows = known.unionByName(items.select("movie_id", "title", "genres"), allowMissingColumns=True)
+    rows = rows.join(stats.select("movie_id", "avg_rating", "rating_count"), "movie_id", "left")
+    rows = rows.na.fill({"avg_rating": 0.0, "rating_count": 0})
+    old = F.col("before")
+    same = old["avg_rating"].eqNullSafe(F.col("avg_rating")) & old["rating_count"].eqNullSafe(F.col("rating_count"))
+    return rows.select(
+        "movie_id",
+        "title",
+        "genres",
+        title_year(F.col("title")).alias("year"),
+        "avg_rating",
+        "rating_count",
+        F.coalesce(old["created_at"], stamp).alias("created_at"),
+        F.when(old.isNotNull() & same, old["updated_at"]).otherwise(stamp).alias("updated_at"),
+    )
+
+
 def with_audit(df: DataFrame, run_ts: Column | None = None) -> DataFrame:
     """Add created_at and updated_at, one instant for the whole run."""
     stamp = F.current_timestamp() if run_ts is None else run_ts

@@ -5,9 +5,10 @@
 
 where ``job.py`` calls ``main()``.
 
-The ratings are read once.  Their per-item statistics are written to a table in
-the shared folder, and the prior, both result tables and the report come from
-that table, which has one row per item.
+The ratings are read once.  Their per-item statistics are written to a table, which has one
+row per item; the prior, both result tables and the report come from it.  In a folder the
+statistics are kept beside the result tables, so that a later run can add its ratings to them,
+and all tables of a run become visible at once (``sinks.versions``).
 """
 
 from __future__ import annotations
@@ -23,19 +24,22 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from rankspark.operators.scores import existing_only, score_items
 from rankspark.operators.serving import BY_SCORE, top_titles
 from rankspark.operators.paging import top_n
-from rankspark.operators.stats import PRIORS, item_stats
-from rankspark.operators.tables import item_table, recommendation_table, with_audit
+from rankspark.operators.stats import PRIORS, item_stats, merge_stats
+from rankspark.operators.tables import item_table, recommendation_table, refreshed_items, with_audit
 from rankspark.runtime import new_folder
-from rankspark.schemas import ITEMS, RECOMMENDATIONS, Table
+from rankspark.schemas import ITEMS, RECOMMENDATIONS, STATISTICS, Table
 from rankspark.sinks.jdbc import CONNECTIONS, clear_tables, write_jdbc
-from rankspark.sinks.stored import write_stored
+from rankspark.sinks.stored import refuse_stored
+from rankspark.sinks.versions import Publication
 from rankspark.sources import (
     JdbcTarget,
+    accepted,
     item_subset,
     ratings_of,
     read_items,
     read_ratings,
-    read_stored,
+    read_published,
+    rejected,
 )
 
 # Parameters of the two standard runs.
@@ -123,58 +127,100 @@ def build(
     )
 
 
-def written_stats(ratings: DataFrame) -> DataFrame:
+def written_stats(stats: DataFrame) -> DataFrame:
     """The item statistics as a table in the shared folder: later steps read that."""
-    spark, stats = ratings.sparkSession, item_stats(ratings)
+    spark = stats.sparkSession
     path = new_folder(spark, "item-stats")
     stats.write.parquet(path)
     return spark.read.schema(stats.schema).parquet(path)
 
 
-#: Writes a table; returns it as it is stored then, if it can be read back.
-Writer = Callable[[DataFrame, Table], DataFrame | None]
+class Sink:
+    """Where a run's tables go.  By default every run stands for itself and is final as written."""
+
+    def begin(self, spark: SparkSession, run_id: str | None) -> dict[str, int] | None:
+        """Called first; the totals of the run with this id, if it was published before."""
+
+    def stored(self, table: Table) -> DataFrame | None:
+        """What a run adds to, or None if it starts anew."""
+
+    def write(self, df: DataFrame, table: Table) -> DataFrame | None:
+        """Write a table; returns it as it is stored then, if it can be read back."""
+        raise NotImplementedError
+
+    def __call__(self, df: DataFrame, table: Table) -> DataFrame | None:
+        return self.write(df, table)
+
+    def statistics(self, stats: DataFrame) -> DataFrame:
+        """Store the item statistics, from which all else is computed."""
+        return written_stats(stats)
+
+    def publish(self, totals: dict[str, int]) -> None:
+        """Called last, with all tables written."""
 
 
 def run(
     items: DataFrame,
     ratings: DataFrame,
     config: JobConfig,
-    write: Writer,
+    sink: Sink,
     run_ts: Column | None = None,
+    run_id: str | None = None,
 ) -> dict[str, int]:
-    """Publish both tables with ``write``, items first; returns the run's totals.
+    """Write the tables to ``sink``, items first, and publish them; returns the totals.
+
+    Where the sink has stored tables to add to, ``items`` and ``ratings`` are new ones: the
+    statistics of the new ratings are added to the stored ones, and both tables follow from the
+    sums, for all items.  Ratings of earlier runs are not read again.  Items that are stored
+    already are refused.
+
+    A ``run_id`` that the sink has published before does nothing and returns what it returned
+    then, so a run that may or may not have come to its end can be repeated.
 
     The row totals of the tables are observed by the writes themselves, in tasks
     whose results count once even if an executor is lost and they run again.  Rows
     without an item id, such as malformed CSV lines, are counted on the way.
     """
+    done = sink.begin(items.sparkSession, run_id)
+    if done is not None:
+        return done
     items, ratings = restrict(items, ratings, config)
-    stats = written_stats(ratings)
+    earlier, known = sink.stored(STATISTICS), sink.stored(ITEMS)
+    if known is not None:
+        refuse_stored(items, known, ITEMS)
+    stats = item_stats(ratings)
+    stats = sink.statistics(stats if earlier is None else merge_stats(earlier, stats))
     observed, no_id = {}, F.col("movie_id").isNull()
 
     def publish(frame: DataFrame, table: Table) -> DataFrame | None:
         observed[table] = Observation(table.name)
         rows = F.count(F.lit(1)).alias("rows")
         without_id = F.count_if(no_id).alias("without_id")
-        return write(frame.observe(observed[table], rows, without_id), table)
+        return sink.write(frame.observe(observed[table], rows, without_id), table)
 
-    stored = publish(with_audit(item_table(items, stats), run_ts), ITEMS)
+    if known is None:
+        stored = publish(with_audit(item_table(items, stats), run_ts), ITEMS)
+    else:
+        stored = publish(refreshed_items(known, items, stats, run_ts), ITEMS)
+        items = stored
     scores = recommend(items, stats, config, stored)
     publish(recommendation_table(scores, run_ts, config.popularity), RECOMMENDATIONS)
     written = {table: _values(observation) for table, observation in observed.items()}
-    totals = stats.agg(
+    sums = stats.agg(
         F.coalesce(F.sum("row_count"), F.lit(0)).alias("ratings"),
         F.coalesce(F.sum(F.when(no_id, F.col("row_count"))), F.lit(0)).alias("without_id"),
         F.count(F.lit(1)).alias("items"),
     ).first()
-    return {
+    totals = {
         "total_movies": written[ITEMS]["rows"],
-        "total_ratings": totals["ratings"],
-        "movies_with_stats": totals["items"],
+        "total_ratings": sums["ratings"],
+        "movies_with_stats": sums["items"],
         "recommendations_generated": written[RECOMMENDATIONS]["rows"],
         "movies_without_id": written[ITEMS]["without_id"],
-        "ratings_without_id": totals["without_id"],
+        "ratings_without_id": sums["without_id"],
     }
+    sink.publish(totals)
+    return totals
 
 
 def _values(observation: Observation) -> dict[str, int]:
@@ -185,31 +231,67 @@ def _values(observation: Observation) -> dict[str, int]:
         return {"rows": 0, "without_id": 0}
 
 
-def to_folder(base: str, mode: str = "overwrite") -> Writer:
-    def write(df: DataFrame, table: Table) -> DataFrame:
-        write_stored(df, base, table, mode)
-        return read_stored(df.sparkSession, base, table)
+class FolderSink(Sink):
+    """Versioned tables in a folder, which readers see together once the run is published."""
+
+    def __init__(self, base: str, append: bool = False) -> None:
+        self.base, self.append = base, append
+
+    def begin(self, spark: SparkSession, run_id: str | None) -> dict[str, int] | None:
+        self.publication = Publication(spark, self.base, run_id, self.append)
+        return self.publication.done
+
+    def stored(self, table: Table) -> DataFrame | None:
+        return self.publication.stored(table) if self.append else None
 
-    return write
+    def write(self, df: DataFrame, table: Table) -> DataFrame:
+        return self.publication.write(df, table)
 
+    def statistics(self, stats: DataFrame) -> DataFrame:
+        stored = self.publication.write(stats, STATISTICS)
+        return stored.withColumn("avg_rating", F.try_divide("rating_sum", "rating_count"))
 
-def to_database(
-    spark: SparkSession, target: JdbcTarget, append: bool = False, **settings
-) -> Writer:
-    """Load a database; unless appending, both tables are emptied before the first load.
+    def publish(self, totals: dict[str, int]) -> None:
+        self.publication.publish(totals)
+
+
+class DatabaseSink(Sink):
+    """A database; unless appending, both tables are emptied before the first load.
 
     ``settings`` are those of ``sinks.jdbc.write_jdbc``.
     """
-    cleared = append
 
-    def write(df: DataFrame, table: Table) -> None:
-        nonlocal cleared
-        if not cleared:
-            clear_tables(spark, target, **settings)
-            cleared = True
-        write_jdbc(df, target, table, "append", **settings)
+    def __init__(self, spark: SparkSession, target: JdbcTarget, append: bool = False, **settings) -> None:
+        self.spark, self.target, self.settings = spark, target, settings
+        self.cleared = append
+
+    def write(self, df: DataFrame, table: Table) -> None:
+        if not self.cleared:
+            clear_tables(self.spark, self.target, **self.settings)
+            self.cleared = True
+        write_jdbc(df, self.target, table, "append", **self.settings)
+
+
+def to_folder(base: str, mode: str = "overwrite") -> FolderSink:
+    """Replace the tables of a folder, or add new items and ratings to them (``append``)."""
+    if mode not in ("overwrite", "append"):
+        raise ValueError("mode must be 'overwrite' or 'append'")
+    return FolderSink(base, mode == "append")
+
 
-    return write
+def to_database(spark: SparkSession, target: JdbcTarget, append: bool = False, **settings) -> DatabaseSink:
+    return DatabaseSink(spark, target, append, **settings)
+
+
+def keep_rejected(checked: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """Write the lines of a checked scan that do not fit, as a table of their own.
+
+    Returns the rows that do fit, and how many lines did not; the write counts them.
+    """
+    observed = Observation("rejected")
+    lines = rejected(checked).observe(observed, F.count(F.lit(1)).alias("rows"), F.lit(0).alias("without_id"))
+    lines.write.mode("overwrite").parquet(path)
+    return accepted(checked), _values(observed)["rows"]
 
 
 def preview(recommendations: DataFrame, items: DataFrame, n: int = 10) -> DataFrame:
@@ -223,6 +305,7 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="rankspark", description="Rate and rank items.")
     parser.add_argument("--input", required=True, help="folder with movies.csv and ratings.csv")
     parser.add_argument("--infer", action="store_true", help="infer the CSV types")
+    parser.add_argument("--rejects", help="folder for lines that do not fit, which then do not count")
     sink = parser.add_mutually_exclusive_group(required=True)
     sink.add_argument("--output", help="folder for the result tables")
     sink.add_argument("--jdbc-url", help="database for the result tables")
@@ -230,7 +313,10 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
         "--jdbc-option", action="append", default=[], metavar="KEY=VALUE",
         help="driver option, such as user=...; may be repeated",
     )
-    parser.add_argument("--append", action="store_true", help="add to the tables that are there")
+    parser.add_argument(
+        "--append", action="store_true", help="add new items and ratings to the tables that are there"
+    )
+    parser.add_argument("--run-id", help="a run of this id that is published already is not repeated")
     parser.add_argument("--item-table", default=ITEMS.name, help="its name in the database")
     parser.add_argument("--score-table", default=RECOMMENDATIONS.name)
     parser.add_argument("--connections", type=int, default=CONNECTIONS, help="most database writers at once")
@@ -255,27 +341,34 @@ def main(arguments: Sequence[str] | None = None) -> None:
     spark = SparkSession.builder.appName("rankspark").getOrCreate()
     try:
         if args.output:
-            write = to_folder(args.output, "append" if args.append else "overwrite")
+            sink = to_folder(args.output, "append" if args.append else "overwrite")
         else:
             options = dict(o.split("=", 1) for o in args.jdbc_option)
-            write = to_database(
+            sink = to_database(
                 spark,
                 JdbcTarget(args.jdbc_url, options),
                 args.append,
                 names={ITEMS.name: args.item_table, RECOMMENDATIONS.name: args.score_table},
                 connections=args.connections,
             )
+        items = read_items(spark, args.input, args.infer, bool(args.rejects))
+        ratings = read_ratings(spark, args.input, args.infer, bool(args.rejects))
+        refused = {}
+        if args.rejects:
+            items, refused["rejected_item_lines"] = keep_rejected(items, f"{args.rejects}/movies")
+            ratings, refused["rejected_rating_lines"] = keep_rejected(ratings, f"{args.rejects}/ratings")
         totals = run(
-            read_items(spark, args.input, args.infer),
-            read_ratings(spark, args.input, args.infer),
+            items,
+            ratings,
             config,
-            write,
+            sink,
             F.lit(dt.datetime.now(dt.timezone.utc)),
+            args.run_id,
         )
-        for name, value in totals.items():
+        for name, value in (totals | refused).items():
             print(f"{name}: {value:,}")
         if args.output:
-            stored = [read_stored(spark, args.output, t) for t in (RECOMMENDATIONS, ITEMS)]
+            stored = read_published(spark, args.output, RECOMMENDATIONS, ITEMS)
             preview(*stored).show(truncate=False)
     finally:
         spark.stop()

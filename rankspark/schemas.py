@@ -167,6 +167,17 @@ PREFERENCES = Table(
     tie_break=("user",),
 )
 
+#: What runs add up by item; kept beside the result tables, not listed anywhere.
+STATISTICS = Table(
+    name="item_statistics",
+    columns=(
+        Col("movie_id", "bigint"),
+        Col("rating_sum", "double"),
+        Col("rating_count", "bigint", required=True, default=0),
+        Col("row_count", "bigint", required=True, default=0),
+    ),
+)
+
 TABLES = {t.name: t for t in (ITEMS, RATINGS, RECOMMENDATIONS, DATASETS, PREFERENCES)}
 
 

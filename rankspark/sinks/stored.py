@@ -2,29 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 
 from rankspark.schemas import Table, conform
 
 
 def write_stored(df: DataFrame, base: str, table: Table, mode: str = "overwrite") -> str:
-    """Write one contract table; an append fails if a key of it is stored already."""
+    """Write one contract table by itself, in place; ``sinks.versions`` publishes several at once."""
     path = f"{base.rstrip('/')}/{table.name}"
-    rows = conform(df, table)
-    if mode == "append" and table.unique:
-        _refuse_stored(rows, path, table)
-    rows.write.mode(mode).parquet(path)
+    conform(df, table).write.mode(mode).parquet(path)
     return path
 
 
-def _refuse_stored(rows: DataFrame, path: str, table: Table) -> None:
-    try:
-        stored = rows.sparkSession.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return
+def refuse_stored(rows: DataFrame, stored: DataFrame, table: Table) -> None:
+    """Fail if a key of the rows is stored already."""
     keys = list(table.unique)
-    if not rows.select(*keys).join(stored.select(*keys), keys, "left_semi").isEmpty():
+    if keys and not rows.select(*keys).join(stored.select(*keys), keys, "left_semi").isEmpty():
         raise ValueError(f"{table.name}: rows with these {', '.join(keys)} are stored already")

@@ -3,6 +3,7 @@
 import pytest
 
 from rankspark import sinks, sources
+from rankspark.plans import batch
 from rankspark.schemas import ITEMS
 from rankspark.sources import read_items, read_ratings
 
@@ -86,3 +87,25 @@ def test_stored_table(spark, micro, tmp_path):
     assert back.columns == ITEMS.column_names
     assert back.count() == 3
     assert back.filter("rating_count = 0 AND avg_rating = 0").count() == 3
+
+
+def test_rejected_lines(spark, tmp_path):
+    (tmp_path / "movies.csv").write_text('movieId,title,genres\n1,"A, ""b"" (1999)",x\nbad,"B, c",y\n5,Short\n')
+    (tmp_path / "ratings.csv").write_text("userId,movieId,rating,timestamp\n1,1,4,0\n1,?,2,0\n2,1,x,0\n3,1,5,0,9\n")
+    items = sources.read_items(spark, str(tmp_path), checked=True)
+    assert [r["title"] for r in sources.accepted(items).collect()] == ['A, "b" (1999)']
+    assert sorted(r["line"] for r in sources.rejected(items).collect()) == ["5,Short", 'bad,"B, c",y']
+    good, n = batch.keep_rejected(sources.read_ratings(spark, str(tmp_path), checked=True), str(tmp_path / "rejects"))
+    assert (n, [tuple(r) for r in good.collect()]) == (3, [(1, 1, 4.0, 0)])
+    # Whatever columns are asked for, the same lines are refused.
+    assert (good.count(), good.select("user_id").count(), [r[0] for r in good.select("movie_id").collect()]) == (1, 1, [1])
+    kept = spark.read.parquet(str(tmp_path / "rejects"))
+    assert sorted((r["line"], r["movie_id"]) for r in kept.collect()) == [("1,?,2,0", None), ("2,1,x,0", 1), ("3,1,5,0,9", 1)]
+    with pytest.raises(ValueError):
+        sources.read_items(spark, str(tmp_path), infer=True, checked=True)
+
+
+def test_no_rejected_lines(spark, tmp_path):
+    (tmp_path / "ratings.csv").write_text("userId,movieId,rating,timestamp\n1,1,4,0\n")
+    good, n = batch.keep_rejected(sources.read_ratings(spark, str(tmp_path), checked=True), str(tmp_path / "rejects"))
+    assert (good.count(), n) == (1, 0)

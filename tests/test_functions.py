@@ -1,6 +1,8 @@
 """Text tests, search terms, dates and labels."""
 
 import datetime as dt
+import math
+import random
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -125,3 +127,38 @@ def test_page_request():
     assert PageRequest.parse({"limit": "5", "offset": "10", "genre": "x"}) == PageRequest(5, 10, "x")
     with pytest.raises(ValueError):
         PageRequest.parse({"limit": "many"})
+
+
+def test_exact_sum_is_the_same_in_any_order(spark):
+    draw = random.Random(11)
+    values = [draw.uniform(-1, 1) * 10 ** draw.randint(-9, 12) for _ in range(3000)] + [0.1] * 1000 + [None]
+    found, plain = set(), set()
+    for partitions in (1, 3, 17):
+        draw.shuffle(values)
+        df = spark.createDataFrame([(v,) for v in values], "v double").repartition(partitions)
+        row = df.agg(X.exact_sum(F.col("v")), X.exact_mean(F.col("v")), F.sum("v")).first()
+        found.add((row[0].hex(), row[1].hex()))
+        plain.add(row[2])
+    assert len(found) == 1
+    exact = math.fsum(v for v in values if v is not None)
+    assert float.fromhex(found.pop()[0]) == pytest.approx(exact, rel=1e-15)
+
+
+@pytest.mark.parametrize("values, wanted", [([], None), ([None], None), ([1.0, math.inf], math.inf), ([-0.75, 0.25], -0.5)])
+def test_exact_sum_of_few(spark, values, wanted):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert df.agg(X.exact_sum(F.col("v"))).first()[0] == wanted
+
+
+def test_exact_sum_with_nan(spark):
+    df = spark.createDataFrame([(1.0,), (math.nan,)], "v double")
+    assert math.isnan(df.agg(X.exact_sum(F.col("v"))).first()[0])
+
+
+def test_items_prior_does_not_depend_on_partitions(spark):
+    from rankspark.operators.stats import items_prior
+
+    draw = random.Random(5)
+    means = spark.createDataFrame([(i, draw.uniform(0, 5)) for i in range(4000)], "movie_id long, avg_rating double")
+    found = {items_prior(means.repartition(n)).first()["prior"].hex() for n in (1, 4, 31)}
+    assert len(found) == 1

@@ -115,3 +115,31 @@ def test_null_ids_come_last_in_a_subset(spark):
 
     items = spark.createDataFrame([(None,), (2,), (1,)], "movie_id bigint")
     assert [r[0] for r in item_subset(items, 2).collect()] == [1, 2]
+
+
+@pytest.mark.parametrize("few", [0, 10, 300])
+@pytest.mark.parametrize("limit, offset", [(20, 0), (20, 1990), (5, 777), (0, 3), (10, 5000), (700, 600)])
+def test_deep_pages_by_rounds(scored, limit, offset, few):
+    df, ordered = scored
+    expected = [(offset + k, i) for k, (i, _) in enumerate(ordered[offset : offset + limit], start=1)]
+    assert [(r["rank"], r["id"]) for r in deep_page(df, ORDER, limit, offset, few).collect()] == expected
+
+
+def test_deep_pages_of_other_types(spark):
+    """Dates and texts in the order, NULLs and NaN among the values, both directions."""
+    df = spark.range(0, 900, 1, 3).selectExpr(
+        "id",
+        "CASE WHEN id % 5 = 0 THEN NULL WHEN id % 7 = 0 THEN CAST('NaN' AS double) ELSE id % 11 END AS score",
+        "CASE WHEN id % 3 > 0 THEN timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, id % 13) END AS day",
+        "CAST(id % 17 AS string) AS name",
+    )
+    for order in ((("score", True), ("day", False), ("id", True)), (("day", True), ("name", True), ("score", False), ("id", False))):
+        for limit, offset in ((7, 100), (30, 555), (10, 880)):
+            deep = deep_page(df, order, limit, offset, few=5).collect()
+            assert list(map(str, deep)) == list(map(str, page(df, order, limit, offset).collect()))
+            assert [r["rank"] for r in deep] == list(range(offset + 1, offset + limit + 1))
+
+
+def test_deep_page_among_equal_rows(spark):
+    df = spark.range(500).selectExpr("1.5D AS score", "CAST(3 AS long) AS id")
+    assert [r["rank"] for r in deep_page(df, ORDER, 5, 400, few=2).collect()] == [401, 402, 403, 404, 405]

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from rankspark.operators import quality
+from rankspark.operators import paging, quality
 from rankspark.operators.scores import existing_only, score_items
 from rankspark.operators.stats import item_stats
 from rankspark.operators.tables import cascade_delete, item_table
@@ -53,8 +53,8 @@ def test_no_cross_join_and_no_python(spark, conf, name):
     nodes = plan.nodes(QUERIES[name](spark, str(TESTDATA / "sf0.001")))
     for kind in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert plan.count(nodes, kind) == 0
-    # Only the one-row-per-partition offsets of a deep page are broadcast by hand.
-    assert plan.count(nodes, "BroadcastExchange") == (name == "recommendation_deep_page")
+    # Nothing is broadcast by hand.
+    assert plan.count(nodes, "BroadcastExchange") == 0
 
 
 @pytest.mark.parametrize("name", ["top10_titles", "top_n", "dashboard_top10", "recommendation_page"])
@@ -180,3 +180,16 @@ def test_ratings_are_read_once_without_adaptive_execution(spark, conf, name):
     nodes = plan.nodes(QUERIES[name](spark, SF))
     assert ratings_scans(nodes) == 1
     assert plan.count(nodes, "ReusedExchange") >= 1
+
+
+def test_deep_page_sorts_only_rows_near_it(spark, conf):
+    """No exchange of whole rows: the rounds count, and what is left is one top-k."""
+    conf(autoBroadcastJoinThreshold="-1")
+    df = spark.range(0, 40_000, 1, 8).selectExpr("id", "CAST(id % 977 AS double) AS score", "repeat('x', 50) AS text")
+    found = paging.deep_page(df, (("score", True), ("id", False)), 20, 25_000, few=1000)
+    nodes = plan.nodes(found)
+    assert plan.count(nodes, "TakeOrderedAndProject") == 1
+    assert plan.count(nodes, "ShuffleExchange", "range") == 0 and plan.count(nodes, "RDDScan") == 0
+    # The two bounds of the last round stand in the filter; what passes them is little more than the page.
+    passed = df.where("true").count(), found.count()
+    assert passed == (40_000, 20)
