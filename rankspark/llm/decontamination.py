@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rankspark.llm import words as W
 from rankspark.llm.tables import stored
@@ -172,6 +172,15 @@ def contamination(
     return out
 
 
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
+
+
+def _neighbours(a: Column, b: Column) -> Column:
+    """Whether no word stands between the stretch ``a`` and ``b``, which starts after it does."""
+    between = F.substring(F.col("text"), a["end"] + 1, b["start"] - a["end"])
+    return (b["start"] <= a["end"]) | ~F.lower(between).rlike(_WORD)
+
+
 def _put_together(rows: DataFrame) -> DataFrame:
     """Two scans of one document as one."""
     in_order = F.array_sort(F.concat("__spans", "spans"))
@@ -182,7 +191,7 @@ def _put_together(rows: DataFrame) -> DataFrame:
         merged = F.struct(state["open"]["start"].alias("start"), end.alias("end"))
         return (
             F.when(state["open"].isNull(), F.struct(state["done"].alias("done"), x.alias("open")))
-            .when(x["start"] <= state["open"]["end"], F.struct(state["done"].alias("done"), merged.alias("open")))
+            .when(_neighbours(state["open"], x), F.struct(state["done"].alias("done"), merged.alias("open")))
             .otherwise(F.struct(F.concat(state["done"], F.array(state["open"])).alias("done"), x.alias("open")))
         )
 
@@ -196,7 +205,7 @@ def _put_together(rows: DataFrame) -> DataFrame:
         lambda n, s: n
         + F.regexp_count(
             F.lower(F.substring(F.col("text"), s["start"] + 1, s["end"] - s["start"])),
-            F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"),
+            F.lit(_WORD + "+"),
         ),
     )
     return rows.withColumn("n_hit", words)

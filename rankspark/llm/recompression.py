@@ -128,14 +128,14 @@ def window_keys(
         np.minimum.at(best, low - back, name)
     key = best[at]
     alone = key == _NONE
-    key[alone] = W.span_hash(prefix, at[alone], at[alone] + window)
+    key[alone] = W.window_hash(names, window)[at[alone]]
     return at, key, doc[at]
 
 
 def window_names(names: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """64 and 32 more bits that name the windows starting at the given words."""
-    first = W.span_hash(W.prefix_hashes(names), at, at + window)
-    other = W.span_hash(W.prefix_hashes(W.mix(names + np.uint64(7))), at, at + window)
+    first = W.window_hash(names, window)[at]
+    other = W.window_hash(W.mix(names + np.uint64(7)), window)[at]
     return first, (other >> np.uint64(32)).astype(np.uint32)
 
 
@@ -170,15 +170,13 @@ def _parse(docs: DataFrame, window: int) -> DataFrame:
                 names, n = c.names(), len(c)
                 _, key, doc = window_keys(names, c.first, window)
                 doc, key = _distinct(doc, key)
-                a, b = c.first[:-1], c.first[1:]
-                content = W.span_hash(W.prefix_hashes(names), a, b)
-                content2 = W.span_hash(W.prefix_hashes(W.mix(names + np.uint64(7))), a, b)
+                content, content2 = c.contents(names)
                 rows = slice(c.row, c.row + n)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0)[rows],
                         batch.column(1)[rows],
-                        pa.array(b - a),
+                        pa.array(np.diff(c.first)),
                         pa.array(content.view(np.int64)),
                         pa.array(content2.view(np.int64)),
                         _lists(doc, n, key),

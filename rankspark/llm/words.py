@@ -6,6 +6,7 @@ ASCII characters and all non-ASCII ones, so cutting bytes and cutting characters
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,6 +15,8 @@ import pyarrow as pa
 
 #: Bytes of text worked on at a time; one longer text is still taken whole.
 CHUNK_BYTES = 1 << 21
+#: Bytes of a word up to which it is named by a polynomial.
+LONG = 256
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _U64 = 1 << 64
@@ -74,11 +77,44 @@ def prefix_hashes(values: np.ndarray) -> np.ndarray:
 
 
 def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit names of spans: equal spans get equal names wherever they stand."""
+    """64-bit names of spans: equal spans get equal names wherever they stand.
+
+    Polynomials modulo 2**64 name some long sequences of two values alike, from 512 values on;
+    for spans of more than ``LONG`` see ``digest`` and ``window_hash``.
+    """
     _, down = _POWERS.get(len(prefix))
     return mix((prefix[end] - prefix[start]) * down[start])
 
 
+def digest(data: bytes) -> tuple[int, int]:
+    """Two 64-bit names of any bytes, by a cryptographic hash."""
+    found = hashlib.blake2b(data, digest_size=16).digest()
+    return int.from_bytes(found[:8], "little"), int.from_bytes(found[8:], "little")
+
+
+def window_hash(names: np.ndarray, window: int) -> np.ndarray:
+    """A 64-bit name of the ``window`` names that start at each place.
+
+    Windows of twice the size are named by the names of their halves, and one of any size by
+    two such that cover it.  At places with fewer names left, the value means nothing.
+    """
+    out, size = names, 1
+    while 2 * size <= window:
+        out, size = _both(out, _ahead(out, size)), 2 * size
+    return _both(out, _ahead(out, window - size)) if size < window else out
+
+
+def _both(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A name for two names, in this order."""
+    return mix(mix(a + np.uint64(_BASE)) + b * np.uint64(0xD6E8FEB86659FD93))
+
+
+def _ahead(values: np.ndarray, places: int) -> np.ndarray:
+    out = np.zeros_like(values)
+    out[: max(0, len(values) - places)] = values[places:]
+    return out
+
+
 @dataclass
 class Chunk:
     """Some texts and their words.  first[i]:first[i + 1] are the words of text i."""
@@ -95,7 +131,16 @@ class Chunk:
 
     def names(self) -> np.ndarray:
         """A 64-bit name for each word."""
-        return span_hash(prefix_hashes(_BYTE_VALUES[self.data]), self.start, self.end)
+        out = span_hash(prefix_hashes(_BYTE_VALUES[self.data]), self.start, self.end)
+        for i in np.flatnonzero(self.end - self.start > LONG).tolist():
+            out[i] = digest(self.data[self.start[i] : self.end[i]].tobytes())[0]
+        return out
+
+    def contents(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two 64-bit names of the words of each text as a whole."""
+        found = [digest(names[a:b].tobytes()) for a, b in zip(self.first[:-1], self.first[1:], strict=True)]
+        both = np.array(found, np.uint64).reshape(-1, 2)
+        return both[:, 0], both[:, 1]
 
     def text(self, i: int) -> bytes:
         return self.data[self.offset[i] : self.offset[i + 1]].tobytes()

@@ -61,3 +61,9 @@ def babble(seed, n_docs, words, alphabet):
             own[rng.randrange(len(own) + 1) : 0] = other[a : a + 40]
         docs.append((rng.randrange(10 * n_docs), rng.choice([" ", "\n", "  "]).join(own)))
     return docs
+
+
+def thue_morse(n, a, b):
+    """The sequence and its complement: any polynomial modulo 2**64 names both alike from 1024 values on."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return [(a, b)[x] for x in bits], [(b, a)[x] for x in bits]

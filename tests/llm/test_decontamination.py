@@ -65,3 +65,15 @@ def test_spans_are_characters_of_the_original(spark):
     (row,) = D.contamination(docs, items).collect()
     assert [text[s.start : s.end] for s in row.spans] == ["Hello, WORLD"]
     assert lower(text[row.spans[0].start :]).startswith("hello")
+
+
+def test_spans_of_one_and_of_several_scans(spark):
+    """Items one after another, and with a word between: blocks give the stretches of one scan."""
+    text = "One two, three / four five; six? x seven eight nine ten"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    items = [(1, "one two"), (2, "three four"), (3, "five six"), (4, "seven eight"), (5, "eight nine ten"), (6, "two three")]
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    spans = [
+        [text[s.start : s.end] for s in D.contamination(docs, frame, block_words=n).first().spans] for n in (1000, 5, 3, 1)
+    ]
+    assert spans == [["One two, three / four five; six", "seven eight nine ten"]] * 4

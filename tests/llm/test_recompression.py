@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from rankspark.llm import recompression as R, words as W
 
-from .conftest import ODD, babble, plain
+from .conftest import ODD, babble, plain, thue_morse
 
 
 def wanted(docs, window=R.WINDOW):
@@ -79,3 +79,14 @@ def test_a_passage_that_many_documents_share(spark):
     assert {hashlib.sha256(r.text.encode()).hexdigest() for r in rows if r.doc_id} == {
         hashlib.sha256(" ".join(w for w in t.split() if w not in passage).encode()).hexdigest() for i, t in docs if i
     }
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_texts_that_a_polynomial_names_alike(spark, n):
+    sides = [" ".join(side) for side in thue_morse(n, "x", "y")]
+    words = ["".join(w) for w in thue_morse(n, "a", "b")]
+    end = " c d e f g h i j k l m n"  # with one word before it, a window
+    rows = [(1, "x y " + sides[0]), (2, "x y " + sides[1]), (3, words[0] + end), (4, words[1] + end)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    cut = R.remove_repeats(docs, joined=True)
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.text) for r in cut.collect()) == wanted(rows)

@@ -6,7 +6,7 @@ import pytest
 from rankspark.llm import tokens as T
 from tokenizers import Tokenizer
 
-from .conftest import ODD
+from .conftest import ODD, thue_morse
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -52,3 +52,9 @@ def test_added_tokens_with_white_space_or_letters(tmp_path, content):
     texts = ["x two words y", "two  words", "in abcd", "abc", "a b c"]
     found = [x.tolist() for x in T.Encoder(str(tmp_path / "other.json")).encode(pa.array(texts, pa.string()))]
     assert found == [x.ids + [2] for x in other.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_long_words_that_a_polynomial_names_alike(encoder):
+    words = ["".join(w) for n in (512, 1024, 2048) for w in thue_morse(n, "a", "b")]
+    texts = [*words, " ".join(words)]
+    assert [x.tolist() for x in encoder.encode(pa.array(texts))] == whole(encoder, texts)

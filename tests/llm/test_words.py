@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from rankspark.llm import words as W
 
-from .conftest import ODD, alnum, plain
+from .conftest import ODD, alnum, plain, thue_morse
 
 
 def texts():
@@ -41,3 +41,34 @@ def test_spans_have_equal_names_wherever_they_stand():
 
 def test_no_text():
     assert not list(W.chunks(pa.array([], pa.string()), W.PLAIN))
+
+
+@pytest.mark.parametrize("n", [256, 512, 1024, 4096])
+def test_names_of_long_words(n):
+    words = ["".join(w) for w in thue_morse(n, "a", "b")]
+    (c,) = W.chunks(pa.array([" ".join(words), words[1]]), W.PLAIN)
+    name = c.names()
+    assert len(set(name.tolist())) == 2 and name[1] == name[2]
+
+
+@pytest.mark.parametrize("n", [600, 1024, 2048])
+def test_names_of_long_windows_and_texts(n):
+    sides = thue_morse(n, "x", "y")
+    texts = [" ".join(side) for side in sides] + ["z " + " ".join(sides[0])]
+    (c,) = W.chunks(pa.array(texts), W.PLAIN)
+    names = c.names()
+    window = W.window_hash(names, n)
+    assert window[0] != window[n] and window[0] == window[2 * n + 1]
+    first, second = c.contents(names)
+    assert len(set(first.tolist())) == len(set(second.tolist())) == 3
+
+
+@pytest.mark.parametrize("window", range(1, 20))
+def test_windows_have_equal_names_where_they_are_equal(window):
+    rng = np.random.default_rng(window)
+    values = rng.integers(0, 2, 400)
+    names = W.window_hash(W.mix(values.astype(np.uint64)), window)
+    seen = {}
+    for i in range(len(values) - window + 1):
+        assert seen.setdefault(tuple(values[i : i + window]), names[i]) == names[i]
+    assert len(set(seen.values())) == len(seen)
