@@ -21,8 +21,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rankspark.llm import words as W
 from rankspark.llm.tables import stored
 
-#: If set, only words and bigrams of at least one in so many tokens count; by default all do.
-ONE_IN: int | None = None
 DISCOUNT = 0.75
 #: Names of the unknown word and of the start of a text.
 UNKNOWN, START = 0, 1
@@ -168,10 +166,7 @@ def fit(docs: DataFrame, target: DataFrame) -> Model:
     raw = stored(_counted(sided), "lm-raw")
 
     every = stored(raw.groupBy("w").agg(*_sums()), "lm-words")
-    count = F.col("t") + F.col("b")
-    n = every.agg(F.sum(count)).first()[0] or 0
-    often = count * ONE_IN >= n if ONE_IN else F.lit(True)
-    known = (count > 1) & often
+    known = F.col("t") + F.col("b") > 1
     sums = [F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in _SIDES]
     rare = [F.coalesce(F.sum(F.when(~known, F.col(s))), F.lit(0)).alias(f"rare_{s}") for s in _SIDES]
     totals = every.agg(*sums, *rare, F.count(F.when(known, F.lit(1))).alias("size")).first().asDict()
@@ -181,9 +176,9 @@ def fit(docs: DataFrame, target: DataFrame) -> Model:
     named = stored(model.named(raw), "lm-named")
     pair = stored(named.groupBy("v", "w").agg(*_sums()), "lm-grams")
     shares = {s: F.greatest(F.col(s) - DISCOUNT, F.lit(0.0)) for s in _SIDES}
-    model.grams = pair.where(often).select("v", "w", *[x.alias(f"share_{s}") for s, x in shares.items()])
+    model.grams = pair.select("v", "w", *[x.alias(f"share_{s}") for s, x in shares.items()])
     firsts = [F.sum(s).alias(f"first_{s}") for s in _SIDES]
-    used = [F.sum(F.when(often, x).otherwise(0.0)).alias(f"used_{s}") for s, x in shares.items()]
+    used = [F.sum(x).alias(f"used_{s}") for s, x in shares.items()]
     model.firsts = stored(pair.groupBy("v").agg(*firsts, *used), "lm-firsts")
     model.losses = stored(model.priced(named), "lm-losses")
     return model

@@ -161,10 +161,7 @@ ORACLES = {
                  regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
         tokens AS (
           SELECT doc_id, target, unnest(w) AS raw, generate_subscripts(w, 1) AS p FROM docs),
-        total AS (SELECT count(*) AS n FROM tokens),
-        vocabulary AS (
-          SELECT raw FROM tokens, total GROUP BY raw, n
-          HAVING count(*) > 1 AND count(*) * 1048576 >= n),
+        vocabulary AS (SELECT raw FROM tokens GROUP BY raw HAVING count(*) > 1),
         named AS (
           SELECT doc_id, target, p, coalesce(v.raw, ' unknown') AS w
           FROM tokens t LEFT JOIN vocabulary v USING (raw)),
@@ -184,7 +181,7 @@ ORACLES = {
           FROM grams GROUP BY v),
         pairs AS (
           SELECT v, w, count(*) FILTER (target) AS t, count(*) FILTER (NOT target) AS b
-          FROM grams, total GROUP BY v, w, n HAVING count(*) * 1048576 >= n),
+          FROM grams GROUP BY v, w),
         shares AS (
           SELECT v, w, greatest(p.t - 0.75::DOUBLE, 0) / greatest(f.t, 1) AS t,
                  greatest(p.b - 0.75::DOUBLE, 0) / greatest(f.b, 1) AS b
