@@ -17,6 +17,7 @@ from rankspark.operators import browse, facets, paging, quality, serving, stats,
 from rankspark.operators.scores import existing_only, score_items
 from rankspark.plans import adapters, batch
 from rankspark.runtime import new_folder
+from rankspark.sinks import layouts
 
 try:  # the training-data operators can be left out as a whole
     import corpus_pipeline
@@ -392,8 +393,12 @@ def browse_recommendations(spark: SparkSession, d: str) -> DataFrame:
 
 
 def browse_datasets(spark: SparkSession, d: str) -> DataFrame:
+    return _browsed_datasets(adapters.datasets(spark, d))
+
+
+def _browsed_datasets(datasets: DataFrame) -> DataFrame:
     return browse.browse(
-        adapters.datasets(spark, d),
+        datasets,
         schemas.DATASETS,
         query="7.csv",
         facets={"processed": False},
@@ -438,6 +443,30 @@ def facet_rows_past_7_days(spark: SparkSession, d: str) -> DataFrame:
     return facets.facet_filter_date(events, "ts", "past_7_days", AS_OF)
 
 
+_by_day: dict[tuple[str, str, str], str] = {}
+
+
+def _lying_by_day(spark: SparkSession, d: str, name: str, df: DataFrame, column: str) -> DataFrame:
+    """A copy with a partition for each day, written once per application and data set."""
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in _by_day:
+        _by_day[key] = new_folder(spark, f"{name}-by-day")
+        layouts.write_by_day(df, _by_day[key], column)
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    return layouts.read_by_day(spark, _by_day[key], ddl, column)
+
+
+def facet_rows_by_day(spark: SparkSession, d: str) -> DataFrame:
+    events = adapters.load(spark, d, "events").select("event_id", "ts")
+    events = _lying_by_day(spark, d, "events", events, "ts")
+    return facets.facet_filter_date(events, "ts", "past_7_days", AS_OF)
+
+
+def browse_datasets_by_day(spark: SparkSession, d: str) -> DataFrame:
+    datasets = _lying_by_day(spark, d, "datasets", adapters.datasets(spark, d), "upload_date")
+    return _browsed_datasets(datasets)
+
+
 # --------------------------------------------------------------------------- rules
 
 
@@ -470,6 +499,35 @@ def cascade_delete(spark: SparkSession, d: str) -> DataFrame:
     return left.select("user_id", "movie_id", "rating")
 
 
+_by_item: dict[tuple[str, str, str], layouts.ByItem] = {}
+
+
+def _lying_by_item(spark: SparkSession, d: str, name: str, df: DataFrame) -> layouts.ByItem:
+    """A copy bucketed by item, written once per application and data set."""
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in _by_item:
+        _by_item[key] = layouts.write_by_item(df, new_folder(spark, f"{name}-by-item"))
+    return _by_item[key]
+
+
+def bucketed_orphans(spark: SparkSession, d: str) -> DataFrame:
+    ratings = _lying_by_item(spark, d, "ratings", _ratings(spark, d))
+    return ratings.each(lambda part: quality.orphans(part, _kept_items(spark, d)))
+
+
+def bucketed_cascade(spark: SparkSession, d: str) -> DataFrame:
+    ratings = _lying_by_item(spark, d, "ratings", _ratings(spark, d))
+    left = ratings.each(lambda part: tables.cascade_delete(part, _deleted_items(spark, d)))
+    return left.select("user_id", "movie_id", "rating")
+
+
+def bucketed_item_table(spark: SparkSession, d: str) -> DataFrame:
+    """Items and ratings both by item: the statistics of a bucket meet its items where they lie."""
+    ratings = _lying_by_item(spark, d, "ratings", _ratings(spark, d))
+    items = _lying_by_item(spark, d, "items", _items(spark, d))
+    return tables.item_table(items.bucketed, ratings.each(stats.item_stats))
+
+
 def orphan_recommendations(spark: SparkSession, d: str) -> DataFrame:
     return quality.orphans(_stored(spark, d)[0], _kept_items(spark, d))
 
@@ -619,6 +677,11 @@ _QUERIES: tuple[Query, ...] = (
     facet_filter_processed,
     facet_filter_dates,
     facet_rows_past_7_days,
+    facet_rows_by_day,
+    browse_datasets_by_day,
+    bucketed_orphans,
+    bucketed_cascade,
+    bucketed_item_table,
     dup_items,
     dup_ratings,
     orphan_ratings,
@@ -1027,5 +1090,14 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL
             SELECT s_suppkey || ',7,' || s_name || ',0', s_suppkey, 7, NULL FROM supplier""",
     }
+    # Other layouts of the same tables.
+    for name, plain in (
+        ("facet_rows_by_day", "facet_rows_past_7_days"),
+        ("browse_datasets_by_day", "browse_datasets"),
+        ("bucketed_orphans", "orphan_ratings"),
+        ("bucketed_cascade", "cascade_delete"),
+        ("bucketed_item_table", "item_table"),
+    ):
+        statements[name] = statements[plain]
     own = {name: _sql(body) for name, body in statements.items()}
     return own if training_data is None else own | training_data.ORACLES

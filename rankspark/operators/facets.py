@@ -6,7 +6,8 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, functions as F
 
-from rankspark.functions import DATE_BUCKETS, date_bucket
+from rankspark.functions import DATE_BUCKETS, date_bucket, date_bucket_range
+from rankspark.sinks.layouts import day_column
 
 
 def facet_values(df: DataFrame, column: str) -> DataFrame:
@@ -21,7 +22,17 @@ def facet_filter(df: DataFrame, column: str, value: object) -> DataFrame:
 
 
 def facet_filter_date(df: DataFrame, column: str, bucket: str, as_of: dt.date) -> DataFrame:
-    return df.filter(date_bucket(F.col(column), bucket, as_of))
+    """Rows of a date bucket; of a table that lies by day (``sinks.layouts``) only its days are read.
+
+    A day more at both ends, as the days may have been written in another time zone.
+    """
+    rows = df.filter(date_bucket(F.col(column), bucket, as_of))
+    day = day_column(column)
+    if day not in df.columns:
+        return rows
+    low, high = date_bucket_range(bucket, as_of)
+    near = F.col(day).between(F.lit(low - dt.timedelta(days=1)), F.lit(high))
+    return rows.filter(near).drop(day)
 
 
 def facet_date_counts(df: DataFrame, column: str, as_of: dt.date) -> DataFrame:
