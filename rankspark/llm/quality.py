@@ -2,12 +2,17 @@
 
 Per language and source, the minimum-covariance-determinant estimate is worked out: mean and
 covariance of the three quarters of the texts that lie closest together.  Concentration steps
-start from medians and median deviations; each takes the texts nearest by Mahalanobis distance
-under the estimate before.  A reweighted estimate from all texts within the 97.5 % distance
+take the texts nearest by Mahalanobis distance under the estimate before, as long as that makes
+the determinant smaller; they start from several estimates, and the smallest determinant that
+any of them reaches wins.  A reweighted estimate from all texts within the 97.5 % distance
 follows, and texts beyond ``CUTOFF`` of it are rejected.  A fixed variance is added to each
 statistic (as in regularised MCD): most texts repeat nothing and hold no symbol, and without
 it a single repeated line would lie infinitely far off.
 
+A few texts say little about a covariance.  The same is worked out for each language, and a
+source's covariance is the mean of both, its own weighing as many texts as it has against
+``PRIOR_TEXTS``; its mean is its own.  That holds for groups of any size.
+
 Vectors are kept as whole 1024ths, so that sums do not depend on their order, and distances
 are counted in narrow classes, so that no step sorts texts: a step is one scan with partial
 sums per group and class.
@@ -21,6 +26,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import reduce
 from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -110,12 +116,11 @@ def with_statistics(docs: DataFrame) -> DataFrame:
 
 #: Share of the texts of a group that the estimate rests on.
 SHARE = 0.75
-STEPS = 8
 #: Probability of a distance at which a text of a normal population is rejected.
 CUTOFF = 1 - 1e-5
 REWEIGHT = 0.975
-#: Groups of fewer texts are put together by language, and then all in one.
-MIN_GROUP = 100
+#: Texts that a language's covariance weighs beside a source's own.
+PRIOR_TEXTS = 50
 #: Standard deviations taken for granted: word length, symbols, repeated lines, repeated words.
 NOISE = (0.05, 0.5, 0.5, 0.15)
 _UNIT = 1024
@@ -164,12 +169,17 @@ def _distance2() -> str:
     return " + ".join(f"{1 if i == j else 2} * w{i}{j} * {off[i]} * {off[j]}" for i, j in _PAIRS)
 
 
-def _inverted(rows: DataFrame) -> DataFrame:
-    """grp, means ``m{i}`` and covariances ``s{i}{j}``, i <= j -> ``w{i}{j}`` of the inverse.
+_KEYS = ["grp", "start"]
+_MEANS = [f"m{i}" for i in range(len(NOISE))]
+
+
+def _inverted(rows: DataFrame, *others: str) -> DataFrame:
+    """Means ``m{i}`` and covariances ``s{i}{j}``, i <= j -> ``w{i}{j}`` of the inverse, and ``logdet``.
 
-    The sweep operator, applied to every diagonal entry, gives the inverse times -1.
+    The sweep operator, applied to every diagonal entry, gives the inverse times -1; the entries
+    by which it divides multiply to the determinant.
     """
-    names = ["grp", *[f"m{i}" for i in range(len(NOISE))]]
+    names = [*others, *_MEANS]
 
     def entry(i: int, j: int) -> str:
         return f"s{min(i, j)}{max(i, j)}"
@@ -181,9 +191,11 @@ def _inverted(rows: DataFrame) -> DataFrame:
             return f"{entry(i, j)} / {entry(k, k)}"
         return f"{entry(i, j)} - {entry(i, k)} * {entry(j, k)} / {entry(k, k)}"
 
+    rows = rows.withColumn("logdet", F.lit(0.0))
     for k in range(len(NOISE)):
-        rows = rows.selectExpr(*names, *[f"{swept(i, j, k)} AS s{i}{j}" for i, j in _PAIRS])
-    return rows.selectExpr(*names, *[f"-{entry(i, j)} AS w{i}{j}" for i, j in _PAIRS])
+        sums = [f"{swept(i, j, k)} AS s{i}{j}" for i, j in _PAIRS]
+        rows = rows.selectExpr(*names, f"logdet + ln({entry(k, k)}) AS logdet", *sums)
+    return rows.selectExpr(*names, "logdet", *[f"-{entry(i, j)} AS w{i}{j}" for i, j in _PAIRS])
 
 
 def _medians(counts: DataFrame, value: str) -> DataFrame:
@@ -194,20 +206,30 @@ def _medians(counts: DataFrame, value: str) -> DataFrame:
     return rows.where(2 * F.col("__sum") >= F.col("__all")).groupBy("grp", "dim").agg(F.min(value).alias("median"))
 
 
-def _start(vectors: DataFrame) -> DataFrame:
-    """Medians and median deviations, as an estimate without covariances."""
+def _starts(vectors: DataFrame) -> DataFrame:
+    """Estimates to start from, by group and ``start``.
+
+    Medians with median deviations and no covariances; medians with the variances taken for
+    granted; mean and covariance of all texts.  The determinant is that of nothing yet.
+    """
     values = vectors.select("grp", F.posexplode(F.array(*_X)).alias("dim", "x"))
     counts = stored(values.groupBy("grp", "dim", "x").agg(F.count(F.lit(1)).alias("n")), "quality-values")
     middle = _medians(counts, "x").withColumnRenamed("median", "m")
-    off = counts.join(middle, ["grp", "dim"]).withColumn("off", F.abs(F.col("x") - F.col("m")))
+    off = counts.join(middle.hint("merge"), ["grp", "dim"]).withColumn("off", F.abs(F.col("x") - F.col("m")))
     off = _medians(off.groupBy("grp", "dim", "off").agg(F.sum("n").alias("n")), "off")
-    both = middle.join(off, ["grp", "dim"])
-    own = []
-    for i, noise in enumerate(NOISE):
-        own.append(f"max(CASE WHEN dim = {i} THEN m END) / {_UNIT} AS m{i}")
-        own.append(f"pow(1.4826D * max(CASE WHEN dim = {i} THEN median END) / {_UNIT}, 2) + {noise**2}D AS s{i}{i}")
-        own += [f"0D AS s{i}{j}" for j in range(i + 1, len(NOISE))]
-    return _inverted(both.groupBy("grp").agg(*map(F.expr, own)))
+    both = middle.join(off.hint("merge"), ["grp", "dim"])
+    centre = [f"max(CASE WHEN dim = {i} THEN m END) / {_UNIT} AS m{i}" for i in range(len(NOISE))]
+    spread = {i: f"max(CASE WHEN dim = {i} THEN median END)" for i in range(len(NOISE))}
+    wide = [f"pow(1.4826D * {spread[i]} / {_UNIT}, 2) + {n**2}D AS s{i}{i}" for i, n in enumerate(NOISE)]
+    plain = [f"{n**2}D AS s{i}{i}" for i, n in enumerate(NOISE)]
+    none = [f"0D AS s{i}{j}" for i, j in _PAIRS if i < j]
+    medians = [
+        both.groupBy("grp").agg(F.lit(number).alias("start"), *map(F.expr, [*centre, *variances, *none]))
+        for number, variances in enumerate((wide, plain))
+    ]
+    whole = _covariances(_sums(vectors.groupBy("grp").agg(*_moments()), "grp"), 1.0, "grp")
+    rows = medians[0].unionByName(medians[1]).unionByName(whole.withColumn("start", F.lit(2)).drop("n"))
+    return _inverted(rows, *_KEYS).withColumn("logdet", F.lit(float("inf")))
 
 
 _MOMENTS = ["n", *[f"t{i}" for i in range(len(NOISE))], *[f"p{i}{j}" for i, j in _PAIRS]]
@@ -219,55 +241,75 @@ def _moments() -> list[Column]:
     return [F.expr(f"{value} AS {name}") for name, value in zip(_MOMENTS, sums, strict=True)]
 
 
-def _sums(rows: DataFrame) -> DataFrame:
+def _sums(rows: DataFrame, *keys: str) -> DataFrame:
     """Sums of sums, wide enough for any number of texts."""
-    return rows.groupBy("grp").agg(*[F.expr(f"sum(CAST({c} AS decimal(38,0))) AS {c}") for c in _MOMENTS])
+    return rows.groupBy(*keys).agg(*[F.expr(f"sum(CAST({c} AS decimal(38,0))) AS {c}") for c in _MOMENTS])
 
 
-def _estimate(moments: DataFrame, factor: float) -> DataFrame:
-    """Sums over the texts chosen -> mean and inverse covariance."""
+def _covariances(moments: DataFrame, factor: float, *keys: str) -> DataFrame:
+    """Sums over the texts chosen -> how many, mean and covariance."""
     means = [f"double(t{i}) / double(n) / {_UNIT} AS m{i}" for i in range(len(NOISE))]
     squares = [f"double(p{i}{j}) / double(n) / {_UNIT**2} AS p{i}{j}" for i, j in _PAIRS]
-    rows = moments.selectExpr("grp", *means, *squares)
+    rows = moments.selectExpr(*keys, "n", *means, *squares)
     covariances = [
         f"{factor}D * (p{i}{j} - m{i} * m{j}) + {NOISE[i] ** 2 if i == j else 0.0}D AS s{i}{j}" for i, j in _PAIRS
     ]
-    return _inverted(rows.selectExpr("*", *covariances))
+    return rows.selectExpr(*keys, "n", *_MEANS, *covariances)
 
 
 def _concentrate(vectors: DataFrame, estimate: DataFrame) -> DataFrame:
-    """One step: the estimate from the nearest share of each group."""
+    """One step: the estimates from the nearest share of each group."""
     class_ = F.expr(f"floor({_CLASSES} * ln(1 + {_distance2()}))")
-    near = vectors.join(estimate, "grp").withColumn("class", class_).groupBy("grp", "class").agg(*_moments())
-    own = Window.partitionBy("grp")
+    near = vectors.join(estimate, "grp").withColumn("class", class_).groupBy(*_KEYS, "class").agg(*_moments())
+    own = Window.partitionBy(*_KEYS)
     before = own.orderBy("class").rowsBetween(Window.unboundedPreceding, -1)
     near = near.withColumns({"__before": F.coalesce(F.sum("n").over(before), F.lit(0)), "__all": F.sum("n").over(own)})
     near = near.where(F.col("__before") < F.ceil(SHARE * F.col("__all")))
-    return _estimate(_sums(near), _consistency(SHARE))
+    return _inverted(_covariances(_sums(near, *_KEYS), _consistency(SHARE), *_KEYS), *_KEYS)
+
+
+#: A step that makes the logarithm of the determinant smaller by less is the last.
+_LEAST_GAIN = 1e-9
 
 
-def _groups(eligible: DataFrame) -> DataFrame:
-    """(__lang, __source) -> grp: the pair itself, or what small ones are put together in."""
-    pairs = eligible.groupBy("__lang", "__source").agg(F.count(F.lit(1)).alias("n"))
-    small = F.col("n") < MIN_GROUP
-    rest = F.sum(F.when(small, F.col("n"))).over(Window.partitionBy("__lang"))
-    mark = F.when(~small, F.concat_ws("\x00", F.lit("2"), "__lang", "__source"))
-    mark = mark.when(rest >= MIN_GROUP, F.concat_ws("\x00", F.lit("1"), "__lang")).otherwise(F.lit("0"))
-    return pairs.select("__lang", "__source", mark.alias("grp"))
+def _converged(vectors: DataFrame) -> DataFrame:
+    """For each group the estimate of the smallest determinant that the starts lead to.
+
+    A start takes steps as long as they make its determinant smaller; groups and starts that
+    have come to their end take no part in further ones.  Subsets are finitely many and none
+    comes twice, so it ends.
+    """
+    moving, found = stored(_starts(vectors), "quality-estimate"), []
+    while not moving.isEmpty():
+        new = _concentrate(vectors, moving).withColumnRenamed("logdet", "to")
+        old = moving.select(*_KEYS, F.col("logdet").alias("from"))
+        new = stored(new.join(old, _KEYS).withColumnRenamed("to", "logdet"), "quality-estimate")
+        gain = F.col("from") - F.col("logdet") > _LEAST_GAIN
+        found.append(new.drop("from"))
+        moving = new.where(gain).drop("from")
+    if not found:
+        return moving.drop("start", "logdet")
+    best = F.row_number().over(Window.partitionBy("grp").orderBy("logdet", "start"))
+    rows = reduce(DataFrame.unionByName, found).withColumn("__place", best).where("__place = 1")
+    return stored(rows.drop("__place", "start", "logdet"), "quality-best")
 
 
 def fit(statistics: DataFrame) -> DataFrame:
     """Stored rows with ``lang``, ``source`` and ``BASE`` -> estimates by language and source."""
     rows = statistics.where(~F.col("base_failed"))
     rows = _vector(rows.withColumns({"__lang": _text_group("lang"), "__source": _text_group("source")}))
-    groups = stored(_groups(rows), "quality-groups")
-    vectors = stored(rows.join(groups, ["__lang", "__source"]).select("grp", *_X), "quality-vectors")
-    estimate = stored(_start(vectors), "quality-estimate")
-    for _ in range(STEPS):
-        estimate = stored(_concentrate(vectors, estimate), "quality-estimate")
-    near = vectors.join(estimate, "grp").where(f"{_distance2()} <= {chi2_quantile(REWEIGHT)}D")
-    final = _estimate(_sums(near.groupBy("grp").agg(*_moments())), _consistency(REWEIGHT))
-    return stored(groups.join(final, "grp").drop("grp"), "quality-final")
+    pair, whole = F.struct("__lang", "__source"), F.struct("__lang", F.lit(None).cast("string").alias("__source"))
+    vectors = stored(rows.select(F.explode(F.array(pair, whole)).alias("grp"), *_X), "quality-vectors")
+    near = vectors.join(_converged(vectors), "grp").where(f"{_distance2()} <= {chi2_quantile(REWEIGHT)}D")
+    final = _covariances(_sums(near.groupBy("grp").agg(*_moments()), "grp"), _consistency(REWEIGHT), "grp")
+    final = stored(final.select("grp.*", *[c for c in final.columns if c != "grp"]), "quality-groups")
+    shared = [F.col(f"s{i}{j}").alias(f"l{i}{j}") for i, j in _PAIRS]
+    languages = final.where("__source IS NULL").select("__lang", *shared)
+    both = final.where("__source IS NOT NULL").join(languages, "__lang")
+    own, all_ = f"double(n) / (double(n) + {PRIOR_TEXTS})", f"{PRIOR_TEXTS} / (double(n) + {PRIOR_TEXTS})"
+    mixed = [f"{own} * s{i}{j} + {all_} * l{i}{j} AS s{i}{j}" for i, j in _PAIRS]
+    keys = ["__lang", "__source"]
+    return stored(_inverted(both.selectExpr(*keys, *_MEANS, *mixed), *keys).drop("logdet"), "quality-final")
 
 
 def judge(docs: DataFrame, estimates: DataFrame) -> DataFrame:
@@ -284,9 +326,8 @@ def verdicts(docs: DataFrame) -> DataFrame:
     """(doc_id, text, lang, source) -> doc_id, ``BASE``, ``distance2`` and ``kept`` of each row.
 
     A text that fails a base rule has no distance.  Null languages and sources are groups of
-    their own; groups of fewer than ``MIN_GROUP`` texts are put together by language, and
-    those of languages that stay small in one.  Repeated rows count each for itself; an
-    empty table gives no rows; other columns are ignored.
+    their own.  Repeated rows count each for itself; an empty table gives no rows; other
+    columns are ignored.
     """
     rows = stored(with_statistics(docs.select("doc_id", "text", "lang", "source")).drop("text"), "quality-statistics")
     return judge(rows, fit(rows)).drop("lang", "source")
@@ -295,10 +336,8 @@ def verdicts(docs: DataFrame) -> DataFrame:
 def keep(docs: DataFrame) -> DataFrame:
     """The documents that neither a base rule nor the robust distance rejects, as they are.
 
-    Texts stay where they are: their statistics are worked out once for the estimates and
-    once beside the text.
+    Texts are stored once, with their statistics beside them, for the estimates and the verdict.
     """
-    small = with_statistics(docs.select("text", "lang", "source")).drop("text")
-    estimates = fit(stored(small, "quality-statistics"))
     rows = docs.select("text", "lang", "source", F.struct(*docs.columns).alias("__row"))
-    return judge(with_statistics(rows), estimates).where("kept").select("__row.*")
+    rows = stored(with_statistics(rows).drop("text"), "quality-statistics")
+    return judge(rows, fit(rows)).where("kept").select("__row.*")

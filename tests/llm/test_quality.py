@@ -32,44 +32,55 @@ def vectors(rows):
     return np.stack([np.floor(1024 * c + 0.5) for c in columns], 1) / 1024
 
 
-def distances(x):
-    """Squared distances under the reweighted estimate of one group, by whole sorts of classes."""
-    noise = np.diag(np.array(Q.NOISE) ** 2)
+NOISE = np.diag(np.array(Q.NOISE) ** 2)
 
-    def d2(mean, covariance):
-        return np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(covariance), x - mean)
 
-    def estimate(rows, share):
-        return rows.mean(0), noise + Q._consistency(share) * np.cov(rows.T, bias=True).reshape(4, 4)
+def squared(x, mean, covariance):
+    return np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(covariance), x - mean)
+
+
+def estimate(rows, share=None):
+    return rows.mean(0), NOISE + (Q._consistency(share) if share else 1) * np.cov(rows.T, bias=True).reshape(4, 4)
+
+
+def robust(x):
+    """The reweighted estimate of one group and its size, by whole sorts of classes."""
 
     def median(v):
         return np.sort(v)[-(-len(v) // 2) - 1]
 
     mean = np.array([median(c) for c in x.T])
-    now = mean, noise + np.diag([(1.4826 * median(np.abs(c - m))) ** 2 for c, m in zip(x.T, mean, strict=True)])
-    for _ in range(Q.STEPS):
-        classes = np.floor(256 * np.log1p(d2(*now)))
-        most = np.sort(classes)[int(np.ceil(Q.SHARE * len(x))) - 1]
-        now = estimate(x[classes <= most], Q.SHARE)
-    final = estimate(x[d2(*now) <= Q.chi2_quantile(Q.REWEIGHT)], Q.REWEIGHT)
-    return d2(*final)
+    spread = np.diag([(1.4826 * median(np.abs(c - m))) ** 2 for c, m in zip(x.T, mean, strict=True)])
+    best = np.inf, None
+    for now in ((mean, NOISE + spread), (mean, NOISE), estimate(x)):
+        det = np.inf
+        while True:
+            classes = np.floor(256 * np.log1p(squared(x, *now)))
+            most = np.sort(classes)[int(np.ceil(Q.SHARE * len(x))) - 1]
+            now, before = estimate(x[classes <= most], Q.SHARE), det
+            det = np.linalg.slogdet(now[1])[1]
+            best = min(best, (det, now), key=lambda e: e[0])
+            if not before - det > Q._LEAST_GAIN:
+                break
+    near = x[squared(x, *best[1]) <= Q.chi2_quantile(Q.REWEIGHT)]
+    return (*estimate(near, Q.REWEIGHT), len(near))
 
 
 def verdict(rows):
     """{key: (distance, kept)} of (key, lang, source, text)."""
     stats = {key: base(text) for key, _, _, text in rows}
-    size = Counter((l, s) for key, l, s, _ in rows if not stats[key][5])
-    by_lang = Counter()
-    for (lang, _), n in size.items():
-        by_lang[lang] += n * (n < Q.MIN_GROUP)
-    groups = {}
+    groups, languages = {}, {}
     for key, lang, source, _ in rows:
         if not stats[key][5]:
-            group = (2, lang, source) if size[lang, source] >= Q.MIN_GROUP else (1, lang) if by_lang[lang] >= Q.MIN_GROUP else 0
-            groups.setdefault(group, []).append(key)
+            groups.setdefault((lang, source), []).append(key)
+            languages.setdefault(lang, []).append(key)
+    whole = {lang: robust(vectors([stats[k] for k in keys])) for lang, keys in languages.items()}
     out = {key: (None, False) for key in stats}
-    for keys in groups.values():
-        for key, d in zip(keys, distances(vectors([stats[k] for k in keys])), strict=True):
+    for (lang, _), keys in groups.items():
+        x = vectors([stats[k] for k in keys])
+        mean, own, n = robust(x)
+        mixed = (n * own + Q.PRIOR_TEXTS * whole[lang][1]) / (n + Q.PRIOR_TEXTS)
+        for key, d in zip(keys, squared(x, mean, mixed), strict=True):
             out[key] = d, d <= Q.chi2_quantile(Q.CUTOFF)
     return out
 
@@ -94,10 +105,8 @@ def test_base_statistics(odd):
     assert found == sorted((str(i), base(t)) for i, t in ODD)
 
 
-@pytest.mark.parametrize(("seed", "n", "least"), [(1, 600, 50), (2, 300, 100), (3, 40, 100)])
-def test_robust_distances_against_numpy(spark, monkeypatch, seed, n, least):
-    monkeypatch.setattr(Q, "MIN_GROUP", least)
-    monkeypatch.setattr(Q, "STEPS", 3)
+@pytest.mark.parametrize(("seed", "n"), [(1, 600), (2, 300), (3, 40)])
+def test_robust_distances_against_numpy(spark, seed, n):
     rows = corpus(seed, n)
     df = spark.createDataFrame(rows, "doc_id long, lang string, source string, text string")
     wanted = verdict(rows)
@@ -110,8 +119,24 @@ def test_robust_distances_against_numpy(spark, monkeypatch, seed, n, least):
         assert not any(wanted[k][1] for k in symbols)
 
 
-def test_keeping_leaves_rows_as_they_are(spark, monkeypatch, odd, nothing):
-    monkeypatch.setattr(Q, "STEPS", 1)
+def test_groups_of_any_size(spark):
+    """Groups of 20, 99, 100 and 101 texts are judged by one rule, and none is rejected as a whole."""
+    rng = random.Random(9)
+    rows = []
+    for source, n in (("a", 20), ("b", 99), ("c", 100), ("d", 101), ("e", 1)):
+        longest = 4 + len(rows) % 5  # words of another length in each source
+        for _ in range(n):
+            words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, longest))) for _ in range(rng.randint(30, 60))]
+            rows.append((len(rows), "en", source, " ".join(words)))
+    rows += [(1000 + i, "en", "cd"[i % 2], " ".join(["*#$%" * 5] * 3 + [f"word{k}" for k in range(30)])) for i in range(4)]
+    found = Q.verdicts(spark.createDataFrame(rows, "doc_id long, lang string, source string, text string")).collect()
+    wanted = verdict(rows)
+    for r in found:
+        assert (r.kept, r.distance2) == (wanted[r.doc_id][1], pytest.approx(wanted[r.doc_id][0], rel=1e-6))
+    assert all(r.kept == (r.doc_id < 1000) for r in found)
+
+
+def test_keeping_leaves_rows_as_they_are(spark, odd, nothing):
     kept = Q.keep(odd)
     assert kept.schema == odd.schema
     rows = {tuple(r) for r in odd.collect()}
