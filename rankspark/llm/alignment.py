@@ -33,16 +33,18 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from rankspark.llm.tables import stored
 
 #: Bytes of text that are cut into units at a time, and that make a chunk.
-PIECE_BYTES = 1 << 21
-CHUNK_BYTES = 1 << 24
+PIECE_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 22
 #: Units, and bytes of them, that a worker remembers between chunks.
-UNITS, UNIT_BYTES = 300_000, 1 << 25
+UNITS, UNIT_BYTES = 200_000, 1 << 23
 
 #: Fixed value: bytes at which white space may end, in ASCII and in UTF-8.
 _MAYBE_SPACE = rb"\x00-\x20\x80-\x8a\x85\x9f\xa0\xa8\xa9\xaf"
 _CUT = re.compile(rb"(?<=[^" + _MAYBE_SPACE + rb"]) ")
 _UNCUT = re.compile(rb"(?!)")
 _BLANK = "▁"
+#: Texts given to a tokenizer at once; what it returns is large.
+_AT_ONCE = 4096
 
 
 # ---------------------------------------------------------------- matrices
@@ -121,8 +123,11 @@ class ByteBpe:
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """The ids of a space and each text."""
-        spaced = [" " + text for text in texts]
-        return [e.ids for e in self.tokenizer.encode_batch_fast(spaced, add_special_tokens=False)]
+        out: list[list[int]] = []
+        for i in range(0, len(texts), _AT_ONCE):
+            spaced = [" " + text for text in texts[i : i + _AT_ONCE]]
+            out += [e.ids for e in self.tokenizer.encode_batch_fast(spaced, add_special_tokens=False)]
+        return out
 
 
 class Pieces:
@@ -148,6 +153,10 @@ class Pieces:
 
 # ---------------------------------------------------------------- units
 
+#: What follows an id in the text of the groups.
+_MARKS = (b"", b",", b"|", b";")
+_LAST, _SAME, _SIDE, _GROUP = range(4)
+
 
 def _per(owner: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(owner, minlength=n).astype(np.int64)
@@ -160,6 +169,8 @@ class Units:
         self.a, self.b = a, b
         self.length = [np.array([len(x) for x in t.bytes], np.int64) for t in (a, b)]
         self.cut = _CUT if b.by_words else _UNCUT
+        self.ids = max(len(a.bytes), len(b.bytes))
+        self.words = [b"%d%s" % (i, mark) for mark in _MARKS for i in range(self.ids)]
         self.forget()
 
     def forget(self) -> None:
@@ -180,11 +191,7 @@ class Units:
         """Align units that are new."""
         texts = [u.decode() for u in units]
         ids = [self.a.encode(texts), self.b.encode(texts)]
-        wanted = [b" " + u for u in units]
-        good = [
-            b"".join([self.a.bytes[i] for i in x]) == w and b"".join([self.b.bytes[i] for i in y]) == w
-            for x, y, w in zip(*ids, wanted, strict=True)
-        ]
+        good = self._spelled(units, ids)
         at = len(self.groups)
         for u, ok in zip(units, good, strict=True):
             self.number[u] = at if ok else 0
@@ -192,6 +199,14 @@ class Units:
         self.size += sum(map(len, units))
         self._align(*[[x for x, ok in zip(side, good, strict=True) if ok] for side in ids])
 
+    def _spelled(self, units: list[bytes], ids: list[list[list[int]]]) -> list[bool]:
+        """Whether the tokens of both spell a space and the unit."""
+        out = [True] * len(units)
+        for known, side in zip((self.a.bytes, self.b.bytes), ids, strict=True):
+            found = [b"".join([known[i] for i in x]) for x in side]
+            out = [ok and len(f) == len(u) + 1 and f[0] == 0x20 and f.endswith(u) for ok, f, u in zip(out, found, units)]
+        return out
+
     def _align(self, a: list[list[int]], b: list[list[int]]) -> None:
         n = len(a)
         if not n:
@@ -222,17 +237,20 @@ class Units:
         self.counts = np.concatenate([self.counts, np.stack(counts, axis=1)])
         self.groups += self._texts(flat, group, of_group, n)
 
-    @staticmethod
-    def _texts(flat: list[np.ndarray], group: list[np.ndarray], of_group: np.ndarray, n: int) -> list[bytes]:
+    def _texts(self, flat: list[np.ndarray], group: list[np.ndarray], of_group: np.ndarray, n: int) -> list[bytes]:
         """The groups of each unit, as `a1,a2|b1;a3|b2,b3`."""
-        sides = []
-        for ids, g in zip(flat, group, strict=True):
-            words = list(map(str, ids.tolist()))
-            stop = np.cumsum(_per(g, len(of_group))).tolist()
-            sides.append([",".join(words[i:j]) for i, j in zip([0, *stop], stop)])
-        texts = [f"{x}|{y}" for x, y in zip(*sides, strict=True)]
-        stop = np.cumsum(_per(of_group, n)).tolist()
-        return [";".join(texts[i:j]).encode() for i, j in zip([0, *stop], stop)]
+        ids, g = np.concatenate(flat), np.concatenate(group)
+        side = np.repeat([0, 1], [len(x) for x in flat])
+        order = np.lexsort([side, g])  # stable: tokens of one side keep their order
+        ids, g, side = ids[order], g[order], side[order]
+        unit = of_group[g]
+        after = np.full(len(ids), _LAST)  # what follows each id
+        after[:-1][unit[1:] == unit[:-1]] = _GROUP
+        after[:-1][g[1:] == g[:-1]] = _SIDE
+        after[:-1][(g[1:] == g[:-1]) & (side[1:] == side[:-1])] = _SAME
+        words = [self.words[k] for k in (after * self.ids + ids).tolist()]
+        stop = np.cumsum(_per(unit, n)).tolist()
+        return [b"".join(words[i:j]) for i, j in zip([0, *stop], stop)]
 
 
 _units: dict[tuple[str, str], Units] = {}
@@ -326,10 +344,10 @@ def _unpacked(values: bytes) -> np.ndarray:
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[bytes]]]:
-    """Ids and texts, some 2 MB at a time."""
+    """Ids and texts, some 1 MB at a time."""
     for batch in batches:
         texts = batch.column(1).cast(pa.large_binary()).fill_null(b"")
-        end = np.cumsum([0, *[len(t) for t in texts.to_numpy(zero_copy_only=False)]])
+        end = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy())])
         row = 0
         while row < len(texts):
             stop = max(row + 1, int(np.searchsorted(end, end[row] + PIECE_BYTES, "right")) - 1)
