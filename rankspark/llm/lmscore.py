@@ -3,16 +3,19 @@
 Both are bigram models with absolute discounting, counted alike over all texts of their side:
 the target's documents, and all others.  They share one vocabulary, the words that occur more
 than once, and one table of bigrams, all of them; other words are one unknown word.  That holds
-at every size.  Words, bigrams and losses are stored tables that grow with the corpus, and
-they are joined by plain shuffles; no task or driver ever holds the model.  Words and bigrams
-are named by 64 bits.
+at every size.  Words and bigrams are named by 64 bits.
+
+The different bigrams of each text are stored once, dealt by their first words over a fixed
+number of slices.  Slice by slice they are counted, priced and summed by text, so that the disk
+holds the shuffles of one slice only, the same share of them at every size.  All joins are plain
+shuffles; no task or driver ever holds the model.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,85 +27,164 @@ from rankspark.llm.tables import stored
 DISCOUNT = 0.75
 #: Names of the unknown word and of the start of a text.
 UNKNOWN, START = 0, 1
+#: Shares of the bigrams that are worked on one after another, dealt by four bits of the first word's name.
+SLICES = 16
 _BUFFER = 1 << 21  # tokens that a task sums up before it sends counts
 _SIDES = ("t", "b")
 
 
-def pairs(c: W.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The name of each bigram, and its two words; a text's first word follows its start."""
-    word = c.names()
-    before = np.empty_like(word)
-    before[1:] = word[:-1]
-    before[c.first[:-1][np.diff(c.first) > 0]] = START
-    return W.mix(W.mix(before) + word), before, word
-
-
 class _Counter:
-    """Sums up bigrams of target and background within a task, a bounded number at a time."""
+    """Sums up words of target and background within a task, a bounded number at a time."""
 
     def __init__(self) -> None:
         self.parts: list[tuple[np.ndarray, ...]] = []
         self.waiting = 0
 
-    def add(self, c: W.Chunk, target: np.ndarray) -> None:
-        self.parts.append((*pairs(c), target))
-        self.waiting += len(target)
+    def add(self, word: np.ndarray, target: np.ndarray, text: np.ndarray) -> None:
+        self.parts.append((word, target, text))
+        self.waiting += len(word)
 
     def take(self) -> pa.RecordBatch:
-        none = (np.zeros(0, np.uint64),) * 3 + (np.zeros(0, bool),)
-        key, before, word, target = (np.concatenate(x) for x in zip(none, *self.parts, strict=True))
-        key, at, place, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-        own = np.bincount(place, target, len(key)).astype(np.int64)
+        none = np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, np.int64)
+        word, target, text = (np.concatenate(x) for x in zip(none, *self.parts, strict=True))
+        name, at, place, n = np.unique(word, return_index=True, return_inverse=True, return_counts=True)
+        own = np.bincount(place, target, len(name)).astype(np.int64)
         self.parts, self.waiting = [], 0
-        named = [pa.array(x.view(np.int64)) for x in (key, before[at], word[at])]
-        return pa.RecordBatch.from_arrays([*named, pa.array(own), pa.array(n - own)], ["key", "v", "w", "t", "b"])
+        columns = [name.view(np.int64), text[at], own, n - own]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["w", "text_hash", "t", "b"])
 
 
-def _counted(sided: DataFrame) -> DataFrame:
-    """(text, target) -> key, v, w, t, b: how often each bigram occurs on either side."""
+def _words(sided: DataFrame) -> DataFrame:
+    """(text, target, text_hash) -> w, text_hash, t, b: how often each word occurs, by task.
+
+    The hash is that of one of the texts that hold the word.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _Counter()
         for batch in batches:
             own = batch.column(1).to_numpy(zero_copy_only=False)
+            text = batch.column(2).to_numpy()
             for c in W.chunks(batch.column(0), W.PLAIN, lower=True):
-                counter.add(c, np.repeat(own[c.row : c.row + len(c)], np.diff(c.first)))
+                n, rows = np.diff(c.first), slice(c.row, c.row + len(c))
+                counter.add(c.names(), np.repeat(own[rows], n), np.repeat(text[rows], n))
                 if counter.waiting > _BUFFER:
                     yield counter.take()
         yield counter.take()
 
-    rows = sided.select("text", "target").mapInArrow(run, "key long, v long, w long, t long, b long")
-    return rows.groupBy("key").agg(F.min("v").alias("v"), F.min("w").alias("w"), *_sums())
+    return sided.select("text", "target", "text_hash").mapInArrow(run, "w long, text_hash long, t long, b long")
+
+
+def _sided(docs: DataFrame, target: DataFrame | None) -> DataFrame:
+    """doc_id, text, whether it is one of the target's, and its hash."""
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    own = own.withColumn("text_hash", F.xxhash64("text"))
+    if target is None:
+        return own.withColumn("target", F.lit(False))
+    marks = target.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    # The marks grow with the corpus, so they are joined alike at every size, never broadcast.
+    own = _left(own, marks.withColumn("marked", F.lit(True)), "doc_id")
+    return own.withColumn("target", F.coalesce("marked", F.lit(False))).drop("marked")
+
+
+_LINKS = "slice int, v long, w long, row long, n long, target boolean, doc_id long"
+
+
+def _links(sided: DataFrame, unknown: DataFrame) -> DataFrame:
+    """Each text's different bigrams and how often it holds them, stored by slice.
+
+    ``unknown`` (text_hash, w) has the words that do not count, by the texts that hold them.
+    Such a word is unknown in all texts, so two texts of one hash do no harm.  A slice of its
+    own, the last, has a row with id and number of words for each text.
+    """
+    lists = unknown.groupBy("text_hash").agg(F.collect_set("w").alias("unknown"))  # of one text's words
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts, target, rows = (batch.column(i) for i in range(4))
+            target, rows, lost = target.to_numpy(zero_copy_only=False), rows.to_numpy(), batch.column(4)
+            for c in W.chunks(texts, W.PLAIN, lower=True):
+                n, own = np.diff(c.first), rows[c.row : c.row + len(c)]
+                word = c.names()
+                names = lost[c.row : c.row + len(c)].flatten().to_numpy().view(np.uint64)
+                word[np.isin(word, names)] = UNKNOWN
+                before = np.empty_like(word)
+                before[1:] = word[:-1]
+                before[c.first[:-1][n > 0]] = START
+                first, key = W.mix(before), np.repeat(np.arange(len(c)), n)
+                order = np.lexsort((first + word, key))
+                same = W.mix(first[order] + word[order]), key[order]
+                new = np.ones(len(order), bool)
+                new[1:] = (same[0][1:] != same[0][:-1]) | (same[1][1:] != same[1][:-1])
+                times = np.diff(np.append(np.flatnonzero(new), len(order)))
+                at = order[new]
+                share = (first[at] >> np.uint64(60)).astype(np.int32)
+                yield _batch(share, before[at], word[at], own[key[at]], times, target[c.row + key[at]], None)
+                last = np.full(len(c), SLICES, np.int32)
+                yield _batch(last, None, None, own, n, target[c.row : c.row + len(c)], ids[c.row : c.row + len(c)])
+
+    rows = _left(sided, lists, "text_hash").select(
+        "doc_id", "text", "target", F.monotonically_increasing_id().alias("row"), "unknown"
+    )
+    return stored(rows.mapInArrow(run, _LINKS), "lm-links", ["slice"], "zstd")
+
+
+def _batch(share, v, w, row, n, target, doc_id) -> pa.RecordBatch:
+    none = pa.nulls(len(share), pa.int64())
+    names = [none if x is None else pa.array(x.view(np.int64)) for x in (v, w)]
+    columns = [pa.array(share), *names, pa.array(row), pa.array(n.astype(np.int64)), pa.array(target)]
+    return pa.RecordBatch.from_arrays(
+        [*columns, none if doc_id is None else doc_id], ["slice", "v", "w", "row", "n", "target", "doc_id"]
+    )
 
 
 def _sums() -> list[Column]:
     return [F.sum(s).alias(s) for s in _SIDES]
 
 
+def _shares() -> dict[str, Column]:
+    """Counts less the discount."""
+    return {s: F.greatest(F.col(s) - DISCOUNT, F.lit(0.0)) for s in _SIDES}
+
+
 def _left(rows: DataFrame, table: DataFrame, *on: str) -> DataFrame:
     """Joined by merging at every size, so that hot keys can be split."""
     return rows.join(table.hint("merge"), list(on), "left")
 
 
+def _slice(links: DataFrame, number: int) -> DataFrame:
+    return links.where(F.col("slice") == number)
+
+
 @dataclass
 class Model:
-    """Stored tables.  Words and pairs of words have counts of target and background, t and b."""
+    """Stored tables.  Words have counts of target and background, t and b."""
 
+    docs: DataFrame
     words: DataFrame  # w, single_t, single_b: words that count, and how often they occur
     totals: dict[str, int]  # words of either side
     size: int  # how many words count
-    grams: DataFrame  # v, w, share_t, share_b: counts less the discount
-    firsts: DataFrame  # v, first_t, first_b, used_t, used_b: sums of counts, and of the discounted
-    losses: DataFrame  # key, loss_t, loss_b: of the bigrams of the texts
-
-    def named(self, rows: DataFrame) -> DataFrame:
-        """Words that do not count become unknown; adds the counts of the second word."""
-        rows = _left(rows, self.words.withColumn("known", F.lit(True)), "w")
-        rows = rows.withColumn("w", F.when(F.col("known"), F.col("w")).otherwise(UNKNOWN)).drop("known")
-        before = self.words.select(F.col("w").alias("v"), F.lit(True).alias("known"))
-        rows = _left(rows, before, "v")
-        real = F.col("known") | (F.col("v") == START)
-        return rows.withColumn("v", F.when(real, F.col("v")).otherwise(UNKNOWN)).drop("known")
+    links: DataFrame  # bigrams of the texts, by slice
+
+    def counted(self, links: DataFrame) -> DataFrame:
+        """v, w, t, b of whole slices of bigrams."""
+        sides = {"t": F.col("target"), "b": ~F.col("target")}
+        sums = [F.sum(F.when(c, F.col("n")).otherwise(0)).alias(s) for s, c in sides.items()]
+        return links.groupBy("v", "w").agg(*sums)
+
+    def sums_by_first(self, pairs: DataFrame) -> DataFrame:
+        """v, first_t, first_b, used_t, used_b: sums of counts, and of the discounted."""
+        first = [F.sum(s).alias(f"first_{s}") for s in _SIDES]
+        return pairs.groupBy("v").agg(*first, *[F.sum(x).alias(f"used_{s}") for s, x in _shares().items()])
+
+    @property
+    def grams(self) -> DataFrame:
+        pairs = self.counted(self.links.where(F.col("slice") < SLICES))
+        return pairs.select("v", "w", *[x.alias(f"share_{s}") for s, x in _shares().items()])
+
+    @property
+    def firsts(self) -> DataFrame:
+        return self.sums_by_first(self.counted(self.links.where(F.col("slice") < SLICES)))
 
     def alone(self, side: str, count: Column) -> Column:
         return (count + 1) / F.lit(float(self.totals[side] + self.size + 1))
@@ -111,17 +193,25 @@ class Model:
         used = F.col(f"used_{side}") / F.greatest(f"first_{side}", F.lit(1))
         return 1 - F.coalesce(used, F.lit(0.0))
 
-    def priced(self, named: DataFrame) -> DataFrame:
-        """(key, v, w, single_t, single_b) -> key, loss_t, loss_b."""
-        rows = _left(_left(named, self.grams, "v", "w"), self.firsts, "v")
-        rare = {s: F.lit(self.totals[f"rare_{s}"]) for s in _SIDES}
+    def losses(self, number: int, own: DataFrame) -> DataFrame:
+        """v, w, loss_t, loss_b of the bigrams in a slice of ``own`` links."""
+        pairs = self.counted(_slice(self.links, number))
+        firsts = self.sums_by_first(pairs)
+        if own is not self.links:  # bigrams that the models may never have seen
+            pairs = _left(_slice(own, number).select("v", "w").distinct(), pairs, "v", "w")
+        rows = _left(_left(pairs, firsts, "v"), self.words, "w")
         losses = []
-        for s in _SIDES:
-            share = F.col(f"share_{s}") / F.greatest(f"first_{s}", F.lit(1))
-            count = F.when(F.col("w") == UNKNOWN, rare[s]).otherwise(F.col(f"single_{s}"))
-            p = F.coalesce(share, F.lit(0.0)) + self.left_over(s) * self.alone(s, count)
-            losses.append((-F.log(p)).alias(f"loss_{s}"))
-        return rows.select("key", *losses)
+        for s, share in _shares().items():
+            count = F.when(F.col("w") == UNKNOWN, F.lit(self.totals[f"rare_{s}"])).otherwise(F.col(f"single_{s}"))
+            seen = F.coalesce(share / F.greatest(f"first_{s}", F.lit(1)), F.lit(0.0))
+            losses.append((-F.log(seen + self.left_over(s) * self.alone(s, count))).alias(f"loss_{s}"))
+        return rows.select("v", "w", *losses)
+
+    def linked(self, docs: DataFrame) -> DataFrame:
+        """The bigrams of any texts, in words of the models."""
+        sided = _sided(docs, None)
+        found = _words_by_text(sided).join(self.words.select("w").hint("merge"), "w", "left_anti")
+        return _links(sided, found)
 
     @cached_property
     def _small(self) -> tuple[np.ndarray, ...]:
@@ -156,62 +246,37 @@ class Model:
     single = property(lambda self: self._small[4])  # probability of each word
 
 
+def _words_by_text(sided: DataFrame) -> DataFrame:
+    """(text, text_hash) -> the different words of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column(1).to_numpy()
+            for c in W.chunks(batch.column(0), W.PLAIN, lower=True):
+                name, own = c.names(), np.repeat(text[c.row : c.row + len(c)], np.diff(c.first))
+                order = np.lexsort((name, own))
+                name, own = name[order], own[order]
+                new = np.ones(len(order), bool)
+                new[1:] = (name[1:] != name[:-1]) | (own[1:] != own[:-1])
+                columns = [pa.array(own[new]), pa.array(name[new].view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["text_hash", "w"])
+
+    return sided.select("text", "text_hash").mapInArrow(run, "text_hash long, w long")
+
+
 def fit(docs: DataFrame, target: DataFrame) -> Model:
     """Models of the documents (doc_id, text) named in ``target`` (doc_id), and of all others."""
-    marks = target.where("doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
-    # The marks grow with the corpus, so they are joined alike at every size, never broadcast.
-    marks = marks.withColumn("target", F.lit(True)).hint("merge")
-    sided = docs.select("doc_id", "text").join(marks, F.col("doc_id") == F.col("__id"), "left")
-    sided = sided.select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    raw = stored(_counted(sided), "lm-raw")
-
-    every = stored(raw.groupBy("w").agg(*_sums()), "lm-words")
+    sided = _sided(docs, target)
+    counts = _words(sided).groupBy("w").agg(F.min("text_hash").alias("text_hash"), *_sums())
+    every = stored(counts, "lm-words", compression="zstd")
     known = F.col("t") + F.col("b") > 1
     sums = [F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in _SIDES]
     rare = [F.coalesce(F.sum(F.when(~known, F.col(s))), F.lit(0)).alias(f"rare_{s}") for s in _SIDES]
     totals = every.agg(*sums, *rare, F.count(F.when(known, F.lit(1))).alias("size")).first().asDict()
     words = every.where(known).select("w", *[F.col(s).alias(f"single_{s}") for s in _SIDES])
-    model = Model(words, totals, totals["size"], raw, raw, raw)
-
-    named = stored(model.named(raw), "lm-named")
-    pair = stored(named.groupBy("v", "w").agg(*_sums()), "lm-grams")
-    shares = {s: F.greatest(F.col(s) - DISCOUNT, F.lit(0.0)) for s in _SIDES}
-    model.grams = pair.select("v", "w", *[x.alias(f"share_{s}") for s, x in shares.items()])
-    firsts = [F.sum(s).alias(f"first_{s}") for s in _SIDES]
-    used = [F.sum(x).alias(f"used_{s}") for s, x in shares.items()]
-    model.firsts = stored(pair.groupBy("v").agg(*firsts, *used), "lm-firsts")
-    model.losses = stored(model.priced(named), "lm-losses")
-    return model
-
-
-_GRAMS = "row long, doc_id long, key long, n long"
-
-
-def _grams(docs: DataFrame) -> DataFrame:
-    """Each text's different bigrams, and a row without key for its id and number of words."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.column(0).to_numpy()
-            for c in W.chunks(batch.column(2), W.PLAIN, lower=True):
-                n = np.diff(c.first)
-                row, key = np.repeat(np.arange(len(c)), n), pairs(c)[0]
-                order = np.lexsort((key, row))
-                row, key = row[order], key[order]
-                new = np.ones(len(row), bool)
-                new[1:] = (row[1:] != row[:-1]) | (key[1:] != key[:-1])
-                at = np.flatnonzero(new)
-                times = np.diff(np.append(at, len(row)))
-                own = rows[c.row : c.row + len(c)]
-                ids = batch.column(1)[c.row : c.row + len(c)]
-                for a, i, k, m in (
-                    (own, ids, pa.nulls(len(c), pa.int64()), n),
-                    (own[row[at]], pa.nulls(len(at), pa.int64()), pa.array(key[at].view(np.int64)), times),
-                ):
-                    yield pa.RecordBatch.from_arrays([pa.array(a), i, k, pa.array(m)], ["row", "doc_id", "key", "n"])
-
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(run, _GRAMS)
+    # A word that occurs once stands in one text, that of its hash.
+    links = _links(sided, every.where(~known).select("text_hash", "w"))
+    return Model(docs, words, totals, totals["size"], links)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -220,23 +285,19 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     Losses are means over the tokens, in nats; the lower the difference, the more a text is
     like the target.  Tokens are words `[^\\x20\\x09-\\x0D]+` with A-Z lower-cased.  A null
     text, or one without words, has 0 tokens and null losses.  One row per input row; an
-    empty table gives none; other columns are ignored.
+    empty table gives none; other columns are ignored.  The models' own documents, given as
+    the same DataFrame, are not read again.
     """
-    grams = stored(_grams(docs), "lm-texts")
-    own = grams.where("key is not null").select("row", "key", "n")
-
-    def summed(losses: DataFrame) -> DataFrame:
-        sums = [F.sum(F.col("n") * F.col(f"loss_{s}")).alias(f"loss_{s}") for s in _SIDES]
-        unseen = F.count(F.when(F.col("loss_t").isNull(), F.lit(1))).alias("unseen")
-        return stored(_left(own, losses, "key").groupBy("row").agg(*sums, unseen), "lm-sums")
-
-    sums = summed(model.losses)
-    if not sums.where("unseen > 0").isEmpty():  # texts other than those of the models
-        found = _counted(docs.select("text", F.lit(False).alias("target"))).select("key", "v", "w")
-        found = found.join(model.losses.select("key").hint("merge"), "key", "left_anti")
-        new = stored(model.priced(model.named(found)), "lm-unseen")
-        sums = summed(model.losses.unionByName(new))
-    rows = _left(grams.where("key is null").select("row", "doc_id", "n"), sums, "row")
+    own = model.links if docs is model.docs else model.linked(docs)
+    losses = [f"loss_{s}" for s in _SIDES]
+    parts = []
+    for number in range(SLICES):
+        links = _slice(own, number).select("v", "w", "row", "n")
+        priced = _left(links, model.losses(number, own), "v", "w")
+        sums = [F.sum(F.col("n") * F.col(c)).alias(c) for c in losses]
+        parts.append(stored(priced.groupBy("row").agg(*sums), "lm-sums"))
+    sums = reduce(DataFrame.unionAll, parts).groupBy("row").agg(*[F.sum(c).alias(c) for c in losses])
+    rows = _left(_slice(own, SLICES).select("row", "doc_id", "n"), sums, "row")
     mean = {s: F.col(f"loss_{s}") / F.col("n") for s in _SIDES}
     return rows.select(
         "doc_id",
