@@ -27,7 +27,7 @@ from rankspark.llm.tables import stored
 DISCOUNT = 0.75
 #: Names of the unknown word and of the start of a text.
 UNKNOWN, START = 0, 1
-#: Shares of the bigrams that are worked on one after another, dealt by four bits of the first word's name.
+#: Shares of the bigrams that are worked on one after another, dealt by the first word's name.
 SLICES = 16
 _BUFFER = 1 << 21  # tokens that a task sums up before it sends counts
 _SIDES = ("t", "b")
@@ -51,13 +51,13 @@ class _Counter:
         own = np.bincount(place, target, len(name)).astype(np.int64)
         self.parts, self.waiting = [], 0
         columns = [name.view(np.int64), text[at], own, n - own]
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["w", "text_hash", "t", "b"])
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["w", "key", "t", "b"])
 
 
 def _words(sided: DataFrame) -> DataFrame:
-    """(text, target, text_hash) -> w, text_hash, t, b: how often each word occurs, by task.
+    """(text, target, key) -> w, key, t, b: how often each word occurs, by task.
 
-    The hash is that of one of the texts that hold the word.
+    The key is that of one of the texts that hold the word.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,19 +72,19 @@ def _words(sided: DataFrame) -> DataFrame:
                     yield counter.take()
         yield counter.take()
 
-    return sided.select("text", "target", "text_hash").mapInArrow(run, "w long, text_hash long, t long, b long")
+    return sided.select("text", "target", "key").mapInArrow(run, "w long, key long, t long, b long")
 
 
 def _sided(docs: DataFrame, target: DataFrame | None) -> DataFrame:
-    """doc_id, text, whether it is one of the target's, and its hash."""
+    """doc_id, text, whether it is one of the target's, and a key: the id, or a hash of a text without id."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    own = own.withColumn("text_hash", F.xxhash64("text"))
+    own = own.withColumn("key", F.coalesce("doc_id", F.xxhash64("text")))
     if target is None:
         return own.withColumn("target", F.lit(False))
-    marks = target.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    marks = target.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("key")).distinct()
     # The marks grow with the corpus, so they are joined alike at every size, never broadcast.
-    own = _left(own, marks.withColumn("marked", F.lit(True)), "doc_id")
-    return own.withColumn("target", F.coalesce("marked", F.lit(False))).drop("marked")
+    own = _left(own, marks.withColumn("marked", F.lit(True)), "key")
+    return own.withColumn("target", F.col("marked").isNotNull() & F.col("doc_id").isNotNull()).drop("marked")
 
 
 _LINKS = "slice int, v long, w long, row long, n long, target boolean, doc_id long"
@@ -93,11 +93,11 @@ _LINKS = "slice int, v long, w long, row long, n long, target boolean, doc_id lo
 def _links(sided: DataFrame, unknown: DataFrame) -> DataFrame:
     """Each text's different bigrams and how often it holds them, stored by slice.
 
-    ``unknown`` (text_hash, w) has the words that do not count, by the texts that hold them.
-    Such a word is unknown in all texts, so two texts of one hash do no harm.  A slice of its
-    own, the last, has a row with id and number of words for each text.
+    ``unknown`` (key, w) has the words that do not count, by the texts that hold them.  Such a
+    word is unknown in all texts, so two texts of one key do no harm.  A slice of its own, the
+    last, has a row with id and number of words for each text.  Texts are shuffled once.
     """
-    lists = unknown.groupBy("text_hash").agg(F.collect_set("w").alias("unknown"))  # of one text's words
+    lists = unknown.groupBy("key").agg(F.collect_set("w").alias("unknown"))  # of one text's words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,17 +113,17 @@ def _links(sided: DataFrame, unknown: DataFrame) -> DataFrame:
                 before[c.first[:-1][n > 0]] = START
                 first, key = W.mix(before), np.repeat(np.arange(len(c)), n)
                 order = np.lexsort((first + word, key))
-                same = W.mix(first[order] + word[order]), key[order]
+                same = (first + word)[order], key[order]
                 new = np.ones(len(order), bool)
                 new[1:] = (same[0][1:] != same[0][:-1]) | (same[1][1:] != same[1][:-1])
                 times = np.diff(np.append(np.flatnonzero(new), len(order)))
                 at = order[new]
-                share = (first[at] >> np.uint64(60)).astype(np.int32)
+                share = (first[at] % np.uint64(SLICES)).astype(np.int32)
                 yield _batch(share, before[at], word[at], own[key[at]], times, target[c.row + key[at]], None)
                 last = np.full(len(c), SLICES, np.int32)
                 yield _batch(last, None, None, own, n, target[c.row : c.row + len(c)], ids[c.row : c.row + len(c)])
 
-    rows = _left(sided, lists, "text_hash").select(
+    rows = _left(sided, lists, "key").select(
         "doc_id", "text", "target", F.monotonically_increasing_id().alias("row"), "unknown"
     )
     return stored(rows.mapInArrow(run, _LINKS), "lm-links", ["slice"], "zstd")
@@ -247,7 +247,7 @@ class Model:
 
 
 def _words_by_text(sided: DataFrame) -> DataFrame:
-    """(text, text_hash) -> the different words of each text."""
+    """(text, key) -> the different words of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -259,23 +259,23 @@ def _words_by_text(sided: DataFrame) -> DataFrame:
                 new = np.ones(len(order), bool)
                 new[1:] = (name[1:] != name[:-1]) | (own[1:] != own[:-1])
                 columns = [pa.array(own[new]), pa.array(name[new].view(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, ["text_hash", "w"])
+                yield pa.RecordBatch.from_arrays(columns, ["key", "w"])
 
-    return sided.select("text", "text_hash").mapInArrow(run, "text_hash long, w long")
+    return sided.select("text", "key").mapInArrow(run, "key long, w long")
 
 
 def fit(docs: DataFrame, target: DataFrame) -> Model:
     """Models of the documents (doc_id, text) named in ``target`` (doc_id), and of all others."""
     sided = _sided(docs, target)
-    counts = _words(sided).groupBy("w").agg(F.min("text_hash").alias("text_hash"), *_sums())
+    counts = _words(sided).groupBy("w").agg(F.min("key").alias("key"), *_sums())
     every = stored(counts, "lm-words", compression="zstd")
     known = F.col("t") + F.col("b") > 1
     sums = [F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in _SIDES]
     rare = [F.coalesce(F.sum(F.when(~known, F.col(s))), F.lit(0)).alias(f"rare_{s}") for s in _SIDES]
     totals = every.agg(*sums, *rare, F.count(F.when(known, F.lit(1))).alias("size")).first().asDict()
     words = every.where(known).select("w", *[F.col(s).alias(f"single_{s}") for s in _SIDES])
-    # A word that occurs once stands in one text, that of its hash.
-    links = _links(sided, every.where(~known).select("text_hash", "w"))
+    # A word that occurs once stands in one text, that of its key.
+    links = _links(sided, every.where(~known).select("key", "w"))
     return Model(docs, words, totals, totals["size"], links)
 
 
