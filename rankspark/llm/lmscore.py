@@ -5,278 +5,365 @@ the target's documents, and all others.  They share one vocabulary, the words th
 than once, and one table of bigrams, all of them; other words are one unknown word.  That holds
 at every size.  Words and bigrams are named by 64 bits.
 
-The different bigrams of each text are stored once, dealt by their first words over a fixed
-number of slices.  Slice by slice they are counted, priced and summed by text, so that the disk
-holds the shuffles of one slice only, the same share of them at every size.  All joins are plain
-shuffles; no task or driver ever holds the model.
+Texts are kept in chunks of some 2 MB, as packed arrays.  Three times, for words, for bigrams and
+for first words, each chunk sends each different name once, with its own counts, to the part of
+the names that it falls into; the parts, whose number grows with the corpus, add up and the chunks
+get back the sums of what they asked for.  A part's names are a range of hashes, so no name makes a
+part hot: a name that stands in every text comes once a chunk, and sums are kept by name, never by
+chunk.  No task or driver ever holds the model.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import cached_property, reduce
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from rankspark.llm import words as W
-from rankspark.llm.tables import stored
+from rankspark.llm.tables import dropped, stored
 
 DISCOUNT = 0.75
 #: Names of the unknown word and of the start of a text.
 UNKNOWN, START = 0, 1
-#: Shares of the bigrams that are worked on one after another, dealt by the first word's name.
-SLICES = 16
-_BUFFER = 1 << 21  # tokens that a task sums up before it sends counts
+#: Words of the corpus for one part of the names.
+PART_WORDS = 1 << 21
+#: Shares of the parts of bigrams that are shuffled one after another, the same at every size.
+SLICES = 2
+_BUFFER = 1 << 21  # names that a task holds before it adds them up
+_BATCH_BYTES = 1 << 22
 _SIDES = ("t", "b")
 
+# Every table has rows of packed arrays: texts (kind 0), and requests, answers and sums by part.
+_ROWS = "chunk long, kind int, part int, n long, data array<binary>"
+_TYPES = {"chunk": pa.int64(), "kind": pa.int32(), "part": pa.int32(), "n": pa.int64(), "data": pa.list_(pa.binary())}
+_Row = tuple[int, int, int, int, list[bytes]]
+_Arrays = list[np.ndarray]
 
-class _Counter:
-    """Sums up words of target and background within a task, a bounded number at a time."""
 
-    def __init__(self) -> None:
-        self.parts: list[tuple[np.ndarray, ...]] = []
-        self.waiting = 0
+def _pack(values: np.ndarray) -> bytes:
+    """Whole numbers, not negative, in the narrowest type that holds them; its size comes last."""
+    top = int(values.max(initial=0))
+    size = next(s for s in (1, 2, 4, 8) if top < 1 << (8 * s))
+    return values.astype(f"u{size}").tobytes() + bytes([size])
 
-    def add(self, word: np.ndarray, target: np.ndarray, text: np.ndarray) -> None:
-        self.parts.append((word, target, text))
-        self.waiting += len(word)
 
-    def take(self) -> pa.RecordBatch:
-        none = np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, np.int64)
-        word, target, text = (np.concatenate(x) for x in zip(none, *self.parts, strict=True))
-        name, at, place, n = np.unique(word, return_index=True, return_inverse=True, return_counts=True)
-        own = np.bincount(place, target, len(name)).astype(np.int64)
-        self.parts, self.waiting = [], 0
-        columns = [name.view(np.int64), text[at], own, n - own]
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["w", "key", "t", "b"])
+def _unpack(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"u{data[-1]}", (len(data) - 1) // data[-1]).astype(np.uint64)
 
 
-def _words(sided: DataFrame) -> DataFrame:
-    """(text, target, key) -> w, key, t, b: how often each word occurs, by task.
+def _counts(data: bytes) -> np.ndarray:
+    return _unpack(data).view(np.int64)
 
-    The key is that of one of the texts that hold the word.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _Counter()
-        for batch in batches:
-            own = batch.column(1).to_numpy(zero_copy_only=False)
-            text = batch.column(2).to_numpy()
-            for c in W.chunks(batch.column(0), W.PLAIN, lower=True):
-                n, rows = np.diff(c.first), slice(c.row, c.row + len(c))
-                counter.add(c.names(), np.repeat(own[rows], n), np.repeat(text[rows], n))
-                if counter.waiting > _BUFFER:
-                    yield counter.take()
-        yield counter.take()
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[_Row]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield tuple(batch.column(k)[i].as_py() for k in range(5))
+
+
+def _write(rows: Iterator[_Row]) -> Iterator[pa.RecordBatch]:
+    def batch() -> pa.RecordBatch:
+        columns = [pa.array(x, t) for x, t in zip(zip(*waiting, strict=True), _TYPES.values(), strict=True)]
+        return pa.RecordBatch.from_arrays(columns, list(_TYPES))
 
-    return sided.select("text", "target", "key").mapInArrow(run, "w long, key long, t long, b long")
+    waiting, size = [], 0
+    for row in rows:
+        waiting.append(row)
+        size += sum(map(len, row[4]))
+        if size > _BATCH_BYTES:
+            yield batch()
+            waiting, size = [], 0
+    if waiting:
+        yield batch()
+
+
+def _mapped(rows: DataFrame, step: Callable[[Iterator[_Row]], Iterator[_Row]]) -> DataFrame:
+    return rows.mapInArrow(lambda batches: _write(step(_read(batches))), _ROWS)
 
 
 def _sided(docs: DataFrame, target: DataFrame | None) -> DataFrame:
-    """doc_id, text, whether it is one of the target's, and a key: the id, or a hash of a text without id."""
+    """doc_id, text, and whether it is one of the target's."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    own = own.withColumn("key", F.coalesce("doc_id", F.xxhash64("text")))
     if target is None:
         return own.withColumn("target", F.lit(False))
+    key = F.coalesce("doc_id", F.xxhash64("text"))  # texts without id are spread
     marks = target.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("key")).distinct()
     # The marks grow with the corpus, so they are joined alike at every size, never broadcast.
-    own = _left(own, marks.withColumn("marked", F.lit(True)), "key")
-    return own.withColumn("target", F.col("marked").isNotNull() & F.col("doc_id").isNotNull()).drop("marked")
+    marked = marks.withColumn("marked", F.lit(True)).hint("merge")
+    own = own.withColumn("key", key).join(marked, "key", "left")
+    return own.select("doc_id", "text", (F.col("marked").isNotNull() & F.col("doc_id").isNotNull()).alias("target"))
+
+
+def _texts(sided: DataFrame) -> DataFrame:
+    """Chunks of texts: see ``_Texts``."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[_Row]:
+        for batch in batches:
+            ids, target, rows = batch.column(0), batch.column(2).to_numpy(zero_copy_only=False), batch.column(3).to_numpy()
+            for c in W.chunks(batch.column(1), W.PLAIN, lower=True):
+                names, tokens = np.unique(c.names(), return_inverse=True)
+                own = ids.slice(c.row, len(c))
+                doc_ids, no_id = own.fill_null(0).to_numpy().view(np.uint64), own.is_null().to_numpy(zero_copy_only=False)
+                data = names, tokens, np.diff(c.first), target[c.row : c.row + len(c)], doc_ids, no_id
+                yield int(rows[c.row]), 0, 0, len(tokens), [_pack(x) for x in data]
 
-_LINKS = "slice int, v long, w long, row long, n long, target boolean, doc_id long"
+    numbered = sided.select("doc_id", "text", "target", F.monotonically_increasing_id().alias("row"))
+    return stored(numbered.mapInArrow(lambda batches: _write(run(batches)), _ROWS), "lm-texts", compression="zstd")
 
 
-def _links(sided: DataFrame, unknown: DataFrame) -> DataFrame:
-    """Each text's different bigrams and how often it holds them, stored by slice.
+class _Texts:
+    """One chunk: its different names, sorted, its tokens as places among them, and its texts.
 
-    ``unknown`` (key, w) has the words that do not count, by the texts that hold them.  Such a
-    word is unknown in all texts, so two texts of one key do no harm.  A slice of its own, the
-    last, has a row with id and number of words for each text.  Texts are shuffled once.
+    As stored first, names are words; then they begin with the unknown word and the start, and
+    have counts of either side; at last there are counts of the bigrams and of first words.
     """
-    lists = unknown.groupBy("key").agg(F.collect_set("w").alias("unknown"))  # of one text's words
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, texts, target, rows = (batch.column(i) for i in range(4))
-            target, rows, lost = target.to_numpy(zero_copy_only=False), rows.to_numpy(), batch.column(4)
-            for c in W.chunks(texts, W.PLAIN, lower=True):
-                n, own = np.diff(c.first), rows[c.row : c.row + len(c)]
-                word = c.names()
-                names = lost[c.row : c.row + len(c)].flatten().to_numpy().view(np.uint64)
-                word[np.isin(word, names)] = UNKNOWN
-                before = np.empty_like(word)
-                before[1:] = word[:-1]
-                before[c.first[:-1][n > 0]] = START
-                first, key = W.mix(before), np.repeat(np.arange(len(c)), n)
-                order = np.lexsort((first + word, key))
-                same = (first + word)[order], key[order]
-                new = np.ones(len(order), bool)
-                new[1:] = (same[0][1:] != same[0][:-1]) | (same[1][1:] != same[1][:-1])
-                times = np.diff(np.append(np.flatnonzero(new), len(order)))
-                at = order[new]
-                share = (first[at] % np.uint64(SLICES)).astype(np.int32)
-                yield _batch(share, before[at], word[at], own[key[at]], times, target[c.row + key[at]], None)
-                last = np.full(len(c), SLICES, np.int32)
-                yield _batch(last, None, None, own, n, target[c.row : c.row + len(c)], ids[c.row : c.row + len(c)])
-
-    rows = _left(sided, lists, "key").select(
-        "doc_id", "text", "target", F.monotonically_increasing_id().alias("row"), "unknown"
-    )
-    return stored(rows.mapInArrow(run, _LINKS), "lm-links", ["slice"], "zstd")
+    def __init__(self, data: list[bytes]) -> None:
+        self.data = data
+        self.names, (self.tokens, self.n) = _unpack(data[0]), map(_counts, data[1:3])
+        self.target = _counts(data[3]).astype(bool)
+        self.side = np.repeat(self.target, self.n)
+        self.row = np.repeat(np.arange(len(self.n)), self.n)
 
+    def by_side(self, place: np.ndarray, size: int) -> _Arrays:
+        return [np.bincount(place[own], minlength=size) for own in (self.side, ~self.side)]
 
-def _batch(share, v, w, row, n, target, doc_id) -> pa.RecordBatch:
-    none = pa.nulls(len(share), pa.int64())
-    names = [none if x is None else pa.array(x.view(np.int64)) for x in (v, w)]
-    columns = [pa.array(share), *names, pa.array(row), pa.array(n.astype(np.int64)), pa.array(target)]
-    return pa.RecordBatch.from_arrays(
-        [*columns, none if doc_id is None else doc_id], ["slice", "v", "w", "row", "n", "target", "doc_id"]
-    )
+    def words(self) -> tuple[np.ndarray, _Arrays]:
+        return self.names, self.by_side(self.tokens, len(self.names))
+
+    def before(self) -> np.ndarray:
+        out = np.ones_like(self.tokens)  # the start's place
+        out[1:] = self.tokens[:-1]
+        out[(np.cumsum(self.n) - self.n)[self.n > 0]] = START
+        return out
+
+    def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Names of the different bigrams, sorted, the places of their first words, and each token's place among them."""
+        code, place = np.unique(self.before() * len(self.names) + self.tokens, return_inverse=True)
+        first, word = np.divmod(code, max(1, len(self.names)))
+        names = pair_names(self.names[first], self.names[word])
+        order = np.argsort(names)
+        rank = np.empty_like(order)
+        rank[order] = np.arange(len(order))
+        return names[order], first[order], rank[place]
+
+    def pairs(self) -> tuple[np.ndarray, _Arrays]:
+        names, _, place = self.links()
+        return names, self.by_side(place, len(names))
+
+    def firsts(self) -> tuple[np.ndarray, _Arrays]:
+        return self.names, [_counts(x) for x in self.data[10:14]]
 
 
-def _sums() -> list[Column]:
-    return [F.sum(s).alias(s) for s in _SIDES]
+def pair_names(first: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return W.mix(W.mix(W.mix(first) + word) + np.uint64(0x9E3779B97F4A7C15))
 
 
-def _shares() -> dict[str, Column]:
-    """Counts less the discount."""
-    return {s: F.greatest(F.col(s) - DISCOUNT, F.lit(0.0)) for s in _SIDES}
+def _part(names: np.ndarray, parts: int) -> np.ndarray:
+    """Parts are ranges of names, so sorted names are in the order of their parts."""
+    return ((names >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
 
 
-def _left(rows: DataFrame, table: DataFrame, *on: str) -> DataFrame:
-    """Joined by merging at every size, so that hot keys can be split."""
-    return rows.join(table.hint("merge"), list(on), "left")
+def _requests(texts: DataFrame, what: Callable, parts: int, number: int = 0, slices: int = 1) -> DataFrame:
+    """Each chunk's names and counts, by part; of one slice of the parts."""
 
+    def run(rows: Iterator[_Row]) -> Iterator[_Row]:
+        for chunk, _, _, _, data in rows:
+            names, values = what(_Texts(data))
+            found, at = np.unique(_part(names, parts), return_index=True)
+            ends = np.append(at, len(names))[1:]
+            for p, a, b in zip(found.tolist(), at.tolist(), ends.tolist(), strict=True):
+                if p % slices == number:
+                    yield chunk, 1, p, b - a, [_pack(names[a:b]), *[_pack(x[a:b]) for x in values]]
 
-def _slice(links: DataFrame, number: int) -> DataFrame:
-    return links.where(F.col("slice") == number)
+    return _mapped(texts, run)
+
+
+def _added(parts_of: list[_Arrays]) -> _Arrays:
+    """Names, sorted, with the sums of their counts."""
+    names, *values = (np.concatenate(x) for x in zip(*parts_of, strict=True))
+    order = np.argsort(names)
+    names = names[order]
+    start = np.flatnonzero(np.append(True, names[1:] != names[:-1])) if len(names) else order
+    return [names[start], *[np.add.reduceat(x[order], start) if len(names) else x for x in values]]
+
+
+def _sums(requests: DataFrame, parts: int) -> DataFrame:
+    """One row a part: names with the sums of their counts over all chunks."""
+
+    def run(rows: Iterator[_Row]) -> Iterator[_Row]:
+        part, held, waiting = None, [], 0
+
+        def out() -> Iterator[_Row]:
+            if held:
+                found = _added(held)
+                yield 0, 0, part, len(found[0]), [_pack(x) for x in found]
+
+        for _, _, p, n, data in rows:
+            if p != part:
+                yield from out()
+                part, held, waiting = p, [], 0
+            held.append([_unpack(data[0]), *map(_counts, data[1:])])
+            waiting += n
+            if waiting > _BUFFER:
+                held, waiting = [_added(held)], 0
+        yield from out()
+
+    return _mapped(requests.repartition(parts, "part").sortWithinPartitions("part"), run)
+
+
+def _answers(requests: DataFrame, sums: DataFrame, parts: int, width: int) -> DataFrame:
+    """For each request the sums of its names, zero for names that have none.
+
+    Then, for each count, whether this chunk is the first that has it above zero.
+    """
+
+    def run(rows: Iterator[_Row]) -> Iterator[_Row]:
+        part = None
+        for chunk, kind, p, n, data in rows:
+            if p != part:
+                part, names, table = p, np.zeros(0, np.uint64), np.zeros((width, 1), np.int64)
+                met = np.zeros((width, 1), bool)
+            if kind == 0:
+                names = _unpack(data[0])
+                table = np.array([np.append(_counts(x), 0) for x in data[1:]])
+                met = np.zeros(table.shape, bool)
+                continue
+            asked = _unpack(data[0])
+            at = np.searchsorted(names, asked)
+            at[np.append(names, np.uint64(0))[at] != asked] = len(names)
+            # A name 0 that is asked for but not there meets the empty last column too.
+            own = []
+            for k, x in enumerate(data[1:]):
+                new = (_counts(x) > 0) & ~met[k, at]
+                met[k, at[new]] = True
+                own.append(new)
+            yield chunk, 1, p, n, [_pack(x) for x in (*table[:, at], *own)]
+
+    rows = sums.unionAll(requests).repartition(parts, "part")
+    return _mapped(rows.sortWithinPartitions("part", "kind", "chunk"), run)
+
+
+def _answered(texts: DataFrame, answers: DataFrame, parts: int, width: int) -> DataFrame:
+    """The chunks' rows with their answers, put together, at the end of their arrays."""
+
+    def run(rows: Iterator[_Row]) -> Iterator[_Row]:
+        row, found = None, []
+
+        def out() -> Iterator[_Row]:
+            if row is not None:
+                columns = zip(*found, strict=True) if found else [()] * (2 * width)
+                whole = [_pack(np.concatenate([np.zeros(0, np.uint64), *map(_unpack, x)])) for x in columns]
+                yield *row[:4], [*row[4], *whole]
+
+        for r in rows:
+            if r[1] == 0:
+                yield from out()
+                row, found = r, []
+            else:
+                found.append(r[4])
+        yield from out()
+
+    rows = texts.unionAll(answers).repartition(parts, "chunk")
+    return _mapped(rows.sortWithinPartitions("chunk", "kind", "part"), run)
+
+
+def _each(rows: DataFrame, change: Callable[[list[bytes]], list[bytes]]) -> DataFrame:
+    def run(found: Iterator[_Row]) -> Iterator[_Row]:
+        for *head, data in found:
+            yield *head, change(data)
+
+    return _mapped(rows, run)
 
 
 @dataclass
 class Model:
-    """Stored tables.  Words have counts of target and background, t and b."""
+    """Stored sums by part of the names: of words and bigrams, and of first words."""
 
     docs: DataFrame
-    words: DataFrame  # w, single_t, single_b: words that count, and how often they occur
-    totals: dict[str, int]  # words of either side
-    size: int  # how many words count
-    links: DataFrame  # bigrams of the texts, by slice
-
-    def counted(self, links: DataFrame) -> DataFrame:
-        """v, w, t, b of whole slices of bigrams."""
-        sides = {"t": F.col("target"), "b": ~F.col("target")}
-        sums = [F.sum(F.when(c, F.col("n")).otherwise(0)).alias(s) for s, c in sides.items()]
-        return links.groupBy("v", "w").agg(*sums)
-
-    def sums_by_first(self, pairs: DataFrame) -> DataFrame:
-        """v, first_t, first_b, used_t, used_b: sums of counts, and of the discounted."""
-        first = [F.sum(s).alias(f"first_{s}") for s in _SIDES]
-        return pairs.groupBy("v").agg(*first, *[F.sum(x).alias(f"used_{s}") for s, x in _shares().items()])
-
-    @property
-    def grams(self) -> DataFrame:
-        pairs = self.counted(self.links.where(F.col("slice") < SLICES))
-        return pairs.select("v", "w", *[x.alias(f"share_{s}") for s, x in _shares().items()])
-
-    @property
-    def firsts(self) -> DataFrame:
-        return self.sums_by_first(self.counted(self.links.where(F.col("slice") < SLICES)))
-
-    def alone(self, side: str, count: Column) -> Column:
-        return (count + 1) / F.lit(float(self.totals[side] + self.size + 1))
-
-    def left_over(self, side: str) -> Column:
-        used = F.col(f"used_{side}") / F.greatest(f"first_{side}", F.lit(1))
-        return 1 - F.coalesce(used, F.lit(0.0))
-
-    def losses(self, number: int, own: DataFrame) -> DataFrame:
-        """v, w, loss_t, loss_b of the bigrams in a slice of ``own`` links."""
-        pairs = self.counted(_slice(self.links, number))
-        firsts = self.sums_by_first(pairs)
-        if own is not self.links:  # bigrams that the models may never have seen
-            pairs = _left(_slice(own, number).select("v", "w").distinct(), pairs, "v", "w")
-        rows = _left(_left(pairs, firsts, "v"), self.words, "w")
-        losses = []
-        for s, share in _shares().items():
-            count = F.when(F.col("w") == UNKNOWN, F.lit(self.totals[f"rare_{s}"])).otherwise(F.col(f"single_{s}"))
-            seen = F.coalesce(share / F.greatest(f"first_{s}", F.lit(1)), F.lit(0.0))
-            losses.append((-F.log(seen + self.left_over(s) * self.alone(s, count))).alias(f"loss_{s}"))
-        return rows.select("v", "w", *losses)
-
-    def linked(self, docs: DataFrame) -> DataFrame:
-        """The bigrams of any texts, in words of the models."""
-        sided = _sided(docs, None)
-        found = _words_by_text(sided).join(self.words.select("w").hint("merge"), "w", "left_anti")
-        return _links(sided, found)
-
-    @cached_property
-    def _small(self) -> tuple[np.ndarray, ...]:
-        """The tables as arrays on the driver: to look at small models, not used to score."""
-        words = self.words.toPandas()
-        name = words["w"].to_numpy(np.int64).view(np.uint64)
-        order = np.argsort(name)
-        name, span = name[order], self.size + 2
-        single, rest = np.zeros((2, self.size + 1)), np.ones((2, span))
-
-        def ids(column: np.ndarray) -> np.ndarray:
-            own = column.astype(np.int64).view(np.uint64)
-            return np.where(own == START, self.size + 1, np.where(own == UNKNOWN, self.size, np.searchsorted(name, own)))
-
-        grams, firsts = self.grams.toPandas(), self.firsts.toPandas()
-        key = ids(grams["v"].to_numpy()) * span + ids(grams["w"].to_numpy())
-        by = np.argsort(key)
-        key, first, bigram = key[by], np.ones((2, span)), np.zeros((2, len(key)))
-        at = ids(firsts["v"].to_numpy())
-        for k, s in enumerate(_SIDES):
-            count = np.append(words[f"single_{s}"].to_numpy()[order], self.totals[f"rare_{s}"])
-            single[k] = (count + 1) / (self.totals[s] + self.size + 1)
-            first[k, at] = np.maximum(firsts[f"first_{s}"].to_numpy(), 1)
-            rest[k, at] -= firsts[f"used_{s}"].to_numpy() / first[k, at]
-            bigram[k] = grams[f"share_{s}"].to_numpy()[by] / first[k, key // span]
-        return name, key, bigram, rest, single
-
-    vocabulary = property(lambda self: self._small[0])  # names of words 0 to V - 1; V is unknown, V + 1 the start
-    bigrams = property(lambda self: self._small[1])  # sorted keys: first word * (V + 2) + second word
-    bigram = property(lambda self: self._small[2])  # discounted share among the first word's followers
-    rest = property(lambda self: self._small[3])  # share of each first word left to single words
-    single = property(lambda self: self._small[4])  # probability of each word
-
-
-def _words_by_text(sided: DataFrame) -> DataFrame:
-    """(text, key) -> the different words of each text."""
+    parts: int
+    words: DataFrame  # counts of target and background
+    totals: dict[str, int]  # of words on either side, of rare ones, and how many words count (size)
+    pairs: DataFrame | None = None  # counts
+    firsts: DataFrame | None = None  # counts as first words, and numbers of different words after them
+    texts: DataFrame | None = None  # the models' own chunks
+
+    def named(self, texts: DataFrame) -> DataFrame:
+        """Chunks in words that count, with the counts of these."""
+        rare = [self.totals[f"rare_{s}"] for s in _SIDES]
+
+        def change(data: list[bytes]) -> list[bytes]:
+            names, counts = _unpack(data[0]), [_counts(x) for x in data[6:8]]
+            known = counts[0] + counts[1] > 1
+            place = np.where(known, np.cumsum(known) + 1, UNKNOWN)
+            names = np.append(np.array([UNKNOWN, START], np.uint64), names[known])
+            counts = [np.append([r, 0], x[known]) for r, x in zip(rare, counts, strict=True)]
+            tokens = place[_counts(data[1])]
+            return [_pack(names), _pack(tokens), *data[2:6], *[_pack(x) for x in counts]]
+
+        answers = _answers(_requests(texts, _Texts.words, self.parts), self.words, self.parts, 2)
+        return stored(_each(_answered(texts, answers, self.parts, 2), change), "lm-named", compression="zstd")
+
+    def linked(self, texts: DataFrame, pairs: list[DataFrame]) -> DataFrame:
+        """Chunks with the counts of their bigrams, and with what they add to the sums of first words."""
+
+        def change(data: list[bytes]) -> list[bytes]:
+            chunk, own = _Texts(data), [_counts(x).astype(bool) for x in data[10:12]]
+            first, size = chunk.links()[1], len(chunk.names)
+            values = [*chunk.by_side(chunk.before(), size), *[np.bincount(first[x], minlength=size) for x in own]]
+            return [*data[:10], *[_pack(x) for x in values]]
+
+        found = []
+        for number, sums in enumerate(pairs):
+            requests = _requests(texts, _Texts.pairs, self.parts, number, SLICES)
+            found.append(stored(_answers(requests, sums, self.parts, 2), "lm-answers", compression="zstd"))
+        answered = _answered(texts, reduce(DataFrame.unionAll, found), self.parts, 2)
+        return stored(_each(answered, change), "lm-linked", compression="zstd")
+
+    def chunks(self, docs: DataFrame) -> DataFrame:
+        if docs is self.docs:
+            return self.texts
+        # The slices' sums lie in tables of their own parts; a request meets only its part's.
+        pairs = [self.pairs.where(F.col("part") % SLICES == k) for k in range(SLICES)]
+        return self.linked(self.named(_texts(_sided(docs, None))), pairs)
+
+
+def _totals(words: DataFrame) -> dict[str, int]:
+    names = [*_SIDES, *[f"rare_{s}" for s in _SIDES], "size"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            text = batch.column(1).to_numpy()
-            for c in W.chunks(batch.column(0), W.PLAIN, lower=True):
-                name, own = c.names(), np.repeat(text[c.row : c.row + len(c)], np.diff(c.first))
-                order = np.lexsort((name, own))
-                name, own = name[order], own[order]
-                new = np.ones(len(order), bool)
-                new[1:] = (name[1:] != name[:-1]) | (own[1:] != own[:-1])
-                columns = [pa.array(own[new]), pa.array(name[new].view(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "w"])
+        for *_, data in _read(batches):
+            t, b = map(_counts, data[1:])
+            rare = t + b == 1
+            sums = [t.sum(), b.sum(), t[rare].sum(), b[rare].sum(), (~rare).sum()]
+            yield pa.RecordBatch.from_arrays([pa.array([int(x)], pa.int64()) for x in sums], names)
 
-    return sided.select("text", "key").mapInArrow(run, "key long, w long")
+    rows = words.mapInArrow(run, ", ".join(f"{x} long" for x in names))
+    return rows.agg(*[F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in names]).first().asDict()
 
 
 def fit(docs: DataFrame, target: DataFrame) -> Model:
     """Models of the documents (doc_id, text) named in ``target`` (doc_id), and of all others."""
-    sided = _sided(docs, target)
-    counts = _words(sided).groupBy("w").agg(F.min("key").alias("key"), *_sums())
-    every = stored(counts, "lm-words", compression="zstd")
-    known = F.col("t") + F.col("b") > 1
-    sums = [F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in _SIDES]
-    rare = [F.coalesce(F.sum(F.when(~known, F.col(s))), F.lit(0)).alias(f"rare_{s}") for s in _SIDES]
-    totals = every.agg(*sums, *rare, F.count(F.when(known, F.lit(1))).alias("size")).first().asDict()
-    words = every.where(known).select("w", *[F.col(s).alias(f"single_{s}") for s in _SIDES])
-    # A word that occurs once stands in one text, that of its key.
-    links = _links(sided, every.where(~known).select("key", "w"))
-    return Model(docs, words, totals, totals["size"], links)
+    raw = _texts(_sided(docs, target))
+    parts = 1 + raw.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] // PART_WORDS
+    words = stored(_sums(_requests(raw, _Texts.words, parts), parts), "lm-words", compression="zstd")
+    model = Model(docs, parts, words, _totals(words))
+    named = model.named(raw)
+    dropped(raw)
+    requests = [_requests(named, _Texts.pairs, parts, k, SLICES) for k in range(SLICES)]
+    pairs = [stored(_sums(x, parts), "lm-pairs", compression="zstd") for x in requests]
+    model.pairs = reduce(DataFrame.unionAll, pairs)
+    model.texts = model.linked(named, pairs)
+    dropped(named)
+    model.firsts = stored(_sums(_requests(model.texts, _Texts.firsts, parts), parts), "lm-firsts", compression="zstd")
+    return model
+
+
+_LOSSES = {"doc_id": pa.int64(), "n": pa.int64(), "loss_t": pa.float64(), "loss_b": pa.float64()}
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -288,17 +375,30 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     empty table gives none; other columns are ignored.  The models' own documents, given as
     the same DataFrame, are not read again.
     """
-    own = model.links if docs is model.docs else model.linked(docs)
-    losses = [f"loss_{s}" for s in _SIDES]
-    parts = []
-    for number in range(SLICES):
-        links = _slice(own, number).select("v", "w", "row", "n")
-        priced = _left(links, model.losses(number, own), "v", "w")
-        sums = [F.sum(F.col("n") * F.col(c)).alias(c) for c in losses]
-        parts.append(stored(priced.groupBy("row").agg(*sums), "lm-sums"))
-    sums = reduce(DataFrame.unionAll, parts).groupBy("row").agg(*[F.sum(c).alias(c) for c in losses])
-    rows = _left(_slice(own, SLICES).select("row", "doc_id", "n"), sums, "row")
-    mean = {s: F.col(f"loss_{s}") / F.col("n") for s in _SIDES}
+    totals = [model.totals[s] + model.totals["size"] + 1 for s in _SIDES]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for *_, data in _read(batches):
+            chunk = _Texts(data)
+            _, first, place = chunk.links()
+            word = np.zeros(len(first), np.int64)
+            word[place] = chunk.tokens
+            columns = []
+            for k in (0, 1):
+                single, pair = _counts(data[6 + k]), _counts(data[8 + k])
+                count, after = _counts(data[14 + k]), _counts(data[16 + k])  # of first words
+                all_ = np.maximum(count, 1)
+                rest = 1 - (count - DISCOUNT * after) / all_
+                alone = (single + 1) / totals[k]
+                loss = -np.log(np.maximum(pair - DISCOUNT, 0) / all_[first] + rest[first] * alone[word])
+                columns.append(np.bincount(chunk.row, loss[place], len(chunk.n)))
+            ids = pa.array(_unpack(data[4]).view(np.int64), mask=_counts(data[5]).astype(bool))
+            yield pa.RecordBatch.from_arrays([ids, *[pa.array(x) for x in (chunk.n, *columns)]], list(_LOSSES))
+
+    texts = model.chunks(docs)
+    answers = _answers(_requests(texts, _Texts.firsts, model.parts), model.firsts, model.parts, 4)
+    rows = _answered(texts, answers, model.parts, 4).mapInArrow(run, "doc_id long, n long, loss_t double, loss_b double")
+    mean = {s: F.when(F.col("n") > 0, F.col(f"loss_{s}") / F.col("n")) for s in _SIDES}
     return rows.select(
         "doc_id",
         F.col("n").alias("n_tokens"),

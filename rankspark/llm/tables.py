@@ -39,6 +39,14 @@ def stored(df: DataFrame, name: str, partition_by: Sequence[str] = (), compressi
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Delete a table that `stored` wrote, when nothing will read it again."""
+    spark = df.sparkSession
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def null_safe(column: str) -> Column:
     """An id as a join key: a null id joins a null id."""
     return F.coalesce(F.col(column), F.lit(-(1 << 63)).cast("long"))

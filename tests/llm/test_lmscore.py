@@ -1,6 +1,8 @@
 import math
 from collections import Counter
+from types import SimpleNamespace
 
+import numpy as np
 import pytest
 from rankspark.llm import lmscore as L
 
@@ -41,9 +43,42 @@ def found(rows):
     return sorted((str(r.doc_id), r.n_tokens, r.target_loss, r.background_loss) for r in rows)
 
 
+def small(model):
+    """The tables of a small model as arrays; a bigram's key is first word * (V + 2) + second word."""
+
+    def arrays(table):
+        parts = [[L._unpack(x) for x in r.data] for r in table.collect()]
+        return [np.concatenate(x) for x in zip(*parts, strict=True)]
+
+    name, *single = arrays(model.words)
+    known = single[0] + single[1] > 1
+    order = np.argsort(name[known])
+    vocabulary, size = name[known][order], known.sum()
+    names = np.append(vocabulary, np.array([L.UNKNOWN, L.START], np.uint64))
+    first, word = (x.ravel() for x in np.meshgrid(np.arange(size + 2), np.arange(size + 1), indexing="ij"))
+    pair, *count = arrays(model.pairs)
+    wanted = L.pair_names(names[first], names[word])
+    by = np.argsort(pair)
+    at = by[np.minimum(np.searchsorted(pair[by], wanted), len(pair) - 1)]
+    seen = pair[at] == wanted
+    assert seen.sum() == len(pair)
+    firsts = {int(n): x for n, *x in zip(*arrays(model.firsts), strict=True)}
+    of_first = np.array([firsts.get(int(n), [0] * 4) for n in names]).astype(float).T
+    bigram, rest, alone = [], [], []
+    for k, s in enumerate("tb"):
+        all_ = np.maximum(of_first[k], 1)
+        bigram.append(np.maximum(count[k][at[seen]].astype(float) - L.DISCOUNT, 0) / all_[first[seen]])
+        rest.append(1 - (of_first[k] - L.DISCOUNT * of_first[2 + k]) / all_)
+        own = np.append(single[k][known][order].astype(float), model.totals[f"rare_{s}"])
+        alone.append((own + 1) / (model.totals[s] + size + 1))
+    keys = (first * (size + 2) + word)[seen]
+    return SimpleNamespace(vocabulary=vocabulary, bigrams=keys, bigram=bigram, rest=rest, single=np.array(alone))
+
+
 @pytest.mark.parametrize("target", [{1, 2, 5, 7, 20, 33, None}, set()])
 def test_against_plain_counting(spark, monkeypatch, target):
     monkeypatch.setattr(L, "_BUFFER", 100)
+    monkeypatch.setattr(L, "PART_WORDS", 300)
     docs = babble(3, 40, 50, "abcdeXYx")
     docs = [(i, t) for i, (_, t) in enumerate(docs)] + ODD[2:9]
     docs = [(100 + k if k < 43 and i is not None and i < 40 and k >= 40 else i, t) for k, (i, t) in enumerate(docs)]
@@ -57,7 +92,7 @@ def test_against_plain_counting(spark, monkeypatch, target):
 
 def test_probabilities_sum_to_one(spark):
     docs = spark.createDataFrame(babble(5, 30, 40, "abcde"), "doc_id long, text string")
-    model = L.fit(docs, docs.limit(9).select("doc_id"))
+    model = small(L.fit(docs, docs.limit(9).select("doc_id")))
     span = len(model.vocabulary) + 2
     assert model.single.sum(axis=1) == pytest.approx([1, 1])
     for side in (0, 1):
@@ -99,6 +134,7 @@ def test_texts_that_the_models_never_saw(spark):
     model = L.fit(docs, docs.where("doc_id = 1").select("doc_id"))
     other = spark.createDataFrame([(3, "c c new a"), (4, "a b")], "doc_id long, text string")
     found = {r.doc_id: r for r in L.score(other, model).collect()}
+    model = small(model)
     ids = {w: i for i, w in enumerate(model.vocabulary.tolist())}
     for i, text in ((3, "c c new a"), (4, "a b")):
         c = next(L.W.chunks(L.pa.array([text]), L.W.PLAIN))
