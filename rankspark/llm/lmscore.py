@@ -10,7 +10,9 @@ for first words, each chunk sends each different name once, with its own counts,
 the names that it falls into; the parts, whose number grows with the corpus, add up and the chunks
 get back the sums of what they asked for.  A part's names are a range of hashes, so no name makes a
 part hot: a name that stands in every text comes once a chunk, and sums are kept by name, never by
-chunk.  No task or driver ever holds the model.
+chunk.  No task or driver ever holds the model.  Bigrams go by slices of the parts, and chunks meet
+their answers by shares, so that the disk holds the shuffles of one slice or share only; tables
+that nothing will read again are deleted.
 """
 
 from __future__ import annotations
@@ -31,8 +33,8 @@ DISCOUNT = 0.75
 UNKNOWN, START = 0, 1
 #: Words of the corpus for one part of the names.
 PART_WORDS = 1 << 21
-#: Shares of the parts of bigrams that are shuffled one after another, the same at every size.
-SLICES = 2
+#: Shares of the bigrams' parts, and of the chunks, that are shuffled one after another: so many at every size.
+SLICES, SHARES = 2, 4
 _BUFFER = 1 << 21  # names that a task holds before it adds them up
 _BATCH_BYTES = 1 << 22
 _SIDES = ("t", "b")
@@ -112,7 +114,7 @@ def _texts(sided: DataFrame) -> DataFrame:
                 yield int(rows[c.row]), 0, 0, len(tokens), [_pack(x) for x in data]
 
     numbered = sided.select("doc_id", "text", "target", F.monotonically_increasing_id().alias("row"))
-    return stored(numbered.mapInArrow(lambda batches: _write(run(batches)), _ROWS), "lm-texts", compression="zstd")
+    return _stored(numbered.mapInArrow(lambda batches: _write(run(batches)), _ROWS), "lm-texts")
 
 
 class _Texts:
@@ -152,8 +154,16 @@ class _Texts:
         return names[order], first[order], rank[place]
 
     def pairs(self) -> tuple[np.ndarray, _Arrays]:
-        names, _, place = self.links()
-        return names, self.by_side(place, len(names))
+        size = max(1, len(self.names))
+        code = np.sort((self.before() * size + self.tokens) * 2 + self.side)
+        if not len(code):
+            return code.view(np.uint64), [code, code]
+        start = np.flatnonzero(np.append(True, code[1:] >> 1 != code[:-1] >> 1))
+        n, target = np.diff(np.append(start, len(code))), np.add.reduceat(code & 1, start)
+        first, word = np.divmod(code[start] >> 1, size)
+        names = pair_names(self.names[first], self.names[word])
+        order = np.argsort(names)
+        return names[order], [target[order], (n - target)[order]]
 
     def firsts(self) -> tuple[np.ndarray, _Arrays]:
         return self.names, [_counts(x) for x in self.data[10:14]]
@@ -248,6 +258,10 @@ def _answers(requests: DataFrame, sums: DataFrame, parts: int, width: int) -> Da
     return _mapped(rows.sortWithinPartitions("part", "kind", "chunk"), run)
 
 
+def _share(rows: DataFrame, number: int) -> DataFrame:
+    return rows.where(F.pmod(F.xxhash64("chunk"), F.lit(SHARES)) == number)
+
+
 def _answered(texts: DataFrame, answers: DataFrame, parts: int, width: int) -> DataFrame:
     """The chunks' rows with their answers, put together, at the end of their arrays."""
 
@@ -272,6 +286,14 @@ def _answered(texts: DataFrame, answers: DataFrame, parts: int, width: int) -> D
     return _mapped(rows.sortWithinPartitions("chunk", "kind", "part"), run)
 
 
+def _union(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionAll, tables)
+
+
+def _stored(rows: DataFrame, name: str) -> DataFrame:
+    return stored(rows, name, compression="zstd")
+
+
 def _each(rows: DataFrame, change: Callable[[list[bytes]], list[bytes]]) -> DataFrame:
     def run(found: Iterator[_Row]) -> Iterator[_Row]:
         for *head, data in found:
@@ -282,18 +304,17 @@ def _each(rows: DataFrame, change: Callable[[list[bytes]], list[bytes]]) -> Data
 
 @dataclass
 class Model:
-    """Stored sums by part of the names: of words and bigrams, and of first words."""
+    """Stored sums by part of the names: of words, and of first words; and the models' own chunks."""
 
     docs: DataFrame
     parts: int
     words: DataFrame  # counts of target and background
     totals: dict[str, int]  # of words on either side, of rare ones, and how many words count (size)
-    pairs: DataFrame | None = None  # counts
     firsts: DataFrame | None = None  # counts as first words, and numbers of different words after them
-    texts: DataFrame | None = None  # the models' own chunks
+    texts: list[DataFrame] | None = None  # by shares
 
-    def named(self, texts: DataFrame) -> DataFrame:
-        """Chunks in words that count, with the counts of these."""
+    def named(self, texts: DataFrame) -> list[DataFrame]:
+        """Chunks in words that count, with the counts of these, by shares.  Their table, not in use any more, goes."""
         rare = [self.totals[f"rare_{s}"] for s in _SIDES]
 
         def change(data: list[bytes]) -> list[bytes]:
@@ -305,11 +326,20 @@ class Model:
             tokens = place[_counts(data[1])]
             return [_pack(names), _pack(tokens), *data[2:6], *[_pack(x) for x in counts]]
 
-        answers = _answers(_requests(texts, _Texts.words, self.parts), self.words, self.parts, 2)
-        return stored(_each(_answered(texts, answers, self.parts, 2), change), "lm-named", compression="zstd")
+        answers = _stored(_answers(_requests(texts, _Texts.words, self.parts), self.words, self.parts, 2), "lm-answers")
+        shares = []
+        for k in range(SHARES):
+            rows = _answered(_share(texts, k), _share(answers, k), self.parts, 2)
+            shares.append(_stored(_each(rows, change), "lm-named"))
+        dropped(answers)
+        dropped(texts)
+        return shares
 
-    def linked(self, texts: DataFrame, pairs: list[DataFrame]) -> DataFrame:
-        """Chunks with the counts of their bigrams, and with what they add to the sums of first words."""
+    def linked(self, texts: list[DataFrame], counted: list[DataFrame]) -> list[DataFrame]:
+        """Chunks with the counts that their bigrams have in ``counted``, and with what they add to first words.
+
+        The tables of ``texts`` go.
+        """
 
         def change(data: list[bytes]) -> list[bytes]:
             chunk, own = _Texts(data), [_counts(x).astype(bool) for x in data[10:12]]
@@ -318,18 +348,29 @@ class Model:
             return [*data[:10], *[_pack(x) for x in values]]
 
         found = []
-        for number, sums in enumerate(pairs):
-            requests = _requests(texts, _Texts.pairs, self.parts, number, SLICES)
-            found.append(stored(_answers(requests, sums, self.parts, 2), "lm-answers", compression="zstd"))
-        answered = _answered(texts, reduce(DataFrame.unionAll, found), self.parts, 2)
-        return stored(_each(answered, change), "lm-linked", compression="zstd")
-
-    def chunks(self, docs: DataFrame) -> DataFrame:
+        for number in range(SLICES):
+            sums, asked = (_requests(_union(x), _Texts.pairs, self.parts, number, SLICES) for x in (counted, texts))
+            sums = _stored(_sums(sums, self.parts), "lm-pairs")
+            found.append(_stored(_answers(asked, sums, self.parts, 2), "lm-answers"))
+            dropped(sums)
+        shares = []
+        for k, share in enumerate(texts):
+            rows = _answered(share, _share(_union(found), k), self.parts, 2)
+            shares.append(_stored(_each(rows, change), "lm-linked"))
+            dropped(share)
+        for answers in found:
+            dropped(answers)
+        return shares
+
+    @property
+    def pairs(self) -> DataFrame:
+        """Bigrams with their counts, of which no table is kept."""
+        return _sums(_requests(_union(self.texts), _Texts.pairs, self.parts), self.parts)
+
+    def chunks(self, docs: DataFrame) -> list[DataFrame]:
         if docs is self.docs:
             return self.texts
-        # The slices' sums lie in tables of their own parts; a request meets only its part's.
-        pairs = [self.pairs.where(F.col("part") % SLICES == k) for k in range(SLICES)]
-        return self.linked(self.named(_texts(_sided(docs, None))), pairs)
+        return self.linked(self.named(_texts(_sided(docs, None))), self.texts)
 
 
 def _totals(words: DataFrame) -> dict[str, int]:
@@ -350,16 +391,11 @@ def fit(docs: DataFrame, target: DataFrame) -> Model:
     """Models of the documents (doc_id, text) named in ``target`` (doc_id), and of all others."""
     raw = _texts(_sided(docs, target))
     parts = 1 + raw.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] // PART_WORDS
-    words = stored(_sums(_requests(raw, _Texts.words, parts), parts), "lm-words", compression="zstd")
+    words = _stored(_sums(_requests(raw, _Texts.words, parts), parts), "lm-words")
     model = Model(docs, parts, words, _totals(words))
     named = model.named(raw)
-    dropped(raw)
-    requests = [_requests(named, _Texts.pairs, parts, k, SLICES) for k in range(SLICES)]
-    pairs = [stored(_sums(x, parts), "lm-pairs", compression="zstd") for x in requests]
-    model.pairs = reduce(DataFrame.unionAll, pairs)
-    model.texts = model.linked(named, pairs)
-    dropped(named)
-    model.firsts = stored(_sums(_requests(model.texts, _Texts.firsts, parts), parts), "lm-firsts", compression="zstd")
+    model.texts = model.linked(named, named)
+    model.firsts = _stored(_sums(_requests(_union(model.texts), _Texts.firsts, parts), parts), "lm-firsts")
     return model
 
 
@@ -396,8 +432,15 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([ids, *[pa.array(x) for x in (chunk.n, *columns)]], list(_LOSSES))
 
     texts = model.chunks(docs)
-    answers = _answers(_requests(texts, _Texts.firsts, model.parts), model.firsts, model.parts, 4)
-    rows = _answered(texts, answers, model.parts, 4).mapInArrow(run, "doc_id long, n long, loss_t double, loss_b double")
+    requests = _requests(_union(texts), _Texts.firsts, model.parts)
+    answers = _stored(_answers(requests, model.firsts, model.parts, 4), "lm-answers")
+    losses = []
+    for k, share in enumerate(texts):
+        whole = _answered(share, _share(answers, k), model.parts, 4)
+        found = whole.mapInArrow(run, "doc_id long, n long, loss_t double, loss_b double")
+        losses.append(_stored(found, "lm-losses"))
+    dropped(answers)
+    rows = _union(losses)
     mean = {s: F.when(F.col("n") > 0, F.col(f"loss_{s}") / F.col("n")) for s in _SIDES}
     return rows.select(
         "doc_id",
