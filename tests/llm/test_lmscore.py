@@ -153,3 +153,47 @@ def test_long_words_that_a_polynomial_names_alike(spark):
     rows = found(L.score(df, L.fit(df, df.where("doc_id = 1").select("doc_id"))).collect())
     for x, y in zip(rows, wanted(docs, {1}), strict=True):
         assert x == (*y[:2], pytest.approx(y[2], rel=1e-9), pytest.approx(y[3], rel=1e-9))
+
+
+def test_names_are_shuffled_once_for_each_count(spark, monkeypatch):
+    plans, stored = [], L._stored
+
+    def recorded(rows, name):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return stored(rows, name)
+
+    monkeypatch.setattr(L, "_stored", recorded)
+    docs = spark.createDataFrame(babble(7, 30, 40, "abcde"), "doc_id long, text string")
+    assert L.score(docs, L.fit(docs, docs.limit(9).select("doc_id"))).count() == 30
+    assert sum(p.count("RepartitionByExpression [part#") for p in plans) == 3  # words, bigrams, first words
+    # Between two shuffles rows go to Python once, and once more only to be sent.
+    assert sum(p.count("MapInArrow") for p in plans) <= 1 + 3 * 2 + 3 * L.SHARES
+
+
+@pytest.mark.parametrize("rising", [False, True])
+def test_packed_numbers(rising):
+    top = 2**64 - 1
+    for values in ([], [0], [7, 7, 8], [0, 255, 256, 65536], [5, 1 << 40, top], [top, top]):
+        own = np.array(values, np.uint64)
+        assert L._unpack(L._pack(own, rising)).tolist() == values
+    assert len(L._pack(np.arange(1 << 60, (1 << 60) + 1000, dtype=np.uint64), True)) < 1100
+
+
+def test_one_chunk_stands_for_a_name_in_batches(spark, monkeypatch):
+    monkeypatch.setattr(L, "_BUFFER", 3)
+    sent = {1: ([4, 9], [1, 0]), 2: ([4, 5, 9], [2, 1, 3]), 3: ([9], [1]), 4: ([4, 5], [1, 1]), 5: ([4, 9], [0, 0])}
+    rows = [(c, 2 if c == 5 else 1, 0, len(n), [L._pack(np.array(n), True), L._pack(np.array(k))]) for c, (n, k) in sent.items()]
+    met = L._met(spark.createDataFrame(rows, L._ROWS), 1, sums=True, own=True).collect()
+    (total,) = [r for r in met if r.kind == 0]
+    assert [L._unpack(x).tolist() for x in total.data] == [[4, 5, 9], [4, 2, 4]]
+    want, owners = {4: 4, 5: 2, 9: 4}, {4: 0, 5: 0, 9: 0}
+    answers = [r for r in met if r.kind == 1]
+    assert sorted(r.chunk for r in answers) == [1, 2, 3, 4, 5]
+    for r in answers:
+        sums, own = [L._unpack(x).tolist() for x in r.data]
+        names, counts = sent[r.chunk]
+        assert sums == [want[x] for x in names]
+        for name, count, one in zip(names, counts, own, strict=True):
+            assert count or not one
+            owners[name] += one
+    assert owners == {4: 1, 5: 1, 9: 1}
