@@ -197,3 +197,22 @@ def test_one_chunk_stands_for_a_name_in_batches(spark, monkeypatch):
             assert count or not one
             owners[name] += one
     assert owners == {4: 1, 5: 1, 9: 1}
+
+
+def test_chunks_of_several_pieces(spark, monkeypatch):
+    monkeypatch.setattr(L, "CHUNK_WORDS", 100)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        docs = [(i, t) for i, (_, t) in enumerate(babble(11, 40, 50, "abcdeXYx"))] + [(None, "a b"), (90, None), (91, "")]
+        df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+        texts = L._texts(L._sided(df, None)).collect()
+        assert 1 < len(texts) < len(docs) // 2
+        assert sum(r.n for r in texts) == sum(len(plain(t or "")) for _, t in docs)
+        target = {1, 5, 9, 33}
+        rows = found(L.score(df, L.fit(df, df.where("doc_id in (1, 5, 9, 33)").select("doc_id"))).collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    for a, b in zip(rows, wanted([(i, t or "") for i, t in docs], target), strict=True):
+        assert a[:2] == b[:2]
+        assert a[2:] == (pytest.approx(b[2:], rel=1e-9) if b[1] else (None, None))
